@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticklake.functions import indicators
@@ -40,7 +40,10 @@ def moving_averages(
 
     NULL until a frame of n rows holds n values. ``newest_first`` walks the symbol
     backwards, so each frame holds the tick and the *later* ones: the details view of the
-    dashboard averages that way. ``slice_rows=None`` leaves every symbol in one window.
+    dashboard averages that way.
+
+    Counts rows per symbol first: if one exceeds ``slice_rows``, its window is cut into
+    time slices with the same results. ``slice_rows=None`` skips the count and the cut.
     """
     known = ticks.filter(F.col("symbol").isNotNull())
     sort_keys = [time] + ([tie] if tie else [])
@@ -52,19 +55,27 @@ def moving_averages(
 
     keys = ["symbol"]
     rows = known
-    if slice_rows is not None:
+    limit = slices.row_limit(known, slice_rows) if slice_rows is not None else None
+    if limit is not None:
         reach = max(frames.values()) - 1
         needed = list(dict.fromkeys([*sort_keys, column]))
-        rows = slices.with_reach(known, reach, needed, order, backwards, time, slice_rows)
+        rows = slices.with_reach(known, limit, reach, needed, order, backwards, time)
         keys.append("slice")
     walk = Window.partitionBy(*keys).orderBy(*order)
 
-    def mean(length: int):
-        frame = walk.rowsBetween(1 - length, 0)
-        return F.when(F.count(column).over(frame) >= length, F.avg(column).over(frame))
+    # Values so far, so that a frame's count is a difference of two of them and only the
+    # sums slide; a full frame has as many values as rows.
+    so_far = F.count(column).over(walk.rowsBetween(Window.unboundedPreceding, 0))
+
+    def mean(length: int) -> Column:
+        before = F.coalesce(F.lag("so_far", length).over(walk), F.lit(0))
+        total = F.sum(column).over(walk.rowsBetween(1 - length, 0))
+        return F.when(F.col("so_far") - before >= length, total / length)
 
-    averaged = rows.withColumns({name: mean(length) for name, length in frames.items()})
-    if slice_rows is not None:
+    counted = rows.withColumn("so_far", so_far)
+    averaged = counted.withColumns({name: mean(length) for name, length in frames.items()})
+    averaged = averaged.drop("so_far")
+    if limit is not None:
         averaged = averaged.filter("own").drop("own", "slice")
     return averaged
 

@@ -6,9 +6,11 @@ each slice also receives the few rows before it that its first frames reach back
 results equal the uncut window.
 
 Sizes are bounded by counting: a bucket is only split when it holds more than
-``greatest(slice_rows, all rows / MAX_HOT)`` rows, so fewer than MAX_HOT buckets per level
-can be split and their list is safe to broadcast. Splitting adds at most
-``reach`` rows per slice, a vanishing share of a bucket that large.
+``max(slice_rows, all rows / MAX_HOT)`` rows, so at most MAX_HOT buckets per level can be
+split and their list is safe to broadcast. Splitting adds at most ``reach`` rows per
+slice, a vanishing share of a bucket that large. A second is the finest slice: more rows
+of one symbol than the limit inside one second stay together, and after ``dedup_ticks``
+a second holds one.
 """
 
 from __future__ import annotations
@@ -27,36 +29,42 @@ MAX_HOT = 100_000
 LADDER = ("day", "minute", "second")
 
 
-def sliced(ticks: DataFrame, time: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Adds ``slice``: NULL for symbols of ordinary size, else the start of the row's slice."""
-    hot = _hot_buckets(ticks, time, slice_rows)
-    return _assign(ticks, time, hot)
+def row_limit(ticks: DataFrame, slice_rows: int = SLICE_ROWS) -> int | None:
+    """Rows above which a symbol is cut; None when no symbol is that large.
+
+    Counts rows per symbol (one column, combined map-side) and fetches one row.
+    """
+    counts = ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
+    total, largest = counts.agg(F.sum("rows"), F.max("rows")).first()
+    limit = max(slice_rows, (total or 0) // MAX_HOT)
+    return limit if (largest or 0) > limit else None
 
 
 def with_reach(
     ticks: DataFrame,
+    limit: int,
     reach: int,
     needed: Sequence[str],
     order: Sequence[Column],
     backwards: Sequence[Column],
     time: str = "timestamp_ts",
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Sliced rows (``own`` true) plus, per slice, the ``reach`` rows before it (``own`` false).
+    """Rows with their ``slice`` (``own`` true) plus, per slice, the ``reach`` rows before it.
 
+    ``slice`` is NULL for symbols of ordinary size, else the start of the row's slice.
     ``order`` and its reverse ``backwards`` sort one symbol; ``needed`` are the columns the
-    frames read, all the others are NULL in borrowed rows.
+    frames read, all the others are NULL in borrowed rows (``own`` false).
     """
     require_utc(ticks.sparkSession)
-    hot = _hot_buckets(ticks, time, slice_rows)
+    hot = _hot_buckets(ticks, time, limit)
     own = _assign(ticks, time, hot)
 
-    hot_symbols = hot[0].select("symbol")
-    cut = _assign(ticks.select("symbol", *needed).join(F.broadcast(hot_symbols), "symbol"), time, hot)
+    large = ticks.select("symbol", *needed).join(F.broadcast(hot[0]), "symbol")
     from_end = Window.partitionBy("symbol", "slice").orderBy(*backwards)
     ahead = Window.partitionBy("symbol").orderBy(*order).rowsBetween(1, reach)
     borrowed = (
-        cut.withColumn("from_end", F.row_number().over(from_end))
+        _assign(large, time, hot)
+        .withColumn("from_end", F.row_number().over(from_end))
         .filter(F.col("from_end") <= reach)
         .withColumn("next_slices", F.collect_set("slice").over(ahead))
         .withColumn("slice", F.explode(F.array_except("next_slices", F.array("slice"))))
@@ -71,10 +79,8 @@ def _bucket(unit: str, time: str) -> Column:
     return F.date_trunc(unit, F.col(time).cast("timestamp"))
 
 
-def _hot_buckets(ticks: DataFrame, time: str, slice_rows: int) -> list[DataFrame]:
+def _hot_buckets(ticks: DataFrame, time: str, limit: int) -> list[DataFrame]:
     """Per level, the (symbol, bucket) pairs too large to stay whole; the first has no bucket."""
-    total = ticks.agg(F.count(F.lit(1))).scalar()
-    limit = F.greatest(F.lit(slice_rows), total / MAX_HOT)
     found: list[DataFrame] = []
     parents = ticks.select("symbol", time)
     keys = ["symbol"]

@@ -23,21 +23,21 @@ def explode_mini_tickers(messages: DataFrame) -> DataFrame:
             F.expr("try_cast(try_parse_json(cast(value AS STRING)) AS ARRAY<VARIANT>)")
         ).alias("element")
     )
-    fields = elements.select(
-        F.expr("try_cast(element AS MAP<STRING, VARIANT>)").alias("fields")
-    ).filter("fields IS NOT NULL")
-    ticks = fields.select(*(_field(name) for name in MINI_TICKER_FIELDS))
+    objects = elements.filter("try_cast(element AS MAP<STRING, VARIANT>) IS NOT NULL")
+    # A generator, not a projection: its fields are read once, also by the filter below.
+    fields = F.struct(*(_field(name) for name in MINI_TICKER_FIELDS))
+    ticks = objects.select(F.inline(F.array(fields)))
     numbers = [name for name in MINI_TICKER_FIELDS if name != "symbol"]
     return ticks.filter(reduce(Column.__and__, (F.col(name).isNotNull() for name in numbers)))
 
 
 def _field(name: str) -> Column:
-    key = MINI_TICKER_FIELDS[name]
-    if name == "symbol":
-        kind, missing = "STRING", "''"
-    else:
-        kind, missing = ("BIGINT", "0L") if name == "timestamp" else ("DOUBLE", "0D")
+    """The typed field; the default applies only where the path itself is missing."""
+    path = f"$.{MINI_TICKER_FIELDS[name]}"
+    kind, default = {"symbol": ("STRING", "''"), "timestamp": ("BIGINT", "0L")}.get(
+        name, ("DOUBLE", "0D")
+    )
     return F.expr(
-        f"CASE WHEN map_contains_key(fields, '{key}') "
-        f"THEN try_cast(fields['{key}'] AS {kind}) ELSE {missing} END"
+        f"coalesce(try_variant_get(element, '{path}', '{kind}'),"
+        f" CASE WHEN variant_get(element, '{path}') IS NULL THEN {default} END)"
     ).alias(name)
