@@ -1,0 +1,73 @@
+from __future__ import annotations
+
+import datetime as dt
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from ticklake.session import build_session  # noqa: E402
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "ticklake-tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def ticks(spark):
+    from ticklake.sources import events
+
+    return events.ticks(spark, SMALL)
+
+
+START = dt.datetime(2024, 1, 1)
+
+TICK_SCHEMA = (
+    "symbol string, timestamp_ts timestamp_ntz, open_price double, high_price double, "
+    "low_price double, close_price double, volume double, quote_volume double"
+)
+
+
+@pytest.fixture(scope="session")
+def make_ticks(spark):
+    """Ticks from (symbol, seconds after the start, close) plus optional other columns."""
+
+    def make(rows):
+        full = []
+        for symbol, second, close, *rest in rows:
+            values = dict(open_price=close, high_price=close, low_price=close, volume=1.0)
+            values |= dict(quote_volume=1.0) | (rest[0] if rest else {})
+            moment = None if second is None else START + dt.timedelta(seconds=second)
+            full.append(
+                (
+                    symbol,
+                    moment,
+                    values["open_price"],
+                    values["high_price"],
+                    values["low_price"],
+                    close,
+                    values["volume"],
+                    values["quote_volume"],
+                )
+            )
+        return spark.createDataFrame(full, TICK_SCHEMA)
+
+    return make

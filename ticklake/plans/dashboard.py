@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions import indicators
-from ticklake.operators import filters, stats
+from ticklake.operators import alerts, filters, ranking, series, stats
 from ticklake.schemas import DASHBOARD_COLUMNS
 
 LATEST_COLUMNS = [name for name in DASHBOARD_COLUMNS if name != "symbol"]
@@ -60,3 +60,31 @@ def symbol_summary(ticks: DataFrame, order: str = "timestamp_ts") -> DataFrame:
         )
     )
     return newest.select("symbol", F.inline(pairs))
+
+
+def write_views(ticks: DataFrame, path: str) -> None:
+    """Every view of a working set as Parquet below ``path``.
+
+    The latest values per symbol are kept for the six views that read them; the working
+    set itself is scanned per view, as it may be far larger than memory.
+    """
+    columns = ticks.select(*DASHBOARD_COLUMNS)
+    newest = latest(columns).persist()
+    views = {
+        "overview": stats.symbol_overview(columns),
+        "candles": series.candle_series(columns),
+        "history": series.symbol_history(columns),
+        "summary": symbol_summary(columns),
+        "top_volume": ranking.latest_by_volume(newest),
+        "gainers": ranking.gainers(newest),
+        "gainers_base100": series.gainers_base100(columns),
+        "losers": ranking.losers(newest),
+        "large_moves": alerts.large_moves(newest),
+        "high_volatility": alerts.high_volatility(newest),
+        "alert_counts": alerts.alert_counts(newest),
+    }
+    try:
+        for name, view in views.items():
+            view.write.mode("overwrite").parquet(f"{path}/{name}")
+    finally:
+        newest.unpersist()

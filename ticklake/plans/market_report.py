@@ -122,3 +122,16 @@ def _sentence() -> Column:
         percent("most_volatile_value"),
         F.lit(")."),
     )
+
+
+def write_report(snapshot: DataFrame, path: str) -> None:
+    """Rankings and summary of one snapshot as Parquet below ``path``.
+
+    The per-symbol totals are kept for both tables, so the snapshot is scanned once.
+    """
+    totals = stats.symbol_totals(snapshot).persist()
+    try:
+        rankings(totals).write.mode("overwrite").parquet(f"{path}/rankings")
+        summary(totals).write.mode("overwrite").parquet(f"{path}/summary")
+    finally:
+        totals.unpersist()

@@ -78,6 +78,14 @@ def ticks_to_console(
     return _started(writer, checkpoint, trigger)
 
 
-def wait_for_any(spark: SparkSession) -> None:
-    """Block until one of the session's queries ends; its failure is raised here."""
-    spark.streams.awaitAnyTermination()
+def wait_for(spark: SparkSession, *queries: StreamingQuery) -> None:
+    """Block until all the queries end; the failure of any is raised as soon as it happens."""
+    spark.streams.resetTerminated()
+    while True:
+        for query in queries:
+            if not query.isActive:
+                query.awaitTermination()
+        if not any(query.isActive for query in queries):
+            return
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
