@@ -228,6 +228,15 @@ def test_dedup_treats_nulls_as_equal(make_ticks):
     assert dedup.dedup_ticks(rows).count() == 3
 
 
+def test_dedup_by_order_keeps_whole_rows(spark):
+    rows = [("A", 1, 5, 1.0, None), ("A", 1, 9, None, 2.0), ("A", 1, 7, 3.0, 3.0), ("B", None, None, 4.0, 4.0)]
+    frame = spark.createDataFrame(rows, "symbol string, t bigint, ms bigint, x double, y double")
+    frame = frame.select("symbol", F.timestamp_seconds("t").alias("timestamp_ts"), "ms", "x", "y")
+    got = dedup.dedup_ticks(frame, order="ms")
+    assert got.columns == frame.columns
+    assert {(r.symbol, r.ms, r.x, r.y) for r in got.collect()} == {("A", 9, None, 2.0), ("B", None, 4.0, 4.0)}
+
+
 def test_history_table_labels(make_ticks):
     rows = make_ticks([("A", s, float(s + 1)) for s in range(3)] + [("B", 0, 1.0)])
     table = series.history_table(series.symbol_history(rows), "A")

@@ -70,12 +70,42 @@ def test_stats_read_only_their_columns(spark, tmp_path, ticks):
     assert "quote_volume" not in read and "run_ts" not in read
 
 
-def test_newest_snapshot_is_one_plan(spark, tmp_path, ticks):
-    ticks.write.parquet(str(tmp_path / "ticks"))
-    stored = spark.read.parquet(str(tmp_path / "ticks"))
-    text = plan(filters.latest_snapshot(stored))
-    assert "Subquery" in text
-    assert "ReadSchema: struct<run_ts:timestamp_ntz>" in text
+def stored_instants(spark, tmp_path, ticks):
+    """Ticks with zoned times: Parquet filters on TIMESTAMP_NTZ are not pushed by Spark 4.1."""
+    times = {name: F.col(name).cast("timestamp") for name in ("timestamp_ts", "run_ts")}
+    dated = ticks.withColumns(times).withColumn("run_date", F.to_date("run_ts"))
+    dated.write.partitionBy("run_date").parquet(str(tmp_path / "ticks"))
+    return spark.read.parquet(str(tmp_path / "ticks"))
+
+
+def test_newest_snapshot_prunes_partitions_and_row_groups(spark, tmp_path, ticks):
+    stored = stored_instants(spark, tmp_path, ticks)
+    text = plan(filters.latest_snapshot(stored, recorded="timestamp_ts", day="run_date"))
+    assert "run_date#" in text.split("PartitionFilters")[1].split("]")[0]
+    assert "EqualTo(run_ts,2024-01-30" in text
+    assert "GreaterThanOrEqual(timestamp_ts,2024-01-30" in text
+
+
+def scanned_rows(frame) -> int:
+    frame.collect()
+
+    def walk(node) -> int:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.startswith("Scan"):
+            return node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        return sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(frame._jdf.queryExecution().executedPlan())
+
+
+def test_period_skips_older_files(spark, tmp_path, ticks):
+    stored = stored_instants(spark, tmp_path, ticks)
+    recent = filters.period_window(stored, "1H")
+    assert "GreaterThanOrEqual(timestamp_ts," in plan(recent)
+    assert scanned_rows(recent) < ticks.count() / 10
 
 
 def test_report_scans_the_snapshot_once(spark):

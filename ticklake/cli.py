@@ -49,7 +49,9 @@ def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
-    market_report.write_report(filters.latest_snapshot(_table(spark, args)), args.output)
+    rows = _table(spark, args)
+    day = "run_date" if "run_date" in rows.columns else None
+    market_report.write_report(filters.latest_snapshot(rows, day=day), args.output)
 
 
 def views(spark: SparkSession, args: argparse.Namespace) -> None:

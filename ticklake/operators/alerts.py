@@ -1,4 +1,8 @@
-"""Alerts on the latest values per symbol."""
+"""Alerts on the latest values per symbol.
+
+The quantile and the rows compared with it both read ``latest``: pass a persisted or
+checkpointed frame (one row per symbol), else the ticks behind it are scanned twice.
+"""
 
 from __future__ import annotations
 

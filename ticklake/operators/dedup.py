@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 TICK_KEY = ["timestamp_ts", "symbol"]
 
 
-def dedup_ticks(ticks: DataFrame) -> DataFrame:
-    """One tick per time and symbol, any survivor; NULL keys count as equal.
+def dedup_ticks(ticks: DataFrame, order: str | None = None) -> DataFrame:
+    """One tick per time and symbol; NULL keys count as equal.
 
-    Copies collapse in the map-side aggregate, so a hot key ships one row per task.
+    Any tick survives, or with ``order``, a BIGINT column, the one highest in it, so that a
+    retried job keeps the same rows. Copies collapse in the map-side hash aggregate either
+    way: a hot key ships one row per task.
     """
-    return ticks.dropDuplicates(TICK_KEY)
+    if order is None:
+        return ticks.dropDuplicates(TICK_KEY)
+    place = F.coalesce(F.col(order), F.lit(-(2**63)))
+    others = [name for name in ticks.columns if name not in TICK_KEY]
+    kept = ticks.groupBy(*TICK_KEY).agg(*(F.max_by(name, place).alias(name) for name in others))
+    return kept.select(*ticks.columns)

@@ -4,24 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Period label -> hours before the newest tick; None keeps everything.
 PERIODS = {"1H": 1, "24H": 24, "7J": 7 * 24, "30J": 30 * 24, "Tout": None}
 
 
+def _newest(ticks: DataFrame, column: str) -> Column:
+    """The column's maximum as a literal of its type.
+
+    One value is fetched because a scalar subquery does not reach the scan: only a literal
+    lets Parquet skip the files and row groups below it. It travels as text, which keeps
+    microseconds and no zone but the session's.
+    """
+    text = ticks.agg(F.max(column).cast("string")).first()[0]
+    return F.lit(text).cast(ticks.schema[column].dataType)
+
+
 def latest_snapshot(
-    ticks: DataFrame, run: str = "run_ts", recorded: str | None = None
+    ticks: DataFrame, run: str = "run_ts", recorded: str | None = None, day: str | None = None
 ) -> DataFrame:
     """Rows of the newest snapshot.
 
-    One plan: the maximum is a scalar subquery that scans a single column. ``recorded``
-    names a stored column that is never before its row's ``run``; the extra predicate on
-    it lets a scan skip files and row groups when ``run`` itself is computed.
+    ``day`` names a partition column that never falls while ``run`` rises: the search for
+    the newest run then stays inside the last partition. ``recorded`` names a stored
+    column that is never before its row's ``run``: a predicate on it is pushed to the scan
+    where ``run`` itself is computed.
     """
-    newest = ticks.agg(F.max(run)).scalar()
-    rows = ticks.filter(F.col(run) == newest)
+    rows = ticks if day is None else ticks.filter(F.col(day) == _newest(ticks, day))
+    newest = _newest(rows, run)
+    rows = rows.filter(F.col(run) == newest)
     return rows if recorded is None else rows.filter(F.col(recorded) >= newest)
 
 
@@ -56,5 +69,5 @@ def period_window(ticks: DataFrame, period: str = "24H") -> DataFrame:
     hours = PERIODS[period]
     if hours is None:
         return ticks
-    newest = ticks.agg(F.max("timestamp_ts")).scalar()
-    return ticks.filter(F.col("timestamp_ts") >= newest - F.expr(f"INTERVAL '{hours}' HOUR"))
+    oldest = _newest(ticks, "timestamp_ts") - F.expr(f"INTERVAL '{hours}' HOUR")
+    return ticks.filter(F.col("timestamp_ts") >= oldest)

@@ -272,12 +272,12 @@ def anomaly_large_move(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def anomaly_high_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.high_volatility(_latest(spark, sf_dir))
+    return alerts.high_volatility(scratch.checkpointed(_latest(spark, sf_dir)))
 
 
 @_query
 def alert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.alert_counts(_latest(spark, sf_dir))
+    return alerts.alert_counts(scratch.checkpointed(_latest(spark, sf_dir)))
 
 
 @_query
@@ -418,8 +418,7 @@ def snapshot_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.table(table).schema
     spark.sql(f"DROP TABLE {table}")
     stored = spark.read.schema(schema).parquet(location)
-    newest_day = stored.agg(F.max("run_date")).scalar()
-    newest = filters.latest_snapshot(stored.filter(F.col("run_date") == newest_day))
+    newest = filters.latest_snapshot(stored, day="run_date")
     return newest.withColumn("run_ts", _ntz("run_ts"))
 
 

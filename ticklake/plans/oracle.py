@@ -197,6 +197,9 @@ _STREAM = """SELECT symbol, close_price, open_price, high_price, low_price, volu
   date_trunc('second', timestamp_ts)::timestamp AS timestamp_ts,
   high_price-low_price AS spread, (high_price+low_price)/2 AS mid_price FROM ticks"""
 
+_ONE_PER_SECOND = """QUALIFY row_number() OVER (
+  PARTITION BY symbol, date_trunc('second', ticks.timestamp_ts) ORDER BY event_id {}) = 1"""
+
 _PARTIAL = """SELECT symbol, close_price, 0::double AS open_price, 0::double AS high_price,
   0::double AS low_price, 0::double AS volume, 0::double AS quote_volume, timestamp_ts FROM ticks"""
 
@@ -308,6 +311,6 @@ SELECT TIMESTAMP '2024-02-01 00:00:00', concat('N', symbol), {_TICKER} FROM tick
         "stream_ticks_parquet": f"{_TICKS} {_STREAM}",
         "stream_mini_tickers": f"""{_TICKS}, partial AS ({_PARTIAL})
 {_STREAM} UNION ALL {_STREAM.replace('FROM ticks', 'FROM partial')}""",
-        "stream_foreachbatch_dedup": f"{_TICKS} {_STREAM}",
-        "stream_cross_batch_dedup": f"{_TICKS} {_STREAM}",
+        "stream_foreachbatch_dedup": f"{_TICKS} {_STREAM} {_ONE_PER_SECOND.format('DESC')}",
+        "stream_cross_batch_dedup": f"{_TICKS} {_STREAM} {_ONE_PER_SECOND.format('ASC')}",
     }

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -29,3 +29,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     file_system.mkdirs(jvm_path)
     file_system.deleteOnExit(jvm_path)
     return path
+
+
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """The rows computed once and kept in the shared folder, for plans that read them twice."""
+    spark = rows.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(new_folder(spark, "checkpoint"))
+    return rows.checkpoint()

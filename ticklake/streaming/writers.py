@@ -39,13 +39,14 @@ def jdbc_writer(jdbc: JdbcSettings, table: str) -> BatchWriter:
 def deduplicating(write: BatchWriter) -> BatchWriter:
     """Dedup one micro-batch, keep the stream columns, write, and log the row count.
 
-    The count is observed during the write, so the batch runs once. Errors propagate: the
-    query stops, its checkpoint stays, and a restart replays the batch.
+    Of repeats, the one with the latest millisecond stays, so a replayed batch writes the
+    same rows. The count is observed during the write, so the batch runs once. Errors
+    propagate: the query stops, its checkpoint stays, and a restart replays the batch.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         counted = Observation(f"batch_{batch_id}")
-        rows = dedup_ticks(batch).select(*STREAM_COLUMNS)
+        rows = dedup_ticks(batch, order="timestamp").select(*STREAM_COLUMNS)
         write(rows.observe(counted, F.count(F.lit(1)).alias("rows")), batch_id)
         log.info("batch %s wrote %s rows", batch_id, counted.get["rows"])
 
