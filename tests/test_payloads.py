@@ -10,6 +10,7 @@ import pytest
 from ticklake.schemas import MINI_TICKER_FIELDS, SNAPSHOT_COLUMNS, TICK_MESSAGE
 from ticklake.sinks.messages import to_messages
 from ticklake.sinks.tables import append_snapshot, create_snapshot_table
+from ticklake.sources.events import as_ticks
 from ticklake.sources.mini_tickers import explode_mini_tickers
 from ticklake.sources.snapshots import load_snapshot
 from ticklake.streaming.parse import enrich, parse_ticks, rejected_messages
@@ -99,6 +100,16 @@ def test_decimal_snapshot_table(spark, tmp_path):
         spark.sql(f"DROP TABLE {table}")
 
 
+def test_event_properties_are_json(spark):
+    texts = ['{"k": 7}', '{"k": -7}', '{"k":7}', ' {"j": {"k": 1}, "k": "8.5"}', '{"j": 1}', "k", None]
+    frame = spark.createDataFrame(
+        [(i, RUN, i, 1.0, text) for i, text in enumerate(texts)],
+        "event_id long, ts timestamp_ntz, user_id long, value double, props string",
+    )
+    got = [r.volume for r in as_ticks(frame).orderBy("event_id").collect()]
+    assert got == [8.0, -6.0, 8.0, 9.5, None, None, None]
+
+
 FULL = {"s": "A", "c": "1.5", "o": 1, "h": "2", "l": 0.5, "v": "7", "q": "8.25", "E": 1704067200123}
 
 

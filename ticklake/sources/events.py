@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,15 +20,24 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
+def _level() -> Column:
+    """``$.k`` of the properties.
+
+    Nearly all of them are one flat integer field, which a pattern reads several times
+    faster than a JSON parser; any other text still goes through the parser.
+    """
+    flat = F.nullif(F.regexp_extract("props", r'^\{"k": (-?[0-9]+)\}$', 1), F.lit(""))
+    return F.coalesce(flat, F.get_json_object("props", "$.k")).cast("double")
+
+
 def as_ticks(events: DataFrame) -> DataFrame:
-    level = F.get_json_object("props", "$.k").cast("double")
     shifted = F.col("close_price") * (1 + (F.col("level") - 50) / 1000.0)
     return events.select(
         F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("symbol"),
         F.col("ts").alias("timestamp_ts"),
         "event_id",
         F.col("value").alias("close_price"),
-        level.alias("level"),
+        _level().alias("level"),
     ).select(
         "symbol",
         "timestamp_ts",
