@@ -79,11 +79,12 @@ def test_repeats_collapse_inside_a_batch_only(spark, tmp_path):
     )
 
 
-def test_cross_batch_dedup(spark, tmp_path):
+@pytest.mark.parametrize("spread", [1, 16])
+def test_cross_batch_dedup(spark, tmp_path, spread):
     inbox = tmp_path / "in"
-    land(inbox, "1.txt", message("A", 0), message("A", 0), message("B", 0))
+    land(inbox, "1.txt", *[message("A", 0)] * 50, message("B", 0))
     land(inbox, "2.txt", message("A", 0), message("A", 1))
-    got = run_table(spark, tmp_path, inbox, cross_batch=True)
+    got = run_table(spark, tmp_path, inbox, cross_batch=True, spread=spread)
     assert [(s, t) for s, t, _ in keys(got)] == [("A", "00:00:00"), ("A", "00:00:01"), ("B", "00:00:00")]
 
 

@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: ``event_id`` never falls while ``ts`` rises, so it orders the ticks of a symbol.
 ORDER = "event_id"
 
-#: The reference length of the "most recent" view, a fixed value.
+#: Fixed value: rows of the "most recent" view.
 RECENT = 2000
 
 AVAILABLE_NOW = {"availableNow": True}

@@ -18,12 +18,17 @@ from ticklake.schemas import MINI_TICKER_FIELDS
 
 def explode_mini_tickers(messages: DataFrame) -> DataFrame:
     """Works on batch and streaming frames with a ``value`` column."""
-    elements = messages.select(
-        F.explode(
-            F.expr("try_cast(try_parse_json(cast(value AS STRING)) AS ARRAY<VARIANT>)")
-        ).alias("element")
+    text = F.col("value").cast("string")
+    # Only text that opens an array can hold ticks; the rest is not parsed at all.
+    parsed = F.when(text.rlike(r"^\s*\["), F.try_parse_json(text))
+    elements = messages.select(parsed.alias("payload")).select(
+        F.explode(F.expr("try_cast(payload AS ARRAY<VARIANT>)")).alias("element")
+    )
+    # A found symbol proves an object; only without one is the element itself converted.
+    objects = elements.filter(
+        "variant_get(element, '$.s') IS NOT NULL"
+        " OR try_cast(element AS MAP<STRING, VARIANT>) IS NOT NULL"
     )
-    objects = elements.filter("try_cast(element AS MAP<STRING, VARIANT>) IS NOT NULL")
     # A generator, not a projection: its fields are read once, also by the filter below.
     fields = F.struct(*(_field(name) for name in MINI_TICKER_FIELDS))
     ticks = objects.select(F.inline(F.array(fields)))

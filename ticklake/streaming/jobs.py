@@ -50,17 +50,23 @@ def ticks_to_table(
     trigger: Trigger | None = EVERY_SECOND,
     cross_batch: bool = False,
     delay: str = "10 minutes",
+    spread: int = 16,
     drop_malformed: bool = False,
 ) -> StreamingQuery:
     """Parsed, enriched and de-duplicated ticks to a micro-batch writer.
 
     Repeats are removed inside a micro-batch. ``cross_batch`` also remembers the keys of
     earlier batches for ``delay`` of event time; state then grows with the rate of ticks
-    times the delay, spread over the shuffle partitions.
+    times the delay, over the shuffle partitions. A tick with very many copies is first
+    reduced in ``spread`` groups, so that no task receives them all; 1 leaves that out.
     """
     ticks = enrich(parse_ticks(messages, drop_malformed))
     if cross_batch:
-        ticks = ticks.withWatermark("timestamp_ts", delay).dropDuplicatesWithinWatermark(TICK_KEY)
+        ticks = ticks.withWatermark("timestamp_ts", delay)
+        if spread > 1:
+            salted = ticks.withColumn("salt", F.floor(F.rand() * spread))
+            ticks = salted.dropDuplicatesWithinWatermark([*TICK_KEY, "salt"]).drop("salt")
+        ticks = ticks.dropDuplicatesWithinWatermark(TICK_KEY)
     writer = ticks.writeStream.foreachBatch(deduplicating(write))
     return _started(writer, checkpoint, trigger)
 
