@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -58,3 +60,8 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
         ],
         schema=schema,
     )
+
+
+def worker_memory() -> dict:
+    """What a Python worker keeps from one task to the next: caches only, never results."""
+    return sys.modules.setdefault("_ticklake_worker_memory", types.ModuleType("memory")).__dict__

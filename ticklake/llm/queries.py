@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import exact_grace, simhash_pivots
+from ticklake.llm import bpe_stream, exact_grace, simhash_pivots
 from ticklake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def byte_bpe(path: str | None = None) -> str:
+    """The JSON of a public byte-level BPE tokenizer; read by the driver, sent with the tasks."""
+    import public_tokenizers
+
+    return bpe_stream.read_definition(path or public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_pivots.groups(table(spark, sf_dir, "documents"))
     return found.select(
@@ -26,8 +33,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_grace.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_stream.round_trip(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op6_exact_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op6_exact_dedup, op7_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
