@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe_stream, exact_grace, simhash_pivots
+from ticklake.llm import bpe_stream, exact_grace, simhash_pivots, toxicity_trees, warc_archives
 from ticklake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,12 +37,29 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_archives.page_records(table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_trees.scored(docs, toxicity_trees.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op6_exact_dedup, op7_bpe)}
+    return {f.__name__: f for f in (op1_simhash, op5_warc, op6_exact_dedup, op7_bpe, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_warc": """
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       (((('0x' || substr(sha1(coalesce(html, '')), 5 * (i // 4)::INT + 1, 5))::INT
+                          >> (5 * (3 - i % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+                   CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+                   CASE WHEN page_id < max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+            FROM pages WINDOW same AS (PARTITION BY coalesce(html, ''))""",
         "op6_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
