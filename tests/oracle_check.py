@@ -29,7 +29,7 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
         if pd.api.types.is_datetime64_any_dtype(column):
             frame[name] = column.astype("datetime64[us]")
         elif pd.api.types.is_integer_dtype(column):
-            frame[name] = column.astype("int64")
+            frame[name] = column.astype("float64" if column.isna().any() else "int64")
         elif column.dtype == object and column.map(type).astype(str).str.contains("date").any():
             frame[name] = pd.to_datetime(column).astype("datetime64[us]")
         elif pd.api.types.is_float_dtype(column):
