@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe_stream, exact_grace, simhash_pivots, toxicity_trees, warc_archives
+from ticklake.llm import (
+    bpe_stream,
+    exact_grace,
+    simhash_pivots,
+    spherical_cells,
+    toxicity_trees,
+    warc_archives,
+)
 from ticklake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +44,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spherical_cells.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archives.page_records(table(spark, sf_dir, "pages"))
 
@@ -47,7 +58,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op5_warc, op6_exact_dedup, op7_bpe, op9_toxicity)}
+    return {f.__name__: f for f in (op1_simhash, op4_embeddings, op5_warc, op6_exact_dedup, op7_bpe, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
