@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm import (
+    best_fit,
     bpe_stream,
     exact_grace,
+    line_variants,
     simhash_pivots,
     spherical_cells,
     toxicity_trees,
@@ -44,6 +46,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.packing(table(spark, sf_dir, "documents"))
+
+
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spherical_cells.linked_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -52,13 +58,29 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_archives.page_records(table(spark, sf_dir, "pages"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_variants.dropped_lines(table(spark, sf_dir, "documents")).drop("whole")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity_trees.scored(docs, toxicity_trees.fit(docs, table(spark, sf_dir, "labels")))
 
 
+_QUERIES: tuple[Query, ...] = (
+    op1_simhash,
+    op3_packing,
+    op4_embeddings,
+    op5_warc,
+    op6_exact_dedup,
+    op7_bpe,
+    op8_line_dedup,
+    op9_toxicity,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op4_embeddings, op5_warc, op6_exact_dedup, op7_bpe, op9_toxicity)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -75,4 +97,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op8_line_dedup": r"""
+            WITH parts AS (
+                SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents WHERE doc_id IS NOT NULL
+            ), lines AS (
+                SELECT DISTINCT doc_id, line_no, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+                FROM (SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line FROM parts)
+            ), placed AS (
+                SELECT {'d': doc_id, 'l': line_no} AS own, words, array_to_string(words, ' ') AS line,
+                       first_value({'d': doc_id, 'l': line_no}) OVER (PARTITION BY words ORDER BY doc_id, line_no) AS head
+                FROM lines WHERE len(words) > 0
+            ), heads AS (SELECT own, words, line FROM placed WHERE own = head
+            ), variants AS (
+                SELECT own, place, array_to_string(words[1:place - 1] || words[place + 1:], ' ') AS line
+                FROM (SELECT own, words, unnest(range(1, len(words) + 1)) AS place FROM heads WHERE len(words) >= 8)
+            ), near AS (
+                SELECT a.own, b.own AS head FROM variants a JOIN variants b ON a.line = b.line AND a.place = b.place
+                UNION ALL SELECT a.own, b.own FROM variants a JOIN heads b ON a.line = b.line
+                UNION ALL SELECT b.own, a.own FROM variants a JOIN heads b ON a.line = b.line
+            )
+            SELECT own.d AS doc_id, own.l AS line_no, head.d AS first_doc_id, head.l AS first_line_no, edits
+            FROM (SELECT own, head, 0 AS edits FROM placed WHERE own <> head
+                  UNION ALL SELECT own, min(head), 1 FROM near WHERE head < own GROUP BY own)""",
     }
