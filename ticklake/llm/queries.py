@@ -12,6 +12,7 @@ from ticklake.llm import (
     bpe_stream,
     exact_grace,
     line_variants,
+    masked_lm,
     simhash_pivots,
     spherical_cells,
     toxicity_trees,
@@ -67,6 +68,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_trees.scored(docs, toxicity_trees.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.scored(table(spark, sf_dir, "documents"))
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_simhash,
     op3_packing,
@@ -76,6 +81,7 @@ _QUERIES: tuple[Query, ...] = (
     op7_bpe,
     op8_line_dedup,
     op9_toxicity,
+    op10_masked_lm,
 )
 
 
