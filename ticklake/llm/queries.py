@@ -11,6 +11,7 @@ from ticklake.llm import (
     best_fit,
     bpe_stream,
     exact_grace,
+    license_rules,
     line_variants,
     masked_lm,
     simhash_pivots,
@@ -47,6 +48,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.packing(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: tuple[Query, ...] = (
     op1_simhash,
+    op2_licenses,
     op3_packing,
     op4_embeddings,
     op5_warc,
