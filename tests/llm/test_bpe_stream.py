@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from ticklake.llm import bpe_stream as op
+from ticklake.llm.queries import byte_bpe
+
+tokenizers = pytest.importorskip("tokenizers")
+
+
+@pytest.fixture(scope="module")
+def definition():
+    return byte_bpe()
+
+
+@pytest.fixture(scope="module")
+def encoder(definition):
+    return op.Encoder(op.Vocabulary(definition))
+
+
+@pytest.fixture(scope="module")
+def reference(definition):
+    return tokenizers.Tokenizer.from_str(definition)
+
+
+def ids_of(encoder, text):
+    return [i for piece in encoder.encode(text) for i in piece]
+
+
+POOL = "aaabcdeeettth  \n\t  'sdllre.,!?<|endoftext|>éñ²½ªǅ漢字🙂\x1c\x85\xa0 0123456789ABC"
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_random_texts(encoder, reference, seed):
+    rng = random.Random(seed)
+    text = "".join(rng.choice(POOL) for _ in range(rng.choice([0, 1, 5, 50, 500, 5000])))
+    if seed % 3 == 0:
+        text += "<|endoftext|>" + text[:3] + "<|endoftext|>"
+    if seed % 2 == 0:
+        text = "".join(c for c in text if c < "ɐ")
+    expected = reference.encode(text, add_special_tokens=False).ids
+    assert ids_of(encoder, text) == expected
+    decoded = "".join(op.decode(encoder.vocabulary, [expected[:3], expected[3:]]))
+    assert decoded == reference.decode(expected, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("alphabet", ["a", "ab", "etaoin", "=-", "*", "0123", "  \n", "漢字"])
+@pytest.mark.parametrize("size", [1_025, 70_000, 140_001])
+def test_long_pre_tokens(encoder, reference, alphabet, size):
+    """One pre-token of any length goes through the bounded buffer."""
+    rng = random.Random(size)
+    text = "".join(rng.choice(alphabet) for _ in range(size))
+    assert ids_of(encoder, text) == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_buffer_is_bounded(encoder):
+    transducer = op.Transducer(encoder.vocabulary)
+    largest = 0
+    for _ in range(200):
+        transducer.feed(b"theretion" * 100)
+        largest = max(largest, len(transducer.buffer))
+    assert largest < 4 * encoder.vocabulary.lookahead + 2 * op.WHOLE + 900
+
+
+def test_lookahead_of_small_lists():
+    vocabulary = op.Vocabulary.__new__(op.Vocabulary)
+    vocabulary.merges = [(b"a", b"b")]
+    assert vocabulary.lookahead == 1
+    other = op.Vocabulary.__new__(op.Vocabulary)
+    other.merges = [(b"b", b"c"), (b"a", b"b"), (b"ab", b"d")]
+    # (a, b) waits for b, and for a c that would take it
+    assert other.lookahead == 2
+
+
+def test_invalid_bytes_decode_like_the_library(encoder, reference):
+    rng = random.Random(5)
+    ids = [rng.randrange(50_257) for _ in range(3000)]
+    pieces = [ids[i : i + 7] for i in range(0, len(ids), 7)]
+    assert "".join(op.decode(encoder.vocabulary, pieces)) == reference.decode(ids, skip_special_tokens=False)
+
+
+def test_memory_of_words_is_bounded(definition, monkeypatch, reference):
+    monkeypatch.setattr(op, "REMEMBERED", 10)
+    small = op.Encoder(op.Vocabulary(definition))
+    text = " ".join(f"word{i % 37}x" for i in range(500))
+    assert ids_of(small, text) == reference.encode(text, add_special_tokens=False).ids
+    assert len(small.known) + len(small.known.older) <= 10
+
+
+def test_round_trip_cases(spark, definition, reference):
+    rows = [(1, "Hello  world"), (2, None), (3, ""), (None, "x<|endoftext|>"), (1, "Hello  world"), (4, "aé" * 90_000)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, ids int")
+    got = sorted((tuple(r) for r in op.round_trip(docs, definition).collect()), key=str)
+    want = []
+    for doc, text in rows:
+        ids = reference.encode(text or "", add_special_tokens=False).ids
+        shown = reference.decode(ids, skip_special_tokens=False)
+        want.append(
+            (
+                doc,
+                len(ids),
+                hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(),
+                hashlib.sha256(shown.encode()).hexdigest(),
+            )
+        )
+    assert got == sorted(want, key=str)
+    assert op.round_trip(docs.limit(0), definition).collect() == []
+    texts = op.decoded(op.encoded(docs, definition), definition).collect()
+    assert sorted(map(str, (r.text for r in texts))) == sorted(str(t or "") for _, t in rows)

@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+
+from ticklake.llm import exact_grace as op
+
+SCHEMA = "doc_id long, text string"
+
+
+def brute(rows):
+    groups: dict[str, list] = {}
+    for doc, text in rows:
+        groups.setdefault(text or "", []).append(doc)
+    out = []
+    for doc, text in rows:
+        ids = [i for i in groups[text or ""] if i is not None]
+        keep = max(ids, default=None)
+        digest = hashlib.sha256((text or "").encode()).hexdigest()
+        out.append((doc, keep, len(groups[text or ""]), doc == keep, digest))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("budget", [1 << 26, 400, 1])
+def test_equals_brute_force(spark, budget):
+    rng = random.Random(1)
+    rows = [(i, rng.choice("abcdefgh") * rng.choice([0, 1, 50, 300])) for i in range(300)]
+    rows += [(1000 + i, "hot") for i in range(150)] + [(2000, None), (None, "hot"), (None, "none"), (5, "x"), (5, "x")]
+    rows += [(3000, "long" * 300_000), (3001, "long" * 300_000)]
+    docs = spark.createDataFrame([(*r, 0, "a") for r in rows], SCHEMA + ", carrier int, hash string").repartition(5)
+    got = sorted((tuple(r) for r in op.exact_groups(docs, budget=budget).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_empty_table(spark):
+    assert op.exact_groups(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("budget", [1, 250, 10_000])
+def test_equal_hashes_are_told_apart(budget):
+    """Content decides, even when every hash collides and every record spills."""
+    contents = [b"a", b"b", b"a", b"c", b"b", b"a" * 500, b"a" * 500]
+    records = ((7, f"r{i}", content) for i, content in enumerate(contents))
+    found = dict(op.grace_classes(records, op.ContentTable(budget)))
+    assert found == {"r0": "r0", "r1": "r1", "r2": "r0", "r3": "r3", "r4": "r1", "r5": "r5", "r6": "r5"}
+
+
+def test_table_grows():
+    table = op.ContentTable()
+    entries = [table.add(i % 7, str(i).encode()) for i in range(3000)]
+    assert [table.find(i % 7, str(i).encode()) for i in range(3000)] == entries
+    assert table.find(1, b"missing") == -1

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from ticklake.llm import line_variants as op
+
+SCHEMA = "doc_id long, text string"
+
+
+def distance(a: list, b: list) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def brute(rows):
+    """Every line against every earlier first occurrence."""
+    lines = sorted(
+        {(doc, number, tuple(words)) for doc, text in rows if doc is not None for number, words in op.split_lines(text or "")}
+    )
+    first: dict[tuple, tuple] = {}
+    out = set()
+    for doc, number, words in lines:
+        if words in first:
+            out.add((doc, number, *first[words], 0))
+            continue
+        near = [
+            place
+            for other, place in first.items()
+            if max(len(words), len(other)) >= op.NEAR_WORDS
+            and abs(len(words) - len(other)) <= 1
+            and distance(list(words), list(other)) <= 1
+        ]
+        first[words] = (doc, number)
+        if near:
+            out.add((doc, number, *min(near), 1))
+    return out
+
+
+def random_rows(rng, docs: int):
+    stock = [[f"w{rng.randrange(30)}" for _ in range(rng.choice([1, 3, 6, 7, 8, 9, 12, 30]))] for _ in range(25)]
+    rows = []
+    for doc in range(docs):
+        lines = []
+        for _ in range(rng.randrange(8)):
+            words = list(rng.choice(stock))
+            for _ in range(rng.choice([0, 0, 1, 1, 2])):
+                at = rng.randrange(len(words))
+                change = rng.choice(["drop", "add", "set"])
+                if change == "drop" and len(words) > 1:
+                    del words[at]
+                elif change == "add":
+                    words.insert(at, f"n{rng.randrange(3)}")
+                else:
+                    words[at] = f"n{rng.randrange(3)}"
+            lines.append(rng.choice([" ", "\t", "  "]).join(words))
+        rows.append((doc * 3 % 101, "\n".join(lines)))
+    return list(dict(rows).items())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_equals_brute_force(spark, monkeypatch, seed):
+    monkeypatch.setattr(op, "PIECE", 2000)  # several pieces of text in a task
+    rows = random_rows(random.Random(seed), 90)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    got = {tuple(r) for r in op.dropped_lines(docs).drop("whole").collect()}
+    assert got == brute(rows)
+
+
+def test_cases(spark):
+    long = "long " * 60_000
+    rows = [
+        (3, "same line\n\nsame line\nother"),
+        (1, "same  line\r"),
+        (2, None),
+        (4, ""),
+        (None, "same line"),
+        (5, "repeated row\nmore"),
+        (5, "repeated row\nmore"),
+        (6, long),
+        (7, long + "x"),
+    ]
+    docs = spark.createDataFrame([(*r, 0, None, "a") for r in rows], SCHEMA + ", n_chars int, line int, whole string")
+    assert {tuple(r) for r in op.dropped_lines(docs).drop("whole").collect()} == {
+        (3, 0, 1, 0, 0),
+        (3, 2, 1, 0, 0),
+        (7, 0, 6, 0, 1),
+    }
+    cleaned = op.without_repeated_lines(docs)
+    assert cleaned.schema == docs.schema
+    texts = sorted(((r.doc_id, r.text) for r in cleaned.collect()), key=str)
+    want = [(3, "\nother"), *rows[1:-1]]
+    assert texts == sorted(want, key=str)  # 7 said nothing new
+    assert {r.doc_id: r.n_chars for r in cleaned.collect()}[3] == len("\nother")
+    empty = spark.createDataFrame([], SCHEMA)
+    assert op.dropped_lines(empty).collect() == [] and op.without_repeated_lines(empty).collect() == []
+
+
+def test_rows_that_repeat_an_id_with_other_texts(spark):
+    docs = spark.createDataFrame([(1, "a b\nc"), (1, "x y\nc"), (2, "x y")], SCHEMA)
+    assert {(r.doc_id, r.text) for r in op.without_repeated_lines(docs).collect()} == {(1, "a b\nc"), (1, "x y\nc")}
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_one_edit(seed):
+    rng = random.Random(seed)
+    for _ in range(200):
+        a, b = ([rng.choice("ab") for _ in range(rng.randrange(6))] for _ in range(2))
+        assert op.within_one_edit(a, b) == (distance(a, b) <= 1)

@@ -163,11 +163,11 @@ RULES = [
 
 #: What a sentence must contain to be a licence sentence; every known one does.
 ANCHOR = re.compile(
-    r"licen[cs]e|permission|redistribution|warranty|warranties|liable|mozilla\.org/mpl|distributed with|public domain"
+    r"licen[cs]e|(?:released|distributed|published|available) under|permission|redistribution|warranty|warranties|liable|mozilla\.org/mpl|distributed with|public domain"
 )
 
-#: Sentences end at these marks before white space, and at the end of a line that has no more to say.
-END = re.compile(r"[.!?](?=\s|$)|:(?=\s*$)")
+#: Sentences end at these marks before white space, but not at the point of "v. 2.0", and at the end of a line that has no more to say.
+END = re.compile(r"(?<!\bv)[.!?](?=\s|$)|:(?=\s*$)")
 LEAD = re.compile(
     r"^(?:this (?:work|project|software|program|file|document|text|code|data|package) (?:is|are) )?"
     r"(?:made )?(?:licensed|released|distributed|published|available) under (?:the terms of )?(?:the |an? )?"

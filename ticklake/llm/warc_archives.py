@@ -103,6 +103,7 @@ class ArchiveWriter:
 
     def __init__(self, folder: str, limit: int = ARCHIVE_BYTES) -> None:
         self.files, self.folder = pyarrow.fs.FileSystem.from_uri(folder)
+        self.files.create_dir(self.folder, recursive=True)
         self.uri, self.limit = folder.rstrip("/"), limit
         self.attempt, self.number = uuid.uuid4().hex, 0
         self.waiting: list[bytes] = []
