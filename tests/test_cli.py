@@ -52,3 +52,41 @@ def test_stream_then_views(spark, run, tmp_path):
     assert rows["candles"] == rows["history"] == rows["gainers_base100"] == 60
     assert rows["overview"] == rows["gainers"] == 2 and rows["summary"] == 16
     assert len(rows) == 11
+
+
+def test_normalise_then_stream_then_compact(spark, run, tmp_path):
+    inbox = tmp_path / "payloads"
+    inbox.mkdir()
+    tickers = [{"s": s, "c": "2", "o": 1, "h": 3, "l": 1, "v": 5, "q": 9, "E": 1704067200000} for s in "AB"]
+    (inbox / "1.txt").write_text(json.dumps([*tickers, {"c": None}, "text"]) + "\nbroken\n")
+    once = ("--checkpoint", tmp_path / "checkpoint", "--once")
+    run("normalise", "--files", inbox, *once, "--output", tmp_path / "messages")
+    (tmp_path / "messages" / "late.txt").write_text("broken\n")
+    run(
+        "stream-table", "--files", str(tmp_path / "messages") + "/*.txt", *once, "--output", tmp_path / "table",
+        "--cross-batch", "--drop-malformed", "--rejects", tmp_path / "rejects",
+    )
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 2
+    assert [r.value for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["broken"]
+    run("compact", "--table", tmp_path / "table", "--output", tmp_path / "closed", "--before", "2024-01-02")
+    assert spark.read.parquet(str(tmp_path / "closed")).count() == 2
+
+
+def test_options_reach_the_readers(spark, monkeypatch):
+    """Parsed arguments only: no broker and no database."""
+    seen = {}
+    monkeypatch.setattr(cli, "kafka_messages", lambda spark, kafka, **options: seen.update(options))
+    monkeypatch.setattr(cli, "scan_jdbc", lambda spark, jdbc, *arguments: seen.update(scan=arguments))
+    monkeypatch.setenv("TICKLAKE_JDBC_URL", "jdbc:none")
+    stream = ["stream-table", "--output", "o", "--checkpoint", "c"]
+    kafka = ["--ignore-data-loss", "--min-partitions", "40", "--max-offsets", "1000", "--starting-offsets", "earliest"]
+    cli._messages(spark, cli.parser().parse_args(stream + kafka))
+    assert seen == {
+        "starting_offsets": "earliest",
+        "fail_on_data_loss": False,
+        "min_partitions": 40,
+        "max_offsets_per_trigger": 1000,
+    }
+    split = ["--partition-column", "id", "--lower", "0", "--upper", "900", "--partitions", "9"]
+    cli._table(spark, cli.parser().parse_args(["report", "--table", "t", "--output", "o", "--jdbc", *split]))
+    assert seen["scan"] == ("t", "id", "0", "900", 9)

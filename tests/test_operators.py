@@ -71,6 +71,44 @@ def test_period_comes_after_the_limit(make_ticks):
     assert sorted(r.close_price for r in got.collect()) == [7.0, 8.0, 9.0]
 
 
+@pytest.fixture
+def paris(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_newest_in_the_repeated_autumn_hour(spark, paris):
+    """Half past two happens twice; the second one is newer."""
+    runs = spark.sql(
+        "SELECT 'A' AS symbol, timestamp_micros(m * 1000000L) AS run_ts, timestamp_micros(m * 1000000L) AS timestamp_ts"
+        " FROM VALUES (1729989000L), (1729992600L), (1729985400L) AS t(m)"
+    )
+    assert runs.selectExpr("CAST(run_ts AS string) AS local").distinct().count() == 2
+    newest = filters.latest_snapshot(runs).selectExpr("unix_seconds(run_ts)").collect()
+    assert [r[0] for r in newest] == [1729992600]
+    hour = filters.period_window(runs, "1H").selectExpr("unix_seconds(run_ts)").collect()
+    assert sorted(r[0] for r in hour) == [1729989000, 1729992600]
+
+
+@pytest.mark.parametrize("share", [0.75, 0.5, 0.0, 1.0, 0.333])
+@pytest.mark.parametrize(
+    "values",
+    [[], [None], [5.0], [None, 3.0], [2.0] * 9, [1.0, 2.0], [float(i * i % 37) for i in range(300)], [1e300, -1e300, 0.0]],
+)
+def test_quantile_matches_numpy(spark, values, share):
+    rows = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
+    got = spark.range(1).select(alerts.quantile(rows, "x", share)).first()[0]
+    known = [v for v in values if v is not None]
+    assert got == (pytest.approx(float(np.quantile(known, share)), rel=1e-12) if known else None)
+
+
+def test_quantile_keeps_no_buffer_of_all_values(spark):
+    rows = spark.range(1000).selectExpr("CAST(id AS double) AS x")
+    plan = spark.range(1).select(alerts.quantile(rows, "x", 0.75))._jdf.queryExecution().toString()
+    assert "percentile" not in plan
+
+
 def test_latest_snapshot(make_ticks):
     rows = make_ticks([("A", 0, 1.0), ("A", 86400, 2.0), ("B", 86401, 3.0)])
     rows = rows.withColumn("run_ts", F.date_trunc("day", "timestamp_ts").cast("timestamp_ntz"))

@@ -7,13 +7,16 @@ from conftest import SMALL
 from oracle_check import compare
 
 import __spark_entry__ as contract
+from ticklake.plans import catalog, oracle
 
 
-def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_tick_query_has_a_twin():
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("key", list(contract.queries()))
+@pytest.mark.parametrize("key", list(catalog.queries()))
 def test_query_equals_sql(spark, key):
     assert compare(spark, SMALL, key) is None
 

@@ -57,10 +57,15 @@ def test_snapshot_array_file(spark, tmp_path, indent):
         TICKER | {"closeTime": None},
     ],
 )
-def test_one_bad_ticker_fails_the_snapshot(spark, tmp_path, broken):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_one_bad_ticker_fails_the_snapshot(spark, tmp_path, broken, ansi):
     path = landed(tmp_path, json.dumps([TICKER, broken]))
-    with pytest.raises(Exception):
-        load_snapshot(spark, path, RUN).collect()
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="snapshot ticker with"):
+            load_snapshot(spark, path, RUN).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_broken_text_fails_the_snapshot(spark, tmp_path):

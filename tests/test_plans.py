@@ -123,7 +123,7 @@ def test_ordinary_symbols_take_one_shuffle(spark):
 
 def test_cut_windows_broadcast_only_bounded_lists(spark, ticks):
     order, back = [F.asc_nulls_last("timestamp_ts")], [F.desc_nulls_first("timestamp_ts")]
-    cut = slices.with_reach(ticks, 20, 24, ["timestamp_ts", "close_price"], order, back)
+    cut = slices.with_reach(ticks, slices.large_symbols(ticks, 20), 24, ["timestamp_ts", "close_price"], order, back)
     text = plan(cut)
     assert "SortMergeJoin" not in text
     assert "WindowGroupLimit" in text

@@ -81,12 +81,13 @@ def test_ties_follow_the_tie_column(spark):
 
 def test_only_large_symbols_are_cut(make_ticks):
     rows = make_ticks(walk(1))
-    assert slices.row_limit(rows) is None
-    assert slices.row_limit(rows.filter("false")) is None
-    assert slices.row_limit(rows, 30) == 30
+    assert slices.large_symbols(rows) is None
+    assert slices.large_symbols(rows.filter("false")) is None
+    large = slices.large_symbols(rows, 30)
+    assert large.limit == 30
     order = [F.asc_nulls_last("timestamp_ts")]
     back = [F.desc_nulls_first("timestamp_ts")]
-    cut = slices.with_reach(rows, 30, 24, ["timestamp_ts", "close_price"], order, back)
+    cut = slices.with_reach(rows, large, 24, ["timestamp_ts", "close_price"], order, back)
     assert {r.symbol for r in cut.filter("slice IS NOT NULL").select("symbol").collect()} == {"BIG"}
     own = cut.filter("own").groupBy("symbol", "slice").count()
     assert own.filter("symbol = 'BIG'").agg(F.max("count")).first()[0] <= 30
@@ -95,14 +96,37 @@ def test_only_large_symbols_are_cut(make_ticks):
     assert borrowed.agg(F.max("count")).first()[0] <= 24
 
 
-def test_slices_need_utc(spark, make_ticks):
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("start", ["2024-10-26 12:00:00", "2024-03-30 12:00:00", "1969-12-31 20:00:00"])
+def test_a_cut_changes_nothing_in_any_zone(spark, kind, start):
+    """Also where clocks go back or forward inside the series."""
+    ticks = spark.range(300).select(
+        F.lit("A").alias("symbol"),
+        F.expr(f"TIMESTAMP_NTZ'{start}' + make_dt_interval(0, 0, 0, id * 311.25)").cast("timestamp_ntz").alias("t"),
+        F.col("id").cast("double").alias("close_price"),
+    )
+    results = []
+    for zone in ("UTC", "Europe/Paris"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            ntz = F.col("t") if kind == "timestamp_ntz" else F.to_utc_timestamp(F.col("t").cast("timestamp"), "UTC")
+            timed = ticks.withColumn("timestamp_ts", ntz.cast(kind)).drop("t")
+            order = "timestamp_ts", "close_price"
+            for slice_rows in (None, 40, 3):
+                got = series.moving_averages(timed, slice_rows=slice_rows, tie="close_price")
+                results.append((zone, [tuple(r) for r in got.orderBy(*order).select("close_price", "ma7", "ma25").collect()]))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for zone in ("UTC", "Europe/Paris"):
+        same = [rows for where, rows in results if where == zone]
+        assert same[0] == same[1] == same[2] and len(same[0]) == 300
+
+
+def test_the_count_can_be_shared(make_ticks):
     rows = make_ticks(walk(1))
-    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
-    try:
-        with pytest.raises(ValueError, match="UTC"):
-            series.moving_averages(rows, slice_rows=5)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    large = slices.large_symbols(rows, 30)
+    shared = series.moving_averages(rows, slice_rows=None, large=large).collect()
+    assert sorted(map(str, shared)) == sorted(map(str, series.moving_averages(rows, slice_rows=None).collect()))
 
 
 def test_candles(make_ticks):

@@ -7,9 +7,10 @@ import json
 
 import pytest
 
+from ticklake.operators.dedup import dedup_ticks, latest_millisecond
 from ticklake.sources.messages import file_messages
 from ticklake.streaming import jobs, writers
-from ticklake.streaming.parse import enrich, parse_ticks
+from ticklake.streaming.parse import enrich, parse_ticks, rejected_messages
 
 NOW = {"availableNow": True}
 BASE = 1704067200000
@@ -79,15 +80,97 @@ def test_repeats_collapse_inside_a_batch_only(spark, tmp_path):
     )
 
 
-@pytest.mark.parametrize("spread", [1, 16])
-def test_cross_batch_dedup(spark, tmp_path, spread):
+def test_cross_batch_dedup(spark, tmp_path):
     inbox = tmp_path / "in"
     land(inbox, "1.txt", *[message("A", 0)] * 50, message("B", 0))
     land(inbox, "2.txt", message("A", 0), message("A", 1))
-    got = run_table(spark, tmp_path, inbox, cross_batch=True, spread=spread)
+    got = run_table(spark, tmp_path, inbox, cross_batch=True)
     assert [(s, t) for s, t, _ in keys(got)] == [("A", "00:00:00"), ("A", "00:00:01"), ("B", "00:00:00")]
 
 
+def test_late_ticks_are_kept(spark, tmp_path):
+    """However late: two hours and two days behind, unique or known; keys may be NULL."""
+    inbox = tmp_path / "in"
+    land(inbox, "1.txt", message("A", 200_000), message("A", 20), "broken")
+    land(inbox, "2.txt", message("A", 300_000), "broken")
+    land(inbox, "3.txt", message("LATE", 193_000), message("OLD", 1), message("A", 20), message("A", 200_000))
+    got = run_table(spark, tmp_path, inbox, cross_batch=True)
+    assert sorted((r.symbol or "", r.batch_id) for r in got.collect()) == [
+        ("", 0),
+        ("A", 0),
+        ("A", 0),
+        ("A", 1),
+        ("LATE", 2),
+        ("OLD", 2),
+    ]
+
+
+def test_differing_ticks_of_a_second_have_one_winner(spark, tmp_path):
+    """The latest millisecond; of equal milliseconds the same row in any order of arrival."""
+    rows = [message("A", 5, close) for close in (1.0, 2.0, 3.0)]
+    late = json.loads(rows[0]) | {"close_price": 9.0}
+    late["timestamp"] += 700
+    for order in (rows, rows[::-1]):
+        inbox = tmp_path / f"in-{order is rows}"
+        land(inbox, "1.txt", *order, json.dumps(late))
+        land(inbox, "2.txt", *order)
+        folder = tmp_path / f"out-{order is rows}"
+        folder.mkdir()
+        got = run_table(spark, folder, inbox, cross_batch=True).collect()
+        assert [r.close_price for r in got] == [9.0]
+    winners = set()
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        ticks = parse_ticks(spark.createDataFrame([(m,) for m in order], "value string").repartition(3))
+        ticks = enrich(ticks)
+        winners.add(dedup_ticks(ticks, latest_millisecond(ticks)).first().close_price)
+    assert len(winners) == 1
+
+
+def test_cross_batch_replay_adds_nothing(spark, tmp_path):
+    store = writers.parquet_writer(str(tmp_path / "table"))
+    ticks = enrich(parse_ticks(spark.createDataFrame([(message("A", 1),), (message("B", 2),)], "value string")))
+    write = writers.deduplicating(store, cross_batch=True)
+    for batch_id in (0, 1, 0, 1):
+        write(ticks, batch_id)
+    assert sorted((r.symbol, r.batch_id) for r in store.read(spark).collect()) == [("A", 0), ("B", 0)]
+
+
+def test_cross_batch_needs_a_table_to_look_into():
+    with pytest.raises(ValueError, match="parquet_writer"):
+        writers.deduplicating(lambda rows, batch_id: None, cross_batch=True)
+
+
+def test_stored_days_prune_and_compact(spark, tmp_path):
+    inbox = tmp_path / "in"
+    day = 86_400
+    land(inbox, "1.txt", *[message("A", d * day) for d in range(4)])
+    land(inbox, "2.txt", *[message("B", d * day) for d in range(4)])
+    run_table(spark, tmp_path, inbox)
+    store = writers.parquet_writer(str(tmp_path / "table"))
+    plan = store.earlier(store.read(spark).limit(1), 7)._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters")[1].split("]")[0]
+    first = store.read(spark).selectExpr("min(date)").first()[0]
+    before = str(first + dt.timedelta(days=3))
+    for _ in range(2):  # again changes nothing
+        writers.compact_days(store.read(spark), str(tmp_path / "closed"), before)
+    closed = spark.read.parquet(str(tmp_path / "closed"))
+    assert closed.count() == 6 and closed.select("date").distinct().count() == 3
+
+
+def test_rejects_go_to_their_own_table(spark, tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "1.txt", message("A", 0), "broken", "{}", "7")
+    messages = file_messages(spark, str(inbox), 1)
+    out, checkpoint = str(tmp_path / "rejects"), str(tmp_path / "rejects-checkpoint")
+    jobs.rejects_to_parquet(messages, out, checkpoint, NOW).awaitTermination()
+    run_table(spark, tmp_path, inbox, drop_malformed=True)
+    rejected = spark.read.parquet(out)
+    assert sorted(r.value for r in rejected.collect()) == ["7", "broken"]
+    batch = spark.createDataFrame([(message("A", 0),), ("broken",), (None,), ("{}",)], "value string")
+    assert parse_ticks(batch, drop_malformed=True).count() + rejected_messages(batch).count() == 4
+    assert rejected_messages(batch).filter("value IS NULL").count() == 1
+
+
 def test_failed_batch_stops_the_query_and_is_replayed(spark, tmp_path):
     inbox = two_files(tmp_path)
     real = writers.parquet_writer(str(tmp_path / "table"))

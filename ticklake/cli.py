@@ -16,8 +16,10 @@ from ticklake.operators import filters
 from ticklake.plans import dashboard, market_report
 from ticklake.session import build_session
 from ticklake.settings import JdbcSettings, KafkaSettings
-from ticklake.sinks.tables import append_snapshot, create_snapshot_table
+from ticklake.sinks.messages import publish_files, publish_stream
+from ticklake.sinks.tables import append_jdbc, append_snapshot, create_snapshot_table
 from ticklake.sources.messages import file_messages, kafka_messages
+from ticklake.sources.mini_tickers import explode_mini_tickers
 from ticklake.sources.snapshots import load_snapshot
 from ticklake.sources.tables import scan_jdbc
 from ticklake.streaming import jobs, writers
@@ -25,14 +27,22 @@ from ticklake.streaming import jobs, writers
 
 def _table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.jdbc:
-        return scan_jdbc(spark, JdbcSettings.from_env(), args.table)
+        split = (args.partition_column, args.lower, args.upper, args.partitions)
+        return scan_jdbc(spark, JdbcSettings.from_env(), args.table, *split)
     return spark.read.parquet(args.table) if "/" in args.table else spark.table(args.table)
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.files:
         return file_messages(spark, args.files)
-    return kafka_messages(spark, KafkaSettings.from_env(), starting_offsets=args.starting_offsets)
+    return kafka_messages(
+        spark,
+        KafkaSettings.from_env(),
+        starting_offsets=args.starting_offsets,
+        fail_on_data_loss=not args.ignore_data_loss,
+        min_partitions=args.min_partitions,
+        max_offsets_per_trigger=args.max_offsets,
+    )
 
 
 def _trigger(args: argparse.Namespace) -> jobs.Trigger | None:
@@ -44,8 +54,12 @@ def _trigger(args: argparse.Namespace) -> jobs.Trigger | None:
 def snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
     now = dt.datetime.now(dt.timezone.utc)
     run_ts = dt.datetime.fromisoformat(args.run_ts) if args.run_ts else now
+    rows = load_snapshot(spark, args.input, run_ts, args.multi_line)
+    if args.jdbc:
+        append_jdbc(rows, JdbcSettings.from_env(), args.table)
+        return
     create_snapshot_table(spark, args.table, args.location)
-    append_snapshot(load_snapshot(spark, args.input, run_ts, args.multi_line), args.table)
+    append_snapshot(rows, args.table)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -79,11 +93,38 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
             drop_malformed=args.drop_malformed,
         )
     queries = [query]
+    if args.rejects:
+        rejects = jobs.rejects_to_parquet(messages, args.rejects, f"{args.checkpoint}/rejects", trigger)
+        queries.append(rejects)
     if args.console:
         queries.append(jobs.ticks_to_console(messages, f"{args.checkpoint}/console", trigger))
     jobs.wait_for(spark, *queries)
 
 
+def normalise(spark: SparkSession, args: argparse.Namespace) -> None:
+    ticks, target = explode_mini_tickers(_messages(spark, args)), f"{args.checkpoint}/normalise"
+    if args.output:
+        query = publish_files(ticks, args.output, target, _trigger(args))
+    else:
+        query = publish_stream(ticks, KafkaSettings.from_env(topic_variable=args.topic_variable), target, _trigger(args))
+    jobs.wait_for(spark, query)
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    writers.compact_days(writers.parquet_writer(args.table).read(spark), args.output, args.before)
+
+
+def _add_source(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--files", help="folder of landed messages; default is Kafka")
+    job.add_argument("--starting-offsets", default="latest")
+    job.add_argument("--ignore-data-loss", action="store_true", help="go on where Kafka lost messages")
+    job.add_argument("--min-partitions", type=int, help="read Kafka with at least so many tasks")
+    job.add_argument("--max-offsets", type=int, help="messages per micro-batch")
+    job.add_argument("--checkpoint", required=True)
+    job.add_argument("--every", help="trigger interval", default=None)
+    job.add_argument("--once", action="store_true", help="process what is there and end")
+
+
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="ticklake")
     commands = root.add_subparsers(dest="job", required=True)
@@ -94,6 +135,7 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--location")
     load.add_argument("--run-ts", help="ISO time of the snapshot, UTC; default now")
     load.add_argument("--multi-line", action="store_true")
+    load.add_argument("--jdbc", action="store_true", help="append to a database table")
     load.set_defaults(run=snapshot)
 
     made = commands.add_parser("report", help="rankings and summary of the newest snapshot")
@@ -106,23 +148,36 @@ def parser() -> argparse.ArgumentParser:
     for reader in (made, shown):
         reader.add_argument("--table", required=True, help="table name or Parquet path")
         reader.add_argument("--jdbc", action="store_true")
+        reader.add_argument("--partition-column", help="splits a JDBC scan, with the next three")
+        reader.add_argument("--lower")
+        reader.add_argument("--upper")
+        reader.add_argument("--partitions", type=int)
         reader.add_argument("--output", required=True)
 
     for name in ("stream-parquet", "stream-table"):
         job = commands.add_parser(name)
-        job.add_argument("--files", help="folder of landed messages; default is Kafka")
-        job.add_argument("--starting-offsets", default="latest")
+        _add_source(job)
         job.add_argument("--output", required=True, help="path, or table with --jdbc")
-        job.add_argument("--checkpoint", required=True)
-        job.add_argument("--every", help="trigger interval", default=None)
-        job.add_argument("--once", action="store_true", help="process what is there and end")
         job.add_argument("--drop-malformed", action="store_true")
+        job.add_argument("--rejects", help="Parquet path for what --drop-malformed leaves out")
         job.add_argument("--console", action="store_true")
         job.set_defaults(run=stream)
         if name == "stream-table":
             job.set_defaults(every="1 second")
             job.add_argument("--jdbc", action="store_true")
             job.add_argument("--cross-batch", action="store_true")
+
+    made = commands.add_parser("normalise", help="payload arrays to tick messages")
+    _add_source(made)
+    made.add_argument("--output", help="folder for message files; default is Kafka")
+    made.add_argument("--topic-variable", default="KAFKA_OUTPUT_TOPIC", help="variable that names the topic")
+    made.set_defaults(run=normalise)
+
+    packed = commands.add_parser("compact", help="few files per closed day of the stream table")
+    packed.add_argument("--table", required=True)
+    packed.add_argument("--output", required=True)
+    packed.add_argument("--before", required=True, help="first day that stays open")
+    packed.set_defaults(run=compact)
     return root
 
 

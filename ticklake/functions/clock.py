@@ -19,6 +19,12 @@ def snapshot_date(run_ts: Column | str = "run_ts") -> Column:
     return F.to_date(_col(run_ts))
 
 
+def utc_date(timestamp: Column | str = "timestamp_ts") -> Column:
+    """The UTC day of a TIMESTAMP, whatever the session zone."""
+    days = F.floor(F.unix_micros(_col(timestamp)) / F.lit(86_400_000_000)).cast("int")
+    return F.date_from_unix_date(days)
+
+
 def epoch_seconds(run_ts: Column | str = "run_ts") -> Column:
     return F.unix_seconds(_col(run_ts).cast("timestamp"))
 

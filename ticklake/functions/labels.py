@@ -6,12 +6,26 @@ round the shortest decimal text half-up and disagree on ties.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed value: volatility from which a label warns.
 VOLATILITY_WARNING = 0.02
 
+#: Column labels of the dashboard's ranking and alert tables.
+TABLE_LABELS = {
+    "symbol": "Symbole",
+    "close_price": "Prix Clôture",
+    "volume": "Volume",
+    "pct_change": "Variation (%)",
+    "volatility": "Volatilité",
+}
+
+
+def labelled(rows: DataFrame) -> DataFrame:
+    """A ranking or alert table under its display labels, in its own column order."""
+    return rows.select(*(F.col(name).alias(TABLE_LABELS[name]) for name in rows.columns))
+
 
 def percent_text(fraction: Column) -> Column:
     """``0.0123`` as ``1.23%``."""

@@ -6,9 +6,11 @@ checkpointed frame (one row per symbol), else the ticks behind it are scanned tw
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake import scratch
+
 #: A move above this many percent, a volatility above this quantile.
 LARGE_MOVE = 5
 HIGH_VOLATILITY = 0.75
@@ -18,13 +20,37 @@ def _is_large_move(threshold: float) -> Column:
     return F.abs("pct_change") > threshold
 
 
-def _volatility_bound(latest: DataFrame, quantile: float) -> Column:
-    """The interpolated quantile over symbols.
+def quantile(rows: DataFrame, column: str, share: float) -> Column:
+    """The interpolated quantile of a column as a scalar subquery; NULL without values.
 
-    ``percentile`` merges value counts map-side; the values are rounded to six places, so
-    equal ones collapse and the merged buffer stays small.
+    Counts per value are summed up before the shuffle and sorted by range. The sizes of the
+    ranges, one row each, tell which of them hold the two order statistics; only those
+    are ordered, each by itself, so no task sees all values.
     """
-    return latest.agg(F.percentile("volatility", quantile)).scalar()
+    counts = rows.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    ranged = scratch.checkpointed(
+        counts.agg(F.count(F.lit(1)).alias("n"))
+        .repartitionByRange("value")
+        .withColumn("part", F.spark_partition_id())
+    )
+    parts = ranged.groupBy("part").agg(F.sum("n").alias("rows"))
+    so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    place = (F.sum("rows").over(Window.partitionBy(F.lit(0))) - 1) * F.lit(share)
+    placed = parts.select(
+        "part", "rows", F.coalesce(F.sum("rows").over(so_far), F.lit(0)).alias("before"), place.alias("place")
+    ).filter((F.floor("place") < F.col("before") + F.col("rows")) & (F.ceil("place") >= F.col("before")))
+    inside = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.col("before") + F.sum("n").over(inside)
+    picked = ranged.join(F.broadcast(placed), "part").withColumn("reached", reached)
+    return picked.agg(
+        F.min(F.when(F.col("reached") > F.floor("place"), F.col("value"))).alias("lower"),
+        F.min(F.when(F.col("reached") > F.ceil("place"), F.col("value"))).alias("upper"),
+        F.max(F.col("place") - F.floor("place")).alias("rest"),
+    ).select(F.col("lower") * (1 - F.col("rest")) + F.col("upper") * F.col("rest")).scalar()
+
+
+def _volatility_bound(latest: DataFrame, share: float) -> Column:
+    return quantile(latest, "volatility", share)
 
 
 def large_moves(latest: DataFrame, threshold: float = LARGE_MOVE) -> DataFrame:
@@ -33,18 +59,18 @@ def large_moves(latest: DataFrame, threshold: float = LARGE_MOVE) -> DataFrame:
     )
 
 
-def high_volatility(latest: DataFrame, quantile: float = HIGH_VOLATILITY) -> DataFrame:
-    bound = _volatility_bound(latest, quantile)
+def high_volatility(latest: DataFrame, share: float = HIGH_VOLATILITY) -> DataFrame:
+    bound = _volatility_bound(latest, share)
     return latest.filter(F.col("volatility") > bound).select(
         "symbol", "volatility", "pct_change", "volume"
     )
 
 
 def alert_counts(
-    latest: DataFrame, threshold: float = LARGE_MOVE, quantile: float = HIGH_VOLATILITY
+    latest: DataFrame, threshold: float = LARGE_MOVE, share: float = HIGH_VOLATILITY
 ) -> DataFrame:
     """Symbols per alert class; a class without symbols has no row."""
-    bound = _volatility_bound(latest, quantile)
+    bound = _volatility_bound(latest, share)
     alerts = F.array_compact(
         F.array(
             F.when(_is_large_move(threshold), "large_move"),

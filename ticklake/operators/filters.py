@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Period label -> hours before the newest tick; None keeps everything.
 PERIODS = {"1H": 1, "24H": 24, "7J": 7 * 24, "30J": 30 * 24, "Tout": None}
@@ -15,11 +16,16 @@ def _newest(ticks: DataFrame, column: str) -> Column:
     """The column's maximum as a literal of its type.
 
     One value is fetched because a scalar subquery does not reach the scan: only a literal
-    lets Parquet skip the files and row groups below it. It travels as text, which keeps
-    microseconds and no zone but the session's.
+    lets Parquet skip the files and row groups below it. It is frozen when the plan is
+    built. A TIMESTAMP travels as epoch microseconds, since its local text names two instants in
+    the hour that repeats in autumn; the other types have no zone and travel as text.
     """
+    kind = ticks.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        micros = ticks.agg(F.unix_micros(F.max(column))).first()[0]
+        return F.timestamp_micros(F.lit(micros).cast("bigint"))
     text = ticks.agg(F.max(column).cast("string")).first()[0]
-    return F.lit(text).cast(ticks.schema[column].dataType)
+    return F.lit(text).cast(kind)
 
 
 def latest_snapshot(
@@ -30,7 +36,10 @@ def latest_snapshot(
     ``day`` names a partition column that never falls while ``run`` rises: the search for
     the newest run then stays inside the last partition. ``recorded`` names a stored
     column that is never before its row's ``run``: a predicate on it is pushed to the scan
-    where ``run`` itself is computed.
+    where ``run`` itself is computed. Spark pushes it for TIMESTAMP, not for TIMESTAMP_NTZ.
+
+    With ``day`` two values are fetched, one after the other: of a table appended to in
+    between, the result is the newest run of the last day as the first look saw it.
     """
     rows = ticks if day is None else ticks.filter(F.col(day) == _newest(ticks, day))
     newest = _newest(rows, run)

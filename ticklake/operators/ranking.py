@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP = 5
@@ -53,7 +53,9 @@ def default_pairs(symbols: DataFrame, preferred: Sequence[str] = PREFERRED_PAIRS
     """The preferred pairs if all exist, else the alphabetically first ones, as many."""
     wanted = list(preferred)
     names = symbols.select("symbol").distinct().filter(F.col("symbol").isNotNull())
-    found = names.filter(F.col("symbol").isin(wanted)).agg(F.count("symbol")).scalar()
-    place = F.array_position(F.array(*(F.lit(name) for name in wanted)), F.col("symbol"))
-    rank = F.when((found == len(wanted)) & (place > 0), place).otherwise(len(wanted) + 1)
-    return names.orderBy(rank, "symbol").limit(len(wanted))
+    place = F.nullif(F.array_position(F.array(*(F.lit(name) for name in wanted)), F.col("symbol")), F.lit(0))
+    # Enough for either answer: the preferred names that exist, and the first of the others.
+    few = names.withColumn("place", place).orderBy(F.asc_nulls_last("place"), "symbol")
+    few = few.limit(2 * len(wanted)).withColumn("found", F.count("place").over(Window.partitionBy(F.lit(0))))
+    rank = F.when(F.col("found") == len(wanted), F.col("place"))
+    return few.orderBy(F.asc_nulls_last(rank), "symbol").limit(len(wanted)).select("symbol")

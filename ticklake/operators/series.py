@@ -35,6 +35,7 @@ def moving_averages(
     tie: str | None = None,
     newest_first: bool = False,
     slice_rows: int | None = slices.SLICE_ROWS,
+    large: slices.Large | None = None,
 ) -> DataFrame:
     """Row means over each tick and the ones before it, per symbol.
 
@@ -43,7 +44,8 @@ def moving_averages(
     dashboard averages that way.
 
     Counts rows per symbol first: if one exceeds ``slice_rows``, its window is cut into
-    time slices with the same results. ``slice_rows=None`` skips the count and the cut.
+    time slices with the same results. ``slice_rows=None`` skips the count, and the cut too
+    unless the caller has counted and gives ``large``.
     """
     known = ticks.filter(F.col("symbol").isNotNull())
     sort_keys = [time] + ([tie] if tie else [])
@@ -55,11 +57,12 @@ def moving_averages(
 
     keys = ["symbol"]
     rows = known
-    limit = slices.row_limit(known, slice_rows) if slice_rows is not None else None
-    if limit is not None:
+    if large is None and slice_rows is not None:
+        large = slices.large_symbols(known, slice_rows)
+    if large is not None:
         reach = max(frames.values()) - 1
         needed = list(dict.fromkeys([*sort_keys, column]))
-        rows = slices.with_reach(known, limit, reach, needed, order, backwards, time)
+        rows = slices.with_reach(known, large, reach, needed, order, backwards, time)
         keys.append("slice")
     walk = Window.partitionBy(*keys).orderBy(*order)
 
@@ -75,7 +78,7 @@ def moving_averages(
     counted = rows.withColumn("so_far", so_far)
     averaged = counted.withColumns({name: mean(length) for name, length in frames.items()})
     averaged = averaged.drop("so_far")
-    if limit is not None:
+    if large is not None:
         averaged = averaged.filter("own").drop("own", "slice")
     return averaged
 

@@ -3,46 +3,68 @@
 A window partitioned by symbol puts each symbol in one task. Here a symbol above the row
 limit is cut into days, a day above it into minutes, a minute above it into seconds, and
 each slice also receives the few rows before it that its first frames reach back to. The
-results equal the uncut window.
+results equal the uncut window in every session zone: slices are ranges of microseconds,
+of the epoch for TIMESTAMP and of the wall clock for TIMESTAMP_NTZ.
 
 Sizes are bounded by counting: a bucket is only split when it holds more than
 ``max(slice_rows, all rows / MAX_HOT)`` rows, so at most MAX_HOT buckets per level can be
 split and their list is safe to broadcast. Splitting adds at most ``reach`` rows per
 slice, a vanishing share of a bucket that large. A second is the finest slice: more rows
-of one symbol than the limit inside one second stay together, and after ``dedup_ticks``
-a second holds one.
+of one symbol than the limit inside one second stay together, as do a symbol's rows without
+a time; after ``dedup_ticks`` either holds one row. The window that borrows rows meets
+``reach`` rows of each slice of a symbol in one task.
+
+The table is read four times: to count per symbol, to count the seconds of large symbols, for
+the rows of each slice and for the borrowed ones. Counts are kept in the shared folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ticklake.session import require_utc
+from ticklake import scratch
 
 SLICE_ROWS = 4_000_000
 MAX_HOT = 100_000
 
-#: Each level's slices, coarse to fine.
-LADDER = ("day", "minute", "second")
+#: Each level's slices, coarse to fine, in microseconds.
+SECOND = 1_000_000
+LADDER = {"day": 86_400 * SECOND, "minute": 60 * SECOND, "second": SECOND}
+
+#: The slice of rows without a time, behind all others.
+LAST = 2**63 - 1
+
 
+@dataclass(frozen=True)
+class Large:
+    """The row limit, and the symbols above it: at most MAX_HOT."""
 
-def row_limit(ticks: DataFrame, slice_rows: int = SLICE_ROWS) -> int | None:
-    """Rows above which a symbol is cut; None when no symbol is that large.
+    limit: int
+    symbols: DataFrame
 
-    Counts rows per symbol (one column, combined map-side) and fetches one row.
+
+def large_symbols(ticks: DataFrame, slice_rows: int = SLICE_ROWS) -> Large | None:
+    """What is to be cut; None when no symbol is that large.
+
+    Counts rows per symbol (one column, combined map-side), keeps the counts in the shared
+    folder and fetches one row. Callers with several windows over one table count once.
     """
-    counts = ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
+    counts = scratch.checkpointed(ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows")))
     total, largest = counts.agg(F.sum("rows"), F.max("rows")).first()
     limit = max(slice_rows, (total or 0) // MAX_HOT)
-    return limit if (largest or 0) > limit else None
+    if (largest or 0) <= limit:
+        return None
+    return Large(limit, counts.filter(F.col("rows") > limit).select("symbol"))
 
 
 def with_reach(
     ticks: DataFrame,
-    limit: int,
+    large: Large,
     reach: int,
     needed: Sequence[str],
     order: Sequence[Column],
@@ -51,19 +73,18 @@ def with_reach(
 ) -> DataFrame:
     """Rows with their ``slice`` (``own`` true) plus, per slice, the ``reach`` rows before it.
 
-    ``slice`` is NULL for symbols of ordinary size, else the start of the row's slice.
+    ``slice`` is NULL for symbols of ordinary size, else the first microsecond of the row's slice.
     ``order`` and its reverse ``backwards`` sort one symbol; ``needed`` are the columns the
     frames read, all the others are NULL in borrowed rows (``own`` false).
     """
-    require_utc(ticks.sparkSession)
-    hot = _hot_buckets(ticks, time, limit)
+    hot = _hot_buckets(ticks, time, large)
     own = _assign(ticks, time, hot)
 
-    large = ticks.select("symbol", *needed).join(F.broadcast(hot[0]), "symbol")
+    cut = ticks.select("symbol", *needed).join(F.broadcast(hot[0]), "symbol")
     from_end = Window.partitionBy("symbol", "slice").orderBy(*backwards)
     ahead = Window.partitionBy("symbol").orderBy(*order).rowsBetween(1, reach)
     borrowed = (
-        _assign(large, time, hot)
+        _assign(cut, time, hot)
         .withColumn("from_end", F.row_number().over(from_end))
         .filter(F.col("from_end") <= reach)
         .withColumn("next_slices", F.collect_set("slice").over(ahead))
@@ -75,25 +96,36 @@ def with_reach(
     )
 
 
-def _bucket(unit: str, time: str) -> Column:
-    return F.date_trunc(unit, F.col(time).cast("timestamp"))
-
-
-def _hot_buckets(ticks: DataFrame, time: str, limit: int) -> list[DataFrame]:
-    """Per level, the (symbol, bucket) pairs too large to stay whole; the first has no bucket."""
-    found: list[DataFrame] = []
-    parents = ticks.select("symbol", time)
-    keys = ["symbol"]
-    for level in range(len(LADDER)):
-        counts = parents.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-        hot = counts.filter(F.col("rows") > limit).drop("rows")
-        found.append(hot)
-        if level + 1 < len(LADDER):
-            inside = parents.join(F.broadcast(hot), keys)
-            keys = ["symbol", f"bucket_{level}"]
-            parents = inside.withColumn(keys[1], _bucket(LADDER[level], time)).select(
-                "symbol", time, keys[1]
-            )
+def _micros(ticks: DataFrame, time: str) -> Column:
+    """The time in microseconds, without the session zone having a say."""
+    moment = F.col(time)
+    if isinstance(ticks.schema[time].dataType, T.TimestampType):
+        return F.unix_micros(moment)
+    of_day = F.hour(moment) * 3600 + F.minute(moment) * 60
+    second = (F.extract(F.lit("SECOND"), moment) * SECOND).cast("bigint")
+    days = F.unix_date(moment.cast("date")).cast("bigint")
+    return days * LADDER["day"] + of_day.cast("bigint") * SECOND + second
+
+
+def _bucket(micros: Column, unit: str) -> Column:
+    return F.coalesce(micros - F.pmod(micros, F.lit(LADDER[unit])), F.lit(LAST))
+
+
+def _hot_buckets(ticks: DataFrame, time: str, large: Large) -> list[DataFrame]:
+    """Per level, the (symbol, bucket) pairs too large to stay whole; the first has no bucket.
+
+    One pass counts the seconds of the large symbols; coarser buckets add those up.
+    """
+    inside = ticks.select("symbol", _micros(ticks, time).alias("at")).join(F.broadcast(large.symbols), "symbol")
+    seconds = scratch.checkpointed(
+        inside.groupBy("symbol", _bucket(F.col("at"), "second").alias("at")).agg(F.count(F.lit(1)).alias("rows"))
+    )
+    found = [large.symbols]
+    for unit in list(LADDER)[:-1]:
+        bucket = F.when(F.col("at") == LAST, LAST).otherwise(_bucket(F.col("at"), unit)).alias("bucket")
+        counts = seconds.groupBy("symbol", bucket).agg(F.sum("rows").alias("rows"))
+        hot = counts.filter((F.col("rows") > large.limit) & (F.col("bucket") < LAST))
+        found.append(hot.select("symbol", "bucket"))
     return found
 
 
@@ -102,17 +134,16 @@ def _assign(ticks: DataFrame, time: str, hot: list[DataFrame]) -> DataFrame:
 
     Bucket starts of different levels cannot be confused: a split bucket keeps no rows.
     """
-    last = F.lit("9999-12-31").cast("timestamp")
-    rows = ticks.withColumn("slice", F.lit(None).cast("timestamp"))
+    rows = ticks.withColumns({"slice": F.lit(None).cast("bigint"), "at": _micros(ticks, time)})
+    units = list(LADDER)
     for level, buckets in enumerate(hot):
-        marked = buckets.withColumn("split", F.lit(True))
+        marked = F.broadcast(buckets.withColumn("split", F.lit(True)))
         if level:
-            name = f"bucket_{level - 1}"
-            rows = rows.withColumn(name, _bucket(LADDER[level - 1], time))
-            rows = rows.join(F.broadcast(marked), ["symbol", name], "left").drop(name)
+            rows = rows.withColumn("bucket", _bucket(F.col("at"), units[level - 1]))
+            rows = rows.join(marked, ["symbol", "bucket"], "left").drop("bucket")
         else:
-            rows = rows.join(F.broadcast(marked), "symbol", "left")
-        start = F.coalesce(_bucket(LADDER[level], time), last)
+            rows = rows.join(marked, "symbol", "left")
+        start = _bucket(F.col("at"), units[level])
         rows = rows.withColumn("slice", F.when(F.col("split"), start).otherwise(F.col("slice")))
         rows = rows.drop("split")
-    return rows
+    return rows.drop("at")

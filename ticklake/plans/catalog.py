@@ -11,20 +11,21 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklake import scratch
 from ticklake.functions import clock, indicators, labels
 from ticklake.operators import alerts, dedup, filters, ranking, series, stats
 from ticklake.plans import dashboard, market_report
-from ticklake.schemas import SNAPSHOT_COLUMNS, STREAM_COLUMNS
+from ticklake.schemas import DASHBOARD_COLUMNS, SNAPSHOT_COLUMNS, STREAM_COLUMNS, TICK_MESSAGE
 from ticklake.sinks.messages import to_messages
 from ticklake.sinks.tables import append_snapshot, create_snapshot_table
 from ticklake.sources import events
+from ticklake.sources.messages import file_messages
 from ticklake.sources.mini_tickers import explode_mini_tickers
 from ticklake.sources.snapshots import load_snapshot
-from ticklake.streaming import jobs, writers
+from ticklake.streaming import jobs, parse, writers
 from ticklake.streaming.parse import parse_ticks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,9 +33,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: ``event_id`` never falls while ``ts`` rises, so it orders the ticks of a symbol.
 ORDER = "event_id"
 
+#: Symbols of the watched list.
+WATCHED = ("S1", "S2", "S3", "S5", "S8", "S13")
+
 #: Fixed value: rows of the "most recent" view.
 RECENT = 2000
 
+#: Files per copy of the landed messages, each a micro-batch of its own.
+LANDED_FILES = 4
+
 AVAILABLE_NOW = {"availableNow": True}
 
 _QUERIES: dict[str, Query] = {}
@@ -227,6 +234,33 @@ _named("period_window_30d", _period("30J"))
 _named("period_window_recent", _period("24H", RECENT))
 
 
+@_query
+def dashboard_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard's read: listed symbols, their newest ticks, then the period."""
+    rows = filters.recent_ticks(events.ticks(spark, sf_dir), WATCHED, RECENT, ORDER)
+    return filters.period_window(rows, "7J").select(*DASHBOARD_COLUMNS, ORDER)
+
+
+@_query
+def history_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The details table of one symbol, with the place of each row in it."""
+    ticks = events.ticks(spark, sf_dir)
+    shown = series.history_table(series.symbol_history(ticks, tie=ORDER), WATCHED[0])
+    place = F.row_number().over(Window.orderBy(F.desc("Timestamp"), F.asc("Open")))  # one symbol's rows
+    return shown.withColumn("place", place)
+
+
+@_query
+def ranking_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The volume ranking under the labels that the dashboard shows."""
+    return labels.labelled(ranking.latest_by_volume(_latest(spark, sf_dir)))
+
+
+@_query
+def alert_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.labelled(alerts.large_moves(_latest(spark, sf_dir)))
+
+
 @_query
 def symbol_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stats.symbol_overview(events.ticks(spark, sf_dir), ORDER)
@@ -422,8 +456,7 @@ def snapshot_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.withColumn("run_ts", _ntz("run_ts"))
 
 
-def _stored_stream(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path)
+def _stored_stream(rows: DataFrame) -> DataFrame:
     return rows.select(*(_ntz(c) if c == "timestamp_ts" else F.col(c) for c in STREAM_COLUMNS))
 
 
@@ -435,7 +468,7 @@ def stream_ticks_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
         to_messages(ticks), f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW
     )
     stream.awaitTermination()
-    return _stored_stream(spark, f"{folder}/table")
+    return _stored_stream(spark.read.parquet(f"{folder}/table"))
 
 
 @_query
@@ -448,32 +481,64 @@ def stream_mini_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages, f"{folder}/table", f"{folder}/checkpoint", AVAILABLE_NOW
     )
     stream.awaitTermination()
-    return _stored_stream(spark, f"{folder}/table")
+    return _stored_stream(spark.read.parquet(f"{folder}/table"))
 
 
-def _dedup_stream(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
+def _land_repeated(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Every message twice, in several files: the second copies in files of their own.
+
+    Days stay together, so a file holds all ticks of a second, and each file is a micro-batch.
+    """
+    inbox = f"{folder}/inbox"
+    day = F.pmod(F.floor(F.col("timestamp") / 86_400_000), F.lit(LANDED_FILES)).alias("day")
+    ticks = _message_ticks(events.ticks(spark, sf_dir))
+    messages = ticks.select(F.struct(*TICK_MESSAGE.names).alias("tick"), day).select("tick.*", "day")
+    for _ in range(2):
+        landed = to_messages(messages.repartition(LANDED_FILES, "day"))
+        landed.write.mode("append").text(inbox)
+    return inbox
+
+
+def _dedup_stream(spark: SparkSession, sf_dir: str, name: str, cross_batch: bool) -> DataFrame:
     folder = scratch.new_folder(spark, name)
-    ticks = _message_ticks(events.as_ticks(events.stream_events(spark, sf_dir)))
-    repeated = to_messages(ticks).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    store = writers.parquet_writer(f"{folder}/table")
+    inbox = _land_repeated(spark, sf_dir, folder)
     stream = jobs.ticks_to_table(
-        repeated.select("value"),
-        writers.parquet_writer(f"{folder}/table"),
+        file_messages(spark, inbox, max_files_per_trigger=1),
+        store,
         f"{folder}/checkpoint",
         AVAILABLE_NOW,
-        **options,
+        cross_batch=cross_batch,
     )
     stream.awaitTermination()
-    return _stored_stream(spark, f"{folder}/table")
+    return _stored_stream(store.read(spark))
 
 
 @_query
 def stream_foreachbatch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dedup_stream(spark, sf_dir, "stream-dedup")
+    """Repeats fall into other micro-batches, so each is stored twice."""
+    return _dedup_stream(spark, sf_dir, "stream-dedup", cross_batch=False)
 
 
 @_query
 def stream_cross_batch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delay covers the table's span, so no tick is late."""
-    return _dedup_stream(spark, sf_dir, "stream-dedup-all", cross_batch=True, delay="60 days")
+    """Every tick of the second half comes late and is known; none is dropped for its age."""
+    return _dedup_stream(spark, sf_dir, "stream-dedup-all", cross_batch=True)
+
 
+def _mixed_messages(ticks: DataFrame) -> DataFrame:
+    """Per tick one good message and four that are none."""
+    good = F.to_json(F.struct(*TICK_MESSAGE.names), {"ignoreNullFields": "false"})
+    broken = F.concat(F.lit("{"), F.col("symbol"))
+    bad_field = F.concat(F.lit('{"symbol":"'), F.col("symbol"), F.lit('","close_price":"none"}'))
+    empty = F.lit(None).cast("string")
+    return ticks.select(F.explode(F.array(good, broken, bad_field, F.lit("7"), empty)).alias("value"))
 
+
+@_query
+def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected messages, which make up all of them."""
+    messages = _mixed_messages(_message_ticks(events.ticks(spark, sf_dir)))
+    accepted = parse_ticks(messages, drop_malformed=True).select("symbol", F.lit("accepted").alias("kind"))
+    rejected = parse.rejected_messages(messages).select(F.col("value"), F.lit("rejected").alias("kind"))
+    return accepted.select("kind", F.col("symbol").alias("value")).union(rejected.select("kind", "value"))

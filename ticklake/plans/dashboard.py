@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions import indicators
-from ticklake.operators import alerts, filters, ranking, series, stats
+from ticklake.operators import alerts, filters, ranking, series, slices, stats
 from ticklake.schemas import DASHBOARD_COLUMNS
 
 LATEST_COLUMNS = [name for name in DASHBOARD_COLUMNS if name != "symbol"]
@@ -69,11 +69,13 @@ def write_views(ticks: DataFrame, path: str) -> None:
     set itself is scanned per view, as it may be far larger than memory.
     """
     columns = ticks.select(*DASHBOARD_COLUMNS)
+    # counted once for both views with windows
+    counted = {"slice_rows": None, "large": slices.large_symbols(columns.filter("symbol IS NOT NULL"))}
     newest = latest(columns).persist()
     views = {
         "overview": stats.symbol_overview(columns),
-        "candles": series.candle_series(columns),
-        "history": series.symbol_history(columns),
+        "candles": series.candle_series(columns, **counted),
+        "history": series.symbol_history(columns, **counted),
         "summary": symbol_summary(columns),
         "top_volume": ranking.latest_by_volume(newest),
         "gainers": ranking.gainers(newest),

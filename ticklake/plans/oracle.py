@@ -157,6 +157,7 @@ def _latest(source: str) -> str:
 
 _LATEST = _TICKS + _latest("ticks")
 
+# Fixed values, as in the summary's plan.
 _SUMMARY_METRICS = {
     "Prix Ouverture": "open_price",
     "Prix Clôture": "close_price",
@@ -198,7 +199,18 @@ _STREAM = """SELECT symbol, close_price, open_price, high_price, low_price, volu
   high_price-low_price AS spread, (high_price+low_price)/2 AS mid_price FROM ticks"""
 
 _ONE_PER_SECOND = """QUALIFY row_number() OVER (
-  PARTITION BY symbol, date_trunc('second', ticks.timestamp_ts) ORDER BY event_id {}) = 1"""
+  PARTITION BY symbol, date_trunc('second', ticks.timestamp_ts) ORDER BY event_id DESC) = 1"""
+
+_WATCHED = "('S1', 'S2', 'S3', 'S5', 'S8', 'S13')"
+
+# Labels of the ranking and alert tables.
+_TABLE_LABELS = {
+    "symbol": 'symbol AS "Symbole"',
+    "close_price": 'close_price AS "Prix Clôture"',
+    "volume": 'volume AS "Volume"',
+    "pct_change": 'pct_change AS "Variation (%)"',
+    "volatility": 'volatility AS "Volatilité"',
+}
 
 _PARTIAL = """SELECT symbol, close_price, 0::double AS open_price, 0::double AS high_price,
   0::double AS low_price, 0::double AS volume, 0::double AS quote_volume, timestamp_ts FROM ticks"""
@@ -311,6 +323,24 @@ SELECT TIMESTAMP '2024-02-01 00:00:00', concat('N', symbol), {_TICKER} FROM tick
         "stream_ticks_parquet": f"{_TICKS} {_STREAM}",
         "stream_mini_tickers": f"""{_TICKS}, partial AS ({_PARTIAL})
 {_STREAM} UNION ALL {_STREAM.replace('FROM ticks', 'FROM partial')}""",
-        "stream_foreachbatch_dedup": f"{_TICKS} {_STREAM} {_ONE_PER_SECOND.format('DESC')}",
-        "stream_cross_batch_dedup": f"{_TICKS} {_STREAM} {_ONE_PER_SECOND.format('ASC')}",
+        "stream_foreachbatch_dedup": f"{_TICKS}, one AS ({_STREAM} {_ONE_PER_SECOND})"
+        " SELECT * FROM one UNION ALL SELECT * FROM one",
+        "stream_cross_batch_dedup": f"{_TICKS} {_STREAM} {_ONE_PER_SECOND}",
+        "rejected_messages": f"""{_TICKS}
+SELECT 'accepted' AS kind, symbol AS value FROM ticks UNION ALL
+SELECT 'rejected', unnest([concat('{{', symbol),
+  concat('{{"symbol":"', symbol, '","close_price":"none"}}'), '7', NULL]) FROM ticks""",
+        "dashboard_read": f"""{_TICKS}, recent AS (SELECT * FROM ticks WHERE symbol IN {_WATCHED}
+  ORDER BY timestamp_ts DESC, event_id DESC, symbol LIMIT 2000)
+SELECT {_OHLCV} FROM recent WHERE timestamp_ts >= (SELECT max(timestamp_ts) FROM recent) - INTERVAL 168 HOUR""",
+        "history_labels": f"""{_TICKS} SELECT timestamp_ts AS "Timestamp", open_price AS "Open",
+  high_price AS "High", low_price AS "Low", close_price AS "Close", volume AS "Volume",
+  {_PCT} AS "% Change", {_CLOSE_VOLATILITY} AS "Volatility", {_SPREAD} AS "Spread",
+  cast(row_number() OVER (ORDER BY timestamp_ts DESC, open_price) AS integer) AS place
+FROM ticks WHERE symbol = 'S1'""",
+        "ranking_labels": f"""{_LATEST} SELECT {_TABLE_LABELS['symbol']}, {_TABLE_LABELS['close_price']},
+  {_TABLE_LABELS['volume']}, {_TABLE_LABELS['pct_change']}, {_TABLE_LABELS['volatility']}
+FROM latest ORDER BY volume DESC NULLS LAST, symbol LIMIT 5""",
+        "alert_labels": f"""{_LATEST} SELECT {_TABLE_LABELS['symbol']}, {_TABLE_LABELS['pct_change']},
+  {_TABLE_LABELS['volume']}, {_TABLE_LABELS['volatility']} FROM latest WHERE abs(pct_change) > 5""",
     }

@@ -6,6 +6,7 @@ executor sees them and a lost executor loses nothing.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    # One process only, as in tests: local-cluster has executors of its own.
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         return tempfile.gettempdir()
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 

@@ -13,9 +13,11 @@ class KafkaSettings:
     topic: str
 
     @classmethod
-    def from_env(cls, env: Mapping[str, str] | None = None) -> KafkaSettings:
+    def from_env(
+        cls, env: Mapping[str, str] | None = None, topic_variable: str = "KAFKA_TOPIC"
+    ) -> KafkaSettings:
         env = os.environ if env is None else env
-        return cls(env.get("KAFKA_BOOTSTRAP", "localhost:9092"), env.get("KAFKA_TOPIC", "ticks"))
+        return cls(env.get("KAFKA_BOOTSTRAP", "localhost:9092"), env.get(topic_variable, "ticks"))
 
 
 @dataclass(frozen=True)

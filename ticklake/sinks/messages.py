@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ticklake.schemas import TICK_MESSAGE
 from ticklake.settings import KafkaSettings
@@ -30,7 +32,21 @@ def publish(ticks: DataFrame, kafka: KafkaSettings) -> None:
     to_messages(ticks).write.format("kafka").options(**kafka_sink_options(kafka)).save()
 
 
-def publish_stream(ticks: DataFrame, kafka: KafkaSettings, checkpoint: str) -> StreamingQuery:
-    writer = to_messages(ticks).writeStream.format("kafka").outputMode("append")
-    writer = writer.options(**kafka_sink_options(kafka))
-    return writer.option("checkpointLocation", checkpoint).start()
+def _started(writer: DataStreamWriter, checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
+    writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def publish_stream(
+    ticks: DataFrame, kafka: KafkaSettings, checkpoint: str, trigger: Mapping | None = None
+) -> StreamingQuery:
+    writer = to_messages(ticks).writeStream.format("kafka").options(**kafka_sink_options(kafka))
+    return _started(writer, checkpoint, trigger)
+
+
+def publish_files(
+    ticks: DataFrame, path: str, checkpoint: str, trigger: Mapping | None = None
+) -> StreamingQuery:
+    """The same messages as lines of text files, which the file source reads."""
+    writer = to_messages(ticks).writeStream.format("text").option("path", path)
+    return _started(writer, checkpoint, trigger)

@@ -24,25 +24,24 @@ def explode_mini_tickers(messages: DataFrame) -> DataFrame:
     elements = messages.select(parsed.alias("payload")).select(
         F.explode(F.expr("try_cast(payload AS ARRAY<VARIANT>)")).alias("element")
     )
-    # A found symbol proves an object; only without one is the element itself converted.
-    objects = elements.filter(
-        "variant_get(element, '$.s') IS NOT NULL"
-        " OR try_cast(element AS MAP<STRING, VARIANT>) IS NOT NULL"
+    # One cast reads all fields: a missing one is NULL, an explicit null a VARIANT null.
+    # Generators, not projections: what they hold is computed once, also for the filters.
+    kinds = ", ".join(f"{field}: VARIANT" for field in MINI_TICKER_FIELDS.values())
+    read = F.expr(f"try_cast(element AS STRUCT<{kinds}>)").alias("fields")
+    objects = elements.select("element", F.explode(F.array(read)).alias("fields")).filter(
+        reduce(Column.__or__, (F.col(f"fields.{f}").isNotNull() for f in MINI_TICKER_FIELDS.values()))
+        | F.expr("try_cast(element AS MAP<STRING, VARIANT>) IS NOT NULL")
     )
-    # A generator, not a projection: its fields are read once, also by the filter below.
-    fields = F.struct(*(_field(name) for name in MINI_TICKER_FIELDS))
-    ticks = objects.select(F.inline(F.array(fields)))
+    ticks = objects.select(F.inline(F.array(F.struct(*map(_field, MINI_TICKER_FIELDS)))))
     numbers = [name for name in MINI_TICKER_FIELDS if name != "symbol"]
     return ticks.filter(reduce(Column.__and__, (F.col(name).isNotNull() for name in numbers)))
 
 
 def _field(name: str) -> Column:
-    """The typed field; the default applies only where the path itself is missing."""
-    path = f"$.{MINI_TICKER_FIELDS[name]}"
+    """The typed field; the default applies only where the field itself is missing."""
+    field = f"fields.{MINI_TICKER_FIELDS[name]}"
     kind, default = {"symbol": ("STRING", "''"), "timestamp": ("BIGINT", "0L")}.get(
         name, ("DOUBLE", "0D")
     )
-    return F.expr(
-        f"coalesce(try_variant_get(element, '{path}', '{kind}'),"
-        f" CASE WHEN variant_get(element, '{path}') IS NULL THEN {default} END)"
-    ).alias(name)
+    missing = F.col(field).isNull()
+    return F.when(missing, F.expr(default)).otherwise(F.expr(f"try_cast({field} AS {kind})")).alias(name)

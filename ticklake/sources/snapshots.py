@@ -17,7 +17,8 @@ def load_snapshot(
 
     A line holds one ticker or an array of tickers, so large landings split by line;
     ``multi_line=True`` reads pretty-printed files, one task each. Any broken text, missing
-    field or bad number fails the load: a snapshot is taken whole or not at all.
+    field or bad number fails the load, whatever the session's ANSI setting: a snapshot is
+    taken whole or not at all.
     ``run_ts`` is UTC, one value for the whole snapshot.
     """
     payload = (
@@ -27,16 +28,17 @@ def load_snapshot(
         .json(path)
     )
     kinds = {name: "double" for name in MEASURES} | {"symbol": "string", "close_time": "bigint"}
-    columns = {name: _required(field).cast(kinds[name]) for name, field in SNAPSHOT_FIELDS.items()}
+    columns = {name: _required(field, kinds[name]) for name, field in SNAPSHOT_FIELDS.items()}
     columns["run_ts"] = F.timestamp_micros(F.lit(_micros(run_ts)))
     return payload.select(*(columns[name].alias(name) for name in SNAPSHOT_COLUMNS))
 
 
-def _required(field: str) -> Column:
-    value = F.col(field)
-    return F.when(value.isNotNull(), value).otherwise(
-        F.raise_error(F.lit(f"snapshot ticker without {field}"))
-    )
+def _required(field: str, kind: str) -> Column:
+    text = F.col(field)
+    bad = F.concat(F.lit(f"snapshot ticker with {field} "), text)
+    missing = F.lit(f"snapshot ticker without {field}")
+    value = text.try_cast(kind)
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.coalesce(bad, missing)))
 
 
 def _micros(moment: dt.datetime) -> int:

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ticklake.operators.dedup import TICK_KEY
-from ticklake.streaming.parse import enrich, parse_ticks
+from ticklake.functions.clock import utc_date
+from ticklake.streaming.parse import enrich, parse_ticks, rejected_messages
 from ticklake.streaming.writers import BatchWriter, deduplicating
 
 Trigger = Mapping[str, object]
@@ -36,9 +36,9 @@ def ticks_to_parquet(
     trigger: Trigger | None = None,
     drop_malformed: bool = False,
 ) -> StreamingQuery:
-    """Parsed and enriched ticks to Parquet, partitioned by day; exactly once."""
+    """Parsed and enriched ticks to Parquet, partitioned by UTC day; exactly once."""
     ticks = enrich(parse_ticks(messages, drop_malformed))
-    dated = ticks.withColumn("date", F.to_date("timestamp_ts"))
+    dated = ticks.withColumn("date", utc_date("timestamp_ts"))
     writer = dated.writeStream.format("parquet").option("path", path).partitionBy("date")
     return _started(writer, checkpoint, trigger)
 
@@ -49,25 +49,23 @@ def ticks_to_table(
     checkpoint: str,
     trigger: Trigger | None = EVERY_SECOND,
     cross_batch: bool = False,
-    delay: str = "10 minutes",
-    spread: int = 16,
     drop_malformed: bool = False,
 ) -> StreamingQuery:
     """Parsed, enriched and de-duplicated ticks to a micro-batch writer.
 
-    Repeats are removed inside a micro-batch. ``cross_batch`` also remembers the keys of
-    earlier batches for ``delay`` of event time; state then grows with the rate of ticks
-    times the delay, over the shuffle partitions. A tick with very many copies is first
-    reduced in ``spread`` groups, so that no task receives them all; 1 leaves that out.
+    Repeats are removed inside a micro-batch; ``cross_batch`` also removes those of ticks
+    stored by other batches. It keeps no state: each batch looks up the days it has ticks of.
     """
     ticks = enrich(parse_ticks(messages, drop_malformed))
-    if cross_batch:
-        ticks = ticks.withWatermark("timestamp_ts", delay)
-        if spread > 1:
-            salted = ticks.withColumn("salt", F.floor(F.rand() * spread))
-            ticks = salted.dropDuplicatesWithinWatermark([*TICK_KEY, "salt"]).drop("salt")
-        ticks = ticks.dropDuplicatesWithinWatermark(TICK_KEY)
-    writer = ticks.writeStream.foreachBatch(deduplicating(write))
+    writer = ticks.writeStream.foreachBatch(deduplicating(write, cross_batch))
+    return _started(writer, checkpoint, trigger)
+
+
+def rejects_to_parquet(
+    messages: DataFrame, path: str, checkpoint: str, trigger: Trigger | None = None
+) -> StreamingQuery:
+    """The messages that ``drop_malformed`` leaves out, exactly once, as a ``value`` column."""
+    writer = rejected_messages(messages).writeStream.format("parquet").option("path", path)
     return _started(writer, checkpoint, trigger)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,30 +11,36 @@ from ticklake.functions.clock import tick_timestamp
 from ticklake.schemas import TICK_MESSAGE
 
 _BROKEN = "broken"
+_EMPTY = "empty"
 _PARSED = T.StructType(TICK_MESSAGE.fields + [T.StructField(_BROKEN, T.StringType())])
 
 
+def _is_good() -> Column:
+    return F.col(_BROKEN).isNull() & ~F.col(_EMPTY)
+
+
 def _parsed(messages: DataFrame) -> DataFrame:
     text = F.col("value").cast("string")
     data = F.from_json(text, _PARSED, {"columnNameOfCorruptRecord": _BROKEN})
-    return messages.select(data.alias("data")).select("data.*")
+    parsed = messages.select(data.alias("data"), F.col("value").isNull().alias(_EMPTY))
+    return parsed.select("data.*", _EMPTY)
 
 
 def parse_ticks(messages: DataFrame, drop_malformed: bool = False) -> DataFrame:
     """One row per message.
 
-    A message that is no tick object stays as a row of NULLs, a bad field as a NULL;
-    ``drop_malformed`` leaves both kinds to ``rejected_messages``.
+    A message that is no tick object, or NULL, stays as a row of NULLs, a bad field as a
+    NULL; ``drop_malformed`` leaves all three kinds to ``rejected_messages``.
     """
     parsed = _parsed(messages)
     if drop_malformed:
-        parsed = parsed.filter(F.col(_BROKEN).isNull())
-    return parsed.drop(_BROKEN)
+        parsed = parsed.filter(_is_good())
+    return parsed.drop(_BROKEN, _EMPTY)
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:
-    """The text of the messages ``drop_malformed`` leaves out."""
-    parsed = _parsed(messages).filter(F.col(_BROKEN).isNotNull())
+    """The text of the messages ``drop_malformed`` leaves out; NULL for a NULL message."""
+    parsed = _parsed(messages).filter(~_is_good())
     return parsed.select(F.col(_BROKEN).alias("value"))
 
 

@@ -7,24 +7,74 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ticklake.operators.dedup import dedup_ticks
-from ticklake.schemas import STREAM_COLUMNS
+from ticklake.functions.clock import utc_date
+from ticklake.operators.dedup import dedup_ticks, latest_millisecond, not_stored
+from ticklake.schemas import MEASURES, STREAM_COLUMNS
 from ticklake.settings import JdbcSettings
 from ticklake.sinks.tables import append_jdbc
 
 log = logging.getLogger(__name__)
 
+#: Writes the rows of one micro-batch; it must run exactly one action on them.
 BatchWriter = Callable[[DataFrame, int], None]
 
+#: Columns of the stored stream, then its partitions.
+STORED = T.StructType(
+    [T.StructField("symbol", T.StringType())]
+    + [T.StructField(name, T.DoubleType()) for name in MEASURES]
+    + [T.StructField("timestamp_ts", T.TimestampType())]
+    + [T.StructField(name, T.DoubleType()) for name in ("spread", "mid_price")]
+    + [T.StructField("date", T.DateType()), T.StructField("batch_id", T.LongType())]
+)
 
-def parquet_writer(path: str) -> BatchWriter:
-    """One ``batch_id`` partition per micro-batch, overwritten when the batch is replayed."""
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+class ParquetTicks:
+    """A Parquet table of ticks by UTC day, and by micro-batch inside a day.
 
-    return write
+    A replayed batch overwrites its own partitions, so it adds nothing; time filters on
+    ``date`` prune the others. Days that get no more ticks are for ``compact_days``.
+    """
+
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        dated = rows.withColumns({"date": utc_date("timestamp_ts"), "batch_id": F.lit(batch_id)})
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("date", "batch_id").parquet(self.path)
+
+    def read(self, spark) -> DataFrame:
+        """All stored ticks; none before the first batch."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        return spark.read.schema(STORED).parquet(self.path)
+
+    def earlier(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Ticks of other batches on the days that occur in ``rows``: one value per day is fetched."""
+        days = [row.date for row in rows.select(utc_date("timestamp_ts").alias("date")).distinct().collect()]
+        known = [day for day in days if day is not None]
+        wanted = F.col("date").isin(known)
+        if len(known) < len(days):
+            wanted = wanted | F.col("date").isNull()
+        return self.read(rows.sparkSession).filter(wanted & (F.col("batch_id") != batch_id))
+
+
+def parquet_writer(path: str) -> ParquetTicks:
+    return ParquetTicks(path)
+
+
+def compact_days(stored: DataFrame, output: str, before: str) -> None:
+    """Ticks of the days before a date in few files per day below ``output``.
+
+    Running it again overwrites the same days. Readers take closed days from ``output`` and
+    later ones from the stream's table, so no reader meets a half-written day.
+    """
+    closed = stored.filter(F.col("date") < F.lit(before).cast("date")).drop("batch_id")
+    rows = closed.repartition("date", F.pmod(F.xxhash64("symbol", "timestamp_ts"), F.lit(8)))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date").parquet(output)
 
 
 def jdbc_writer(jdbc: JdbcSettings, table: str) -> BatchWriter:
@@ -36,17 +86,24 @@ def jdbc_writer(jdbc: JdbcSettings, table: str) -> BatchWriter:
     return write
 
 
-def deduplicating(write: BatchWriter) -> BatchWriter:
+def deduplicating(write: BatchWriter, cross_batch: bool = False) -> BatchWriter:
     """Dedup one micro-batch, keep the stream columns, write, and log the row count.
 
-    Of repeats, the one with the latest millisecond stays, so a replayed batch writes the
-    same rows. The count is observed during the write, so the batch runs once. Errors
-    propagate: the query stops, its checkpoint stays, and a restart replays the batch.
+    Of repeats, the one with the latest millisecond stays, then the one a hash of the row
+    picks, so a replayed batch writes the same rows. ``cross_batch`` also leaves out keys that
+    another batch has stored, however late they come: it needs a ``ParquetTicks`` to look
+    them up in, and nothing is dropped for its age. The count is observed during the write, so the
+    batch runs once. Errors propagate: the query stops, its checkpoint stays, and a restart
+    replays the batch.
     """
+    if cross_batch and not isinstance(write, ParquetTicks):
+        raise ValueError("cross-batch de-duplication looks stored ticks up: write them with parquet_writer")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         counted = Observation(f"batch_{batch_id}")
-        rows = dedup_ticks(batch, order="timestamp").select(*STREAM_COLUMNS)
+        rows = dedup_ticks(batch, order=latest_millisecond(batch)).select(*STREAM_COLUMNS)
+        if cross_batch:
+            rows = not_stored(rows, write.earlier(batch, batch_id))
         write(rows.observe(counted, F.count(F.lit(1)).alias("rows")), batch_id)
         log.info("batch %s wrote %s rows", batch_id, counted.get["rows"])
 
