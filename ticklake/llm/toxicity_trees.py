@@ -46,7 +46,8 @@ STAND_INS = str.maketrans("013457@$!", "oieastasi")
 WORD = re.compile(r"[^\W\d_]+")
 UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 PUNCTUATION = re.compile(r"[!-/:-@\[-`{-~]")
-DISGUISED = re.compile(r"[^\W\d_]+(?:[0-9@$!*.\-_]{1,2}[^\W\d_]+)+|[@$][^\W\d_]{2,}")
+# possessive, and only from a word's first letter, so that a plain word is passed over in one go
+DISGUISED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[0-9@$!*.\-_]{1,2}[^\W\d_]++)+|[@$][^\W\d_]{2,}")
 SPACED = re.compile(r"\b(?:[^\W\d_][ .\-_*]){3,}[^\W\d_]\b")
 STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 
@@ -107,6 +108,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     """The dense description of a whole text; a text without words gives zeros."""
     whole = {term: weight for term, weight in lexicon.items() if term[0] != "^"}
     stems = {term[1:]: weight for term, weight in lexicon.items() if term[0] == "^"}
+    telling = SECOND_PERSON.union(whole)
     count = upper = letters = loud = marks = shouts = asks = disguised = spaced = stretched = 0
     hits: list[int] = []
     stem_hits: list[int] = []
@@ -115,7 +117,7 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
     hidden = 0
     for piece in _pieces(text):
         words = WORD.findall(lowered := piece.lower())
-        for at, word in enumerate(words, count):
+        for at, word in [(n, w) for n, w in enumerate(words, count) if w in telling or w[:STEM] in stems]:
             if word in whole:
                 hits.append(at)
                 seen[word] += 1
@@ -132,7 +134,8 @@ def features(text: str, lexicon: dict[str, float]) -> list[float]:
         marks += len(PUNCTUATION.findall(piece))
         shouts += piece.count("!")
         asks += piece.count("?")
-        for match in DISGUISED.finditer(piece):
+        odd = " ".join([token for token in piece.split() if not token.isalpha()])
+        for match in DISGUISED.finditer(odd):
             disguised += 1
             plain = _plain(match.group())
             hidden += plain in whole and match.group().lower() != plain
