@@ -242,7 +242,7 @@ def linked_vectors(
         .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("vector").alias("vector")),
         "vectors",
     )
-    sizes = [r[0] for r in distinct.select(F.size("vector")).distinct().limit(1000).collect()]
+    sizes = [r[0] for r in distinct.select(F.size("vector")).distinct().collect()]  # lengths, not rows
     found = None
     for size in sizes:
         part = distinct.where(F.size("vector") == size) if len(sizes) > 1 else distinct
