@@ -99,3 +99,56 @@ def test_similar_documents(spark):
     kept = op.kept_documents(docs)
     assert kept.columns == ["doc_id", "text"]
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [0, 2, 3, None]
+
+
+def test_similarity_of_sets():
+    scheme = op.SIMILAR
+    words = [f"w{i}" for i in range(14)]
+    whole, part, other = (op.shingle_set(" ".join(w), scheme) for w in (words, words[:12], ["q"] * 50))
+    assert (len(whole), len(part), len(other)) == (10, 8, 1)
+    assert op.similarity(whole, part) == op.similarity(part, whole) == 0.8
+    assert op.similarity(whole, other) == 0
+    none = op.shingle_set("", scheme)
+    assert op.similarity(none, none) == 1 and op.similarity(none, whole) == op.similarity(whole, none) == 0
+
+
+def edited(rng, words, share):
+    out = list(words)
+    at = rng.randrange(len(out))
+    return out[:at] + [f"n{rng.randrange(10**6)}" for _ in range(round(share * len(out)))] + out[at:]
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_similar_groups_are_those_of_the_texts(spark, monkeypatch, split):
+    """Also with blocks split by rows and by bytes; texts on both sides of the threshold."""
+    if split:
+        monkeypatch.setattr(op, "SHINGLE_BYTES", 4000)
+    rng = random.Random(11)
+    texts = [None, "", "one", "one", "One two", "same " * 300, "same " * 300 + "and then some more words here"]
+    for _ in range(25):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([20, 60, 200]))]
+        texts.append(" ".join(words))
+        texts += [" ".join(edited(rng, words, share)) for share in (0.05, 0.1, 0.2, 0.24, 0.3)]
+    sets = [set(op.shingle_set(t or "", op.SIMILAR).tolist()) for t in texts]
+    label = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] | sets[b])
+            if (not both or len(sets[a] & sets[b]) >= 0.8 * both) and label[a] != label[b]:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(3)
+    scheme = replace(op.SIMILAR, limit=3 if split else 2048)
+    got = {r.doc_id: r.component_id for r in op.groups(docs, scheme).collect()}
+    assert got == dict(enumerate(label))
+
+
+def test_similar_cases(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    longer = text + " " + " ".join(f"x{i}" for i in range(8))  # 36 of 44 shingles
+    rows = [(5, longer), (5, text), (3, "apart " * 9), (None, text), (None, None), (7, text + " x0"), (7, text + " x0")]
+    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA + ", key int, node int, shingles int")
+    got = sorted(((r.doc_id, r.component_id) for r in op.groups(docs, op.SIMILAR).collect()), key=str)
+    assert got == sorted([(5, 5), (5, 5), (3, 3), (None, 5), (None, None), (7, 5), (7, 5)], key=str)
+    assert op.kept_documents(docs).columns == docs.columns
+    assert op.kept_documents(docs.limit(0)).collect() == []

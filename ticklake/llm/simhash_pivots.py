@@ -16,6 +16,11 @@ the first reference, so that partners lie in a sliding window of width ``radius`
 Blocks above ``limit`` rows are split: very large ones by bands of the remaining bits,
 others into pairs of sub-blocks. No pair within the radius is lost by a split of the first
 kind when there are ``radius + 1`` bands, nor ever by one of the second.
+
+Where links are a Jaccard similarity of the texts and not a distance of the fingerprints, the
+distance only proposes. Fingerprints within ``sure`` bits are links; of pairs between ``sure``
+and ``radius`` that these do not join yet, the shingles themselves are compared. Their texts meet
+in the blocks where the fingerprints met, so no list of pairs is made.
 """
 
 from __future__ import annotations
@@ -54,7 +59,9 @@ class Scheme:
     """How fingerprints are made and which of them are links.
 
     ``bits`` is a multiple of 64. With ``bands`` of ``radius + 1`` or more no link is
-    missed; with fewer, the share found follows from the width of a band.
+    missed; with fewer, the share found follows from the width of a band. Bands of a given
+    ``width`` may overlap. With a ``similarity`` links are distinct shingles of that Jaccard
+    similarity or more, counted where the distance is above ``sure``.
     """
 
     words: int = 4
@@ -63,6 +70,9 @@ class Scheme:
     bands: int = 5
     seed: int = 42
     limit: int = 2048
+    width: int | None = None
+    similarity: float | None = None
+    sure: int = 0
 
     @property
     def lanes(self) -> int:
@@ -74,6 +84,10 @@ class Scheme:
         slices = []
         for lane in range(self.lanes):
             count = share + (lane < more)
+            if self.width:
+                room = (64 - self.width) / max(count - 1, 1)
+                slices += [(lane, round(i * room), self.width) for i in range(count)]
+                continue
             cuts = [round(64 * i / count) for i in range(count + 1)] if count else []
             slices += [(lane, a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
         return slices
@@ -82,9 +96,13 @@ class Scheme:
 #: The contract of the registered query.
 DOCUMENTS = Scheme()
 
-#: Five-word shingles of which about 0.8 are shared: 84 of 512 bits are the expected distance
-#: at a Jaccard similarity of 0.78. A band of 14 or 15 bits agrees by chance of 0.1 at 0.8.
-SIMILAR = Scheme(words=5, bits=512, radius=84, bands=36)
+#: Five-word shingles at a Jaccard similarity of 0.8 or more. At 0.8 fingerprints differ in 78 of
+#: 512 bits, deviation 8: 44 and 110 bits are four deviations off. A band of 14 bits agrees by
+#: chance of 0.1 at 0.8, so 48 bands find 0.99 of such pairs, and more of closer ones.
+SIMILAR = Scheme(words=5, bits=512, radius=110, bands=48, width=14, similarity=0.8, sure=44)
+
+#: Bytes of shingles that a block has when texts are compared; larger ones are split.
+SHINGLE_BYTES = 32 << 20
 
 
 def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
@@ -108,24 +126,36 @@ def _set_bits(hashes: np.ndarray) -> np.ndarray:
     return counts
 
 
-def fingerprint(text: str, scheme: Scheme = DOCUMENTS) -> list[int]:
-    """The fingerprint as unsigned 64-bit words; all zero for a text without words."""
+def shingle_hashes(text: str, scheme: Scheme) -> Iterator[np.ndarray]:
+    """Hashes of the text's shingles in order, repeats included, a chunk at a time."""
     words = text.encode().lower().split()
     if not words:
-        return [0] * scheme.lanes
+        return
     joined = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     size = min(scheme.words, len(words))
     firsts, lasts = starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()
-    counts = np.zeros((scheme.lanes, 64), dtype=np.int64)
     digest, seed = xxhash.xxh64_intdigest, scheme.seed
     for at in range(0, len(firsts), CHUNK):
         spans = zip(firsts[at : at + CHUNK], lasts[at : at + CHUNK], strict=True)
-        hashes = np.array([digest(joined[a:b], seed) for a, b in spans], dtype=np.uint64)
+        yield np.array([digest(joined[a:b], seed) for a, b in spans], dtype=np.uint64)
+
+
+def shingle_set(text: str, scheme: Scheme) -> np.ndarray:
+    """The distinct shingle hashes, sorted."""
+    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *shingle_hashes(text, scheme)]))
+
+
+def fingerprint(text: str, scheme: Scheme = DOCUMENTS) -> list[int]:
+    """The fingerprint as unsigned 64-bit words; all zero for a text without words."""
+    chunks = shingle_hashes(text, scheme) if scheme.similarity is None else [shingle_set(text, scheme)]
+    counts, shingles = np.zeros((scheme.lanes, 64), dtype=np.int64), 0
+    for hashes in chunks:
+        shingles += len(hashes)
         for lane in range(scheme.lanes):
             counts[lane] += _set_bits(_mixed(hashes, lane))
-    bits = (counts * 2 > len(firsts)).astype(np.uint8)
+    bits = (counts * 2 > shingles).astype(np.uint8)
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel().tolist()
 
 
@@ -161,28 +191,27 @@ def _reference_words(scheme: Scheme) -> np.ndarray:
     )
 
 
-def _connect(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Labels after the given links; a label is the least row of its component so far."""
+def _connect(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    """Adds links to the labels; a label is the least row of its component so far."""
     while True:
         a, b = label[left], label[right]
         apart = a != b
         if not apart.any():
-            return label
+            return
         left, right, a, b = left[apart], right[apart], a[apart], b[apart]
         np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
         while not np.array_equal(above := label[label], label):
-            label = above
+            label[:] = above
 
 
-def _links(keys: np.ndarray, prints: np.ndarray, references: np.ndarray, radius: int) -> np.ndarray:
-    """For each row the least row it is linked with, directly or not, inside blocks of equal keys.
+def _near_pairs(
+    keys: np.ndarray, prints: np.ndarray, table: np.ndarray, radius: int, label: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(left, right, distance) of pairs of equal keys within the radius whose labels differ.
 
-    Rows come sorted by key. A pair that earlier pairs already join is not looked at again.
+    Rows are sorted by key and first coordinate. Labels are read anew at every step, so
+    pairs that the caller has joined meanwhile are not looked at again.
     """
-    table = np.bitwise_count(prints[:, None, :] ^ references[None]).sum(axis=2, dtype=np.int16)
-    order = np.lexsort((table[:, 0], keys))
-    keys, prints, table = keys[order], prints[order], np.ascontiguousarray(table[order].T)
-    label = np.arange(len(keys))
     rows = np.arange(len(keys))
     for step in range(1, len(keys)):
         rows = rows[rows < len(keys) - step]
@@ -191,17 +220,40 @@ def _links(keys: np.ndarray, prints: np.ndarray, references: np.ndarray, radius:
             (keys[rows] == keys[rows + step]) & (table[0][rows + step] - table[0][rows] <= radius)
         ]
         if not len(rows):
-            break
+            return
         left = rows[label[rows] != label[rows + step]]
         for coordinate in table[1:]:
             left = left[np.abs(coordinate[left] - coordinate[left + step]) <= radius]
         if len(left):
             apart = np.bitwise_count(prints[left] ^ prints[left + step]).sum(axis=1, dtype=np.int16)
-            left = left[apart <= radius]
-            label = _connect(label, left, left + step)
-    least = np.empty_like(label)
-    least[order] = order[label]
-    return least
+            near = apart <= radius
+            left = left[near]
+            yield left, left + step, apart[near]
+
+
+def _pivot_order(keys: np.ndarray, prints: np.ndarray, references: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order of the rows by key and first coordinate, their coordinates in this order)."""
+    table = np.bitwise_count(prints[:, None, :] ^ references[None]).sum(axis=2, dtype=np.int16)
+    order = np.lexsort((table[:, 0], keys))
+    return order, np.ascontiguousarray(table[order].T)
+
+
+def _border(
+    prints: np.ndarray, bands: np.ndarray, pairs: Iterator[tuple], scheme: Scheme
+) -> np.ndarray:
+    """Which rows have a pair that is to be decided by its texts in this block.
+
+    A pair is decided in the first of the bands whose content both rows share.
+    """
+    contents = np.stack(
+        [prints[:, lane] >> np.uint64(first) & np.uint64((1 << width) - 1) for lane, first, width in scheme.band_slices()],
+        axis=1,
+    ).astype(np.uint16)
+    marked = np.zeros(len(prints), dtype=bool)
+    for left, right, _ in pairs:
+        here = (contents[left] == contents[right]).argmax(axis=1) == bands[left]
+        marked[left[here]] = marked[right[here]] = True
+    return marked
 
 
 def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -225,20 +277,30 @@ def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _link_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Links (a, b, null) and, with a similarity, rows (a, null, key) whose texts are to be compared."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
     references = _reference_words(scheme)
     for table in _whole_blocks(batches):
-        keys, nodes = table.column("key").to_numpy(), table.column("node").to_numpy()
+        keys, nodes, bands = (table.column(name).to_numpy() for name in ("key", "node", "band"))
         words = table.column("fp").chunk(0).flatten().to_numpy(zero_copy_only=False)
         prints = words.view(np.uint64).reshape(len(keys), -1)
         _, run, size = np.unique(keys, return_inverse=True, return_counts=True)
         shared = np.flatnonzero(size[run] > 1)
         if not len(shared):
             continue
-        least = _links(keys[shared], prints[shared], references, scheme.radius)
-        nodes = nodes[shared]
-        moved = np.flatnonzero(least != np.arange(len(least)))
-        yield record_batch(schema, nodes[moved], nodes[least[moved]])
+        order, distances = _pivot_order(keys[shared], prints[shared], references)
+        order = shared[order]
+        keys, nodes, bands, prints = keys[order], nodes[order], bands[order], prints[order]
+        label = np.arange(len(keys))
+        reach = scheme.radius if scheme.similarity is None else scheme.sure
+        for left, right, _ in _near_pairs(keys, prints, distances, reach, label):
+            _connect(label, left, right)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        yield record_batch(schema, nodes[moved], nodes[label[moved]], pa.nulls(len(moved), pa.int64()))
+        if scheme.similarity is not None:
+            pairs = _near_pairs(keys, prints, distances, scheme.radius, label)
+            marked = _border(prints, bands, pairs, scheme)
+            yield record_batch(schema, nodes[marked], pa.nulls(int(marked.sum()), pa.int64()), keys[marked])
 
 
 def _band_rows(prints: DataFrame, scheme: Scheme) -> DataFrame:
@@ -310,15 +372,122 @@ def _split_large(rows: DataFrame, scheme: Scheme) -> DataFrame:
     )
 
 
+def _met(prints: DataFrame, scheme: Scheme) -> DataFrame:
+    rows = _split_large(_band_rows(prints, scheme), scheme)
+    tasks = rows.select("node", "fp", "band", "key").repartition("key").sortWithinPartitions("key")
+    return tasks.mapInArrow(partial(_link_batches, scheme=scheme), "a long, b long, key long")
+
+
 def links(prints: DataFrame, scheme: Scheme = DOCUMENTS) -> DataFrame:
     """(a, b) pairs that join all fingerprints within the radius into the same components.
 
     ``prints`` has (node, fp), each fingerprint once. Inside a block a link between two
     already joined rows is left out, so there are at most as many pairs as rows.
     """
-    rows = _split_large(_band_rows(prints, scheme), scheme)
-    tasks = rows.select("node", "fp", "key").repartition("key").sortWithinPartitions("key")
-    return tasks.mapInArrow(partial(_link_batches, scheme=scheme), "a long, b long")
+    return _met(prints, scheme).select("a", "b")
+
+
+def _shingle_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    for batch in sliced(batches, "text", 1 << 22):
+        sets = [shingle_set(text, scheme).view(np.int64) for text in batch.column("text").to_pylist()]
+        yield record_batch(schema, batch.column("node"), sets)
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets; two empty ones are equal."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    common = int((b[at] == a).sum())
+    return common / (len(a) + len(b) - common)
+
+
+def _similar_block(
+    nodes: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], threshold: float
+) -> Iterator[tuple[int, int]]:
+    """Links of one block between rows of different groups that no link of the block joins."""
+    _, label = np.unique(groups, return_inverse=True)
+    size = np.array([len(s) for s in sets])
+    order = np.argsort(size, kind="stable")
+    nodes, label, size, sets = nodes[order], label[order], size[order], [sets[i] for i in order]
+    for i in range(len(sets)):
+        # the smaller set is at least that share of the larger
+        end = np.searchsorted(size, size[i] / threshold * (1 + 1e-9), side="right")
+        for j in (i + 1 + np.flatnonzero(label[i + 1 : end] != label[i])).tolist():
+            if label[i] != label[j] and similarity(sets[i], sets[j]) >= threshold:
+                yield int(nodes[i]), int(nodes[j])
+                label[label == label[j]] = label[i]
+
+
+def _similar_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links by similarity; rows come sorted by block, and one block is held."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    key, held = None, []
+
+    def flush():
+        nodes, groups, sets = zip(*held, strict=True)
+        found = list(_similar_block(np.array(nodes), np.array(groups), list(sets), threshold))
+        held.clear()
+        return record_batch(schema, [a for a, _ in found], [b for _, b in found])
+
+    for batch in batches:
+        lists = batch.column("shingles")
+        ends = lists.offsets.to_numpy()
+        values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        columns = (batch.column(name).to_pylist() for name in ("key", "node", "group"))
+        for row, (block, node, group) in enumerate(zip(*columns, strict=True)):
+            if held and block != key:
+                yield flush()
+            key = block
+            held.append((node, group, values[ends[row] : ends[row + 1]].copy()))
+    if held:
+        yield flush()
+
+
+def similar_links(rows: DataFrame, prints: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
+    """(a, b) pairs that join all texts of the scheme's similarity whose fingerprints meet in a band.
+
+    ``rows`` has (doc_id, text), ``prints`` (node, fp), each fingerprint once, where a node
+    is the id of a row with this fingerprint.
+    """
+    met = stored(_met(prints, scheme), "met")
+    joined = components(met.where("b is not null"))
+    marks = (
+        met.where("b is null")
+        .select(F.col("a").alias("node"), "key")
+        .join(joined, "node", "left")
+        .select("node", "key", F.coalesce("component", "node").alias("group"))
+    )
+    # blocks whose rows are in one component by now have nothing to decide
+    open_ = marks.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most")
+    marks = stored(marks.join(open_, "key", "left_semi"), "to_compare")
+    sets = stored(
+        rows.join(marks.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
+        .select(F.col("doc_id").alias("node"), "text")
+        .mapInArrow(partial(_shingle_batches, scheme=scheme), "node long, shingles array<long>"),
+        "shingles",
+    )
+    sizes = sets.select("node", (8 * F.size("shingles") + 200).alias("bytes"))
+    parts = (
+        marks.join(sizes, "node")
+        .groupBy("key")
+        .agg(F.ceil(F.sum("bytes") / SHINGLE_BYTES).cast("int").alias("parts"))
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    blocks = (
+        marks.join(parts, "key")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select("node", "group", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"))
+        .join(sets, "node")
+    )
+    compared = (
+        blocks.repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(partial(_similar_batches, threshold=scheme.similarity), "a long, b long")
+    )
+    return joined.union(compared).toDF("a", "b")
 
 
 def groups(
@@ -327,14 +496,20 @@ def groups(
     """(doc_id, fp, component_id) of every row.
 
     ``component_id`` is the smallest doc_id reachable over fingerprints at most
-    ``radius`` bits apart. Defined cases: a null or wordless text has fingerprint zero and
+    ``radius`` bits apart, or texts of the scheme's ``similarity``. Defined cases: a null or wordless text has fingerprint zero and
     is linked like any other; rows that repeat an id, or a text, keep their own result row; a
     row without id has its group's smallest id, or null where no row of equal
     fingerprint has one; other columns of ``docs`` are not looked at.
     """
     made = stored(fingerprints(docs, scheme, id, text), "fingerprints")
     prints = made.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    joined = components(links(prints.where(F.col("node").isNotNull()), scheme))
+    known = prints.where(F.col("node").isNotNull())
+    if scheme.similarity is None:
+        found = links(known, scheme)
+    else:
+        rows = docs.select(docs[id].cast("long").alias("doc_id"), text_of(docs, text).alias("text"))
+        found = similar_links(rows, known, scheme)
+    joined = components(found)
     placed = prints.join(joined, "node", "left").select(
         "fp", F.coalesce("component", "node").alias("component_id")
     )
