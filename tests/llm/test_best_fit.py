@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -88,3 +88,16 @@ def test_cases(spark):
     assert sorted(r.length for r in places if r.doc_id is None) == [1, 2]
     assert len([r for r in places if r.doc_id == 7]) == 2
     assert op.packing(docs.limit(0), LENGTHS).collect() == []
+
+
+def test_rows_that_repeat_are_cut_into_shares(spark):
+    docs = spark.createDataFrame([(None, "a b c")] * 90 + [(5, "d")] * 30 + [(6, "x " * 70)], SCHEMA)
+    places = op.packing(docs, LENGTHS, share_rows=10).collect()
+    shares = Counter(r.share for r in places)
+    assert sum(shares.values()) == 123 and max(shares.values()) <= 10 * op.CUT + 2
+    assert sum(r.length for r in places) == 90 * 3 + 30 + 70
+    bins = defaultdict(int)
+    for r in places:
+        bins[r.share, r.bin, r.capacity] += r.length
+    assert all(used <= capacity for (_, _, capacity), used in bins.items())
+    assert sorted(places, key=str) == sorted(op.packing(docs.repartition(7), LENGTHS, share_rows=10).collect(), key=str)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 
 import pytest
@@ -52,3 +53,8 @@ def test_table_grows():
     entries = [table.add(i % 7, str(i).encode()) for i in range(3000)]
     assert [table.find(i % 7, str(i).encode()) for i in range(3000)] == entries
     assert table.find(1, b"missing") == -1
+
+
+def test_spills_lie_where_spark_spills(spark):
+    folders = spark.sparkContext.parallelize([0], 1).map(lambda _: os.environ.get("SPARK_LOCAL_DIRS", "")).first()
+    assert folders and all(os.path.isdir(folder) for folder in folders.split(","))

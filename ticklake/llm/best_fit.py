@@ -4,8 +4,9 @@ All permitted lengths are in play at once. A piece goes where it leaves the leas
 open bin has room, the bin size opens that costs least per token expected in it, and in the end
 each bin shrinks to the smallest permitted length that holds its contents.
 
-Documents are dealt by a hash of their id into shares of bounded size, and a share is packed by one
-task: the loss against packing all together is the last, half-empty bins of a share.
+Documents are dealt by a hash of their id and text into shares, and a share is packed by one task:
+the loss against packing all together is the last, half-empty bins of a share. Only rows that repeat
+an id and a text can make a share large; it is then cut into further shares as its rows come.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from ticklake.llm.common import record_batch, text_of
 
-#: Documents of a share; their ids and lengths are what a task holds.
+#: Documents of a share; their ids and lengths are what a task holds. A share of ``CUT`` times as
+#: many is cut.
 SHARE_ROWS = 50_000
+CUT = 4
 
 
 @dataclass(frozen=True)
@@ -139,19 +142,27 @@ def packed_share(share: int, rows: list[tuple[int | None, int]], lengths: Length
         yield record_batch(PLACE_SCHEMA, *zip(*out, strict=True))
 
 
-def _share_batches(batches: Iterator[pa.RecordBatch], lengths: Lengths) -> Iterator[pa.RecordBatch]:
-    """Shares one after the other; rows come sorted by share."""
-    current, rows = None, []
+def _share_batches(
+    batches: Iterator[pa.RecordBatch], lengths: Lengths, shares: int, most: int
+) -> Iterator[pa.RecordBatch]:
+    """Shares one after the other; rows come sorted by share, id and tokens.
+
+    What is cut off a share of over ``most`` rows takes the next number of equal remainder.
+    """
+    current, number, rows = None, 0, []
     for batch in batches:
         columns = (batch.column(name).to_pylist() for name in ("share", "doc_id", "tokens"))
         for share, doc, tokens in zip(*columns, strict=True):
             if share != current:
                 if rows:
-                    yield from packed_share(current, rows, lengths)
-                current, rows = share, []
+                    yield from packed_share(number, rows, lengths)
+                current, number, rows = share, share, []
+            elif len(rows) == most:
+                yield from packed_share(number, rows, lengths)
+                number, rows = number + shares, []
             rows.append((doc, tokens))
     if rows:
-        yield from packed_share(current, rows, lengths)
+        yield from packed_share(number, rows, lengths)
 
 
 def word_count(text: Column) -> Column:
@@ -174,16 +185,17 @@ def packing(
     Defined cases: a document without tokens has no piece; rows without an id, and rows that
     repeat one, are placed like others; other columns of ``docs`` are not looked at.
     """
+    shares = max(1, -(-docs.count() // share_rows))
+    whole = text_of(docs, text)
     rows = docs.select(
         docs[id].cast("long").alias("doc_id"),
-        (word_count(text_of(docs, text)) if tokens is None else tokens).cast("long").alias("tokens"),
+        (word_count(whole) if tokens is None else tokens).cast("long").alias("tokens"),
+        F.pmod(F.xxhash64(docs[id].cast("long"), whole), F.lit(shares)).cast("int").alias("share"),
     ).where("tokens > 0")
-    shares = max(1, -(-docs.count() // share_rows))
-    # ties and rows without an id are spread by their length as well
-    share = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("tokens"))), F.lit(shares)).cast("int")
     return (
-        rows.withColumn("share", share)
-        .repartition(shares, "share")
-        .sortWithinPartitions("share")
-        .mapInArrow(partial(_share_batches, lengths=lengths), PLACES)
+        rows.repartition(shares, "share")
+        .sortWithinPartitions("share", "doc_id", "tokens")
+        .mapInArrow(
+            partial(_share_batches, lengths=lengths, shares=shares, most=CUT * share_rows), PLACES
+        )
     )

@@ -11,6 +11,7 @@ worked off in the same way, until what is left fits the table.
 from __future__ import annotations
 
 import hashlib
+import os
 import pickle
 import tempfile
 from collections.abc import Iterator
@@ -118,6 +119,12 @@ def _local_batches(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[p
         yield record_batch(LOCAL, batch.column("doc_id"), names, digests, signed, texts)
 
 
+def _spill_file(part: int):
+    """A file of this task attempt, gone when closed, in a folder where Spark spills its own shuffles."""
+    folders = [folder for folder in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if folder]
+    return tempfile.TemporaryFile(dir=folders[part % len(folders)] if folders else None)
+
+
 def grace_classes(
     records: Iterator[tuple[int, str, bytes]], table: ContentTable, level: int = 0, fan: int = FAN
 ) -> Iterator[tuple[str, str]]:
@@ -139,7 +146,7 @@ def grace_classes(
             continue
         part = xxhash.xxh64_intdigest(hashed.to_bytes(8, "little"), level + 1) % fan
         if part not in files:
-            files[part] = tempfile.TemporaryFile()  # this attempt's own, gone when closed
+            files[part] = _spill_file(part)
         pickle.dump((hashed, name, content), files[part], protocol=5)
     for part in list(files):
         with files.pop(part) as file:
