@@ -87,3 +87,32 @@ def test_cases(spark):
     assert same == pytest.approx([same[0]] * 3, rel=1e-5)
     assert op.scored(docs.limit(0)).collect() == []
     assert [r.n_tokens for r in op.scored(docs.where("doc_id = 1")).collect()] == [0]
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3, 8, 11])
+@pytest.mark.parametrize("size", [0, 1, 3, 8, 45])
+def test_every_position_is_a_target_once(size, rounds):
+    blob = np.arange(size, dtype="<u2").tobytes()
+    met = np.concatenate([op.targets(blob, size, round_, rounds) for round_ in range(rounds)])
+    assert sorted(met) == list(range(size))
+
+
+def test_training_covers_all_tokens():
+    """Whatever a row's place in its batch, the rounds together train on each token."""
+    blobs = [np.arange(n, dtype="<u2").tobytes() for n in (3, 3, 3, 3, 17, 1, 0)]
+    batch = op.record_batch(op.pa.schema([("codes", op.pa.binary())]), blobs)
+    start = op.Network.fresh().flat().tobytes()
+    parts = [next(op._train_batches(iter([batch]), start, r, op.ROUNDS)) for r in range(op.ROUNDS)]
+    assert sum(part.column("tokens")[0].as_py() for part in parts) == 30
+
+
+def test_learns_with_the_registered_settings(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.choice("abcdefgh") for _ in range(40)]) for i in range(1500)]
+    rows = [(i, [f"{x}{n}" for x in letters for n in (1, 2, 3)]) for i, letters in rows]
+    mixed = [(10_000 + i, rng.sample(words, len(words))) for i, words in rows[:50]]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in rows + mixed], SCHEMA).repartition(2)
+    found = {r.doc_id: r.mean_log_likelihood for r in op.scored(docs).collect()}
+    real = np.mean([found[i] for i, _ in rows[:50]])
+    assert real > np.mean([found[i] for i, _ in mixed]) + 0.5
+    assert real > -np.log(24) + 0.5

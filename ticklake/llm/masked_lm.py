@@ -8,7 +8,8 @@ conditional log-probabilities.
 
 Training is data-parallel: in each round every task starts from the same weights, trains on masked
 positions of all its documents, and hands back its weights with the number of tokens behind them;
-their weighted mean starts the next round.
+their weighted mean starts the next round. Over the rounds every position of every document is
+a target once.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ CODES = DIGIT * DIGIT
 #: Stands for what lies beyond the ends of a document.
 EDGE = CODES
 
-#: Sizes of the network, and its training: every MASKED-th token is masked in a round.
+#: Sizes of the network, and its training: every MASKED-th token is masked at a time, and the
+#: MASKED shifts of this mask are dealt out over the rounds.
 EMBEDDING = 12
 HIDDEN = 48
 ROUNDS = 2
@@ -48,7 +50,10 @@ MINIBATCH = 256
 #: Groups of tasks whose weights are averaged before the driver averages the groups.
 AVERAGED = 32
 
-#: Tokens scored at a time, and word counts held by a counting task.
+#: Tokens that pass the network at a time, so that its layers stay in the processor's caches.
+FORWARD = 512
+
+#: Tokens gathered to be scored, and word counts held by a counting task.
 PIECE = 1 << 14
 COUNTED = 300_000
 
@@ -126,9 +131,14 @@ class Network:
         return inputs, hidden, one, given, two
 
     def log_probabilities(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
-        _, _, one, _, two = self._forward(context, code)
-        rows = np.arange(len(code))
-        return np.log(one[rows, code // DIGIT] + 1e-12) + np.log(two[rows, code % DIGIT] + 1e-12)
+        found = np.empty(len(code), dtype=np.float32)
+        for start in range(0, len(code), FORWARD):
+            part = slice(start, start + FORWARD)
+            digits = code[part]
+            _, _, one, _, two = self._forward(context[part], digits)
+            rows = np.arange(len(digits))
+            found[part] = np.log(one[rows, digits // DIGIT] + 1e-12) + np.log(two[rows, digits % DIGIT] + 1e-12)
+        return found
 
     def step(self, context: np.ndarray, code: np.ndarray, rate: float, sums: list[np.ndarray]) -> None:
         """One descent step with rates scaled by the squared slopes so far (``sums``)."""
@@ -141,11 +151,12 @@ class Network:
         two /= n
         back_given = (two @ self.second.T) * (1 - given * given)
         back = (one @ self.first.T + back_given) * (1 - hidden * hidden)
-        second_bias, digit_slope = np.zeros_like(self.second_bias), np.zeros_like(self.digit)
-        np.add.at(second_bias, digit, two)
-        np.add.at(digit_slope, digit, back_given)
-        embedding = np.zeros_like(self.embedding)
-        np.add.at(embedding, context.ravel(), (back @ self.inward.T).reshape(-1, EMBEDDING))
+        chosen = np.zeros((DIGIT, len(code)), dtype=np.float32)
+        chosen[digit, rows] = 1
+        second_bias, digit_slope = chosen @ two, chosen @ back_given
+        places = (context.reshape(-1, 1) * EMBEDDING + np.arange(EMBEDDING)).ravel()
+        embedding = np.bincount(places, (back @ self.inward.T).ravel(), self.embedding.size)
+        embedding = embedding.astype(np.float32).reshape(self.embedding.shape)
         slopes = [
             embedding,
             inputs.T @ back,
@@ -158,7 +169,11 @@ class Network:
         ]
         for weight, slope, total in zip(self.weights(), slopes, sums, strict=True):
             total += slope * slope
-            weight -= rate * slope / (np.sqrt(total) + 1e-6)
+            scale = np.sqrt(total)
+            scale += 1e-6
+            slope *= rate
+            slope /= scale
+            weight -= slope
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -221,7 +236,18 @@ WEIGHTS = "part int, tokens long, weights binary"
 WEIGHT_SCHEMA = pa.schema([("part", pa.int32()), ("tokens", pa.int64()), ("weights", pa.binary())])
 
 
-def _train_batches(batches: Iterator[pa.RecordBatch], start: bytes, round_: int) -> Iterator[pa.RecordBatch]:
+def targets(blob: bytes, size: int, round_: int, rounds: int) -> np.ndarray:
+    """Positions of a document masked in a round; each position in one round of them all.
+
+    The first shift follows from the document's codes, so no batch or partition has a say.
+    """
+    shifts = (np.arange(size) + xxhash.xxh64_intdigest(blob) % MASKED) % MASKED
+    return np.flatnonzero(shifts % rounds == round_)
+
+
+def _train_batches(
+    batches: Iterator[pa.RecordBatch], start: bytes, round_: int, rounds: int
+) -> Iterator[pa.RecordBatch]:
     """This task's weights after its masked tokens of all its documents."""
     from pyspark import TaskContext
 
@@ -246,9 +272,9 @@ def _train_batches(batches: Iterator[pa.RecordBatch], start: bytes, round_: int)
         waiting = 0
 
     for batch in batches:
-        for doc, blob in enumerate(batch.column("codes").to_pylist()):
+        for blob in batch.column("codes").to_pylist():
             codes = np.frombuffer(blob, dtype="<u2").astype(np.int64)
-            at = np.arange((doc + round_ * MASKED // ROUNDS) % MASKED, len(codes), MASKED)
+            at = targets(blob, len(codes), round_, rounds)
             for start_ in range(0, len(at), PIECE):
                 piece = at[start_ : start_ + PIECE]
                 held.append((contexts(codes, piece), codes[piece]))
@@ -290,14 +316,14 @@ def trained(coded: DataFrame, rounds: int = ROUNDS) -> Network:
     for round_ in range(rounds):
         parts = (
             coded.select("codes")
-            .mapInArrow(partial(_train_batches, start=network.flat().tobytes(), round_=round_), WEIGHTS)
+            .mapInArrow(partial(_train_batches, start=network.flat().tobytes(), round_=round_, rounds=rounds), WEIGHTS)
             .repartition(AVERAGED, "part")
             .mapInArrow(_mean_batches, WEIGHTS)
             .collect()  # one row per group of tasks
         )
         tokens = sum(row.tokens for row in parts)
         if not tokens:
-            break
+            continue
         means = (np.frombuffer(row.weights, dtype=np.float32).astype(np.float64) * row.tokens for row in parts)
         network = Network.unflat(sum(means) / tokens)
     return network
