@@ -116,3 +116,36 @@ def test_learns_with_the_registered_settings(spark):
     real = np.mean([found[i] for i, _ in rows[:50]])
     assert real > np.mean([found[i] for i, _ in mixed]) + 0.5
     assert real > -np.log(24) + 0.5
+
+
+@pytest.mark.parametrize("held", [op.HELD_BYTES, 1000 * 70, 0])
+def test_every_word_has_a_probability_of_its_own(spark, monkeypatch, held):
+    """Words that share a code differ by their counts, whether tasks hold them or not."""
+    monkeypatch.setattr(op, "HELD_BYTES", held)
+    shared, words = {}, [b"w%d" % i for i in range(3000)]
+    for word in words[op.CODES - op.OTHER :]:
+        shared.setdefault(op.xxhash.xxh64_intdigest(word) % op.OTHER, []).append(word)
+    pair = next(group for group in shared.values() if len(group) > 1)[:2]
+    counts = {word: 9 for word in words[: op.CODES - op.OTHER]} | {word: 1 for word in words[op.CODES - op.OTHER :]}
+    counts[pair[1]] = 5
+    text = [" ".join(w.decode() for w, n in counts.items() for _ in range(n) if hash_part(w) == i) for i in range(4)]
+    rows = [*enumerate(text), (10, pair[0].decode()), (11, pair[1].decode())]
+    found = {r.doc_id: r for r in op.scored(spark.createDataFrame(rows, SCHEMA).repartition(2)).collect()}
+    assert found[11].log_likelihood - found[10].log_likelihood == pytest.approx(np.log(6 / 2), abs=1e-4)
+    assert sum(r.n_tokens for r in found.values()) == sum(counts.values()) + 2
+
+
+def hash_part(word: bytes) -> int:
+    return op.xxhash.xxh64_intdigest(word) % 4
+
+
+def test_joined_words_score_like_held_ones(spark, corpus, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"{rng.choice('abc')}{int(rng.paretovariate(0.6)) % 4000}" for _ in range(60))) for i in range(120)]
+    docs = spark.createDataFrame([*rows, (None, "b1 b2"), (3, rows[3][1])], SCHEMA).repartition(3)
+    docs = op.stored(docs, "docs")
+    whole = sorted(map(tuple, op.scored(docs).collect()), key=str)
+    monkeypatch.setattr(op, "HELD_BYTES", 0)
+    joined = sorted(map(tuple, op.scored(docs).collect()), key=str)
+    assert [r[:2] for r in joined] == [r[:2] for r in whole]
+    assert [r[2] for r in joined] == pytest.approx([r[2] for r in whole], abs=1e-3)

@@ -2,9 +2,13 @@
 
 The network predicts each token from the ``WINDOW`` tokens on either side: their embeddings pass
 one hidden layer, and the token's code comes out in two digits, the second given the first, so the
-probabilities over all codes add up to one. Frequent words have codes of their own, chosen by counts
-over all documents; the others share codes by a hash. A document's score is the sum of its tokens'
-conditional log-probabilities.
+probabilities over all codes add up to one. The most frequent words have codes of their own; the
+others share codes by a hash, and each has its share of its code's occurrences as its probability
+given the code. So every distinct word has a probability of its own, and they add up to one. A
+document's score is the sum of its tokens' conditional log-probabilities.
+
+The counts of all distinct words are a stored table. Every task holds those above a minimum count,
+by which they fit ``HELD_BYTES``; the other words of a document are joined with the table.
 
 Training is data-parallel: in each round every task starts from the same weights, trains on masked
 positions of all its documents, and hands back its weights with the number of tokens behind them;
@@ -30,7 +34,8 @@ from ticklake.llm.common import record_batch, sliced, stored, text_of
 #: Tokens seen on each side.
 WINDOW = 2
 
-#: Codes: DIGIT * DIGIT of them; the last OTHER are shared by words that have none of their own.
+#: Codes: DIGIT * DIGIT of them; the last OTHER are shared by words that have none of their own. They
+#: are what the network tells apart; the words themselves are not limited.
 DIGIT = 32
 OTHER = 128
 CODES = DIGIT * DIGIT
@@ -57,20 +62,41 @@ FORWARD = 512
 PIECE = 1 << 14
 COUNTED = 300_000
 
+#: Bytes of words, with 64 for each, whose counts every task holds; the minimum count follows.
+HELD_BYTES = 24 << 20
+
 
 def words_of(text: str) -> list[bytes]:
     """Words in lower case (A-Z), split at ASCII white space."""
     return text.encode().lower().split()
 
 
-class _Codes(dict):
-    """Word to code; words outside the vocabulary by their hash."""
+@dataclass
+class Words:
+    """Words that tasks hold, and a place for each shared code: codes, and logarithms of counts.
+
+    A word with a code of its own has the logarithm 0. ``joined`` tells whether words that are not
+    held, and met more than once, are to be looked up in the table of all words.
+    """
+
+    place: dict[bytes, int]
+    code: np.ndarray
+    log_count: np.ndarray
+    joined: bool
+
+
+class _Places(dict):
+    """Word to place; words that are not held by their hash, behind those that are."""
+
+    def __init__(self, words: Words) -> None:
+        super().__init__(words.place)
+        self.held, self.most = len(words.place), len(words.place) + COUNTED
 
     def __missing__(self, word: bytes) -> int:
-        code = CODES - OTHER + xxhash.xxh64_intdigest(word) % OTHER
-        if len(self) < COUNTED:
-            self[word] = code
-        return code
+        place = self.held + xxhash.xxh64_intdigest(word) % OTHER
+        if len(self) < self.most and len(word) <= 64:
+            self[word] = place
+        return place
 
 
 @dataclass
@@ -202,15 +228,28 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield record_batch(schema, list(counts), list(counts.values()))
 
 
-def _code_batches(batches: Iterator[pa.RecordBatch], vocabulary: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("codes", pa.binary())])
-    codes = _Codes(vocabulary)
+def _code_batches(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.RecordBatch]:
+    """Each row numbered, with its codes, its held words' logarithms summed, and its words to be joined."""
+    from pyspark import TaskContext
+
+    context = TaskContext.get()
+    row = (context.partitionId() if context else 0) << 40
+    schema = pa.schema(
+        [("row", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.binary())]
+        + [("logs", pa.float64()), ("rare", pa.list_(pa.binary()))]
+    )
+    places = _Places(words)
     for batch in sliced(batches, "text", 1 << 24):
-        made = [
-            np.array([codes[word] for word in words_of(text)], dtype="<u2").tobytes()
-            for text in batch.column("text").to_pylist()
-        ]
-        yield record_batch(schema, batch.column("doc_id"), made)
+        codes, logs, rare = [], [], []
+        for text in batch.column("text").to_pylist():
+            tokens = words_of(text)
+            at = np.array([places[word] for word in tokens], dtype=np.int64)
+            codes.append(words.code[at].tobytes())
+            logs.append(float(words.log_count[at].sum()))
+            away = np.flatnonzero(at >= places.held).tolist() if words.joined else []
+            rare.append([tokens[i] for i in away])
+        yield record_batch(schema, range(row, row + len(codes)), batch.column("doc_id"), codes, logs, rare)
+        row += len(codes)
 
 
 def _code_count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,22 +336,48 @@ def _mean_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield record_batch(WEIGHT_SCHEMA, [0], [tokens], [(total / tokens).astype(np.float32).tobytes()])
 
 
-def vocabulary(docs: DataFrame) -> dict[bytes, int]:
-    """The most frequent words of all documents, ties by the word, and their codes."""
-    top = (
-        docs.mapInArrow(_count_batches, "word binary, n long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(CODES - OTHER)
-        .collect()
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of every distinct word of all documents, stored."""
+    return stored(
+        docs.mapInArrow(_count_batches, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words"
+    )
+
+
+def vocabulary(counts: DataFrame) -> Words:
+    """The words that tasks hold: the most frequent, ties by the word, have codes of their own."""
+    top = counts.orderBy(F.desc("n"), "word").limit(CODES - OTHER).collect()
+    ranked = counts.withColumn("rank", F.floor(8 * F.log2("n")).cast("int"))
+    sizes = ranked.groupBy("rank").agg(F.sum(F.length("word") + 64).alias("bytes")).collect()  # ranks, not words
+    taken = 0
+    least = None
+    for rank, size in sorted(sizes, reverse=True):
+        taken += size
+        if taken > HELD_BYTES:
+            break
+        least = rank
+    place = {bytes(row.word): code for code, row in enumerate(top)}
+    others: list[tuple[bytes, int]] = []
+    if least is not None:
+        found = ranked.where(F.col("rank") >= least).select("word", "n").toArrow()
+        held = zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True)
+        others = [(word, n) for word, n in held if word not in place]
+    own = len(place)
+    place.update((word, own + i) for i, (word, _) in enumerate(others))
+    hashes = np.array([xxhash.xxh64_intdigest(word) % OTHER for word, _ in others], dtype=np.int64)
+    shared = CODES - OTHER + np.concatenate((hashes, np.arange(OTHER)))
+    logs = np.log(np.array([n for _, n in others], dtype=np.float64))
+    return Words(
+        place,
+        np.concatenate((np.arange(own), shared)).astype("<u2"),
+        np.concatenate((np.zeros(own), logs, np.zeros(OTHER))),
+        # the logarithm of a word met once is 0
+        any(rank > 0 and (least is None or rank < least) for rank, _ in sizes),
     )
-    return {bytes(row.word): code for code, row in enumerate(top)}
 
 
-def trained(coded: DataFrame, rounds: int = ROUNDS) -> Network:
+def trained(coded: DataFrame, rounds: int = ROUNDS, counts: np.ndarray | None = None) -> Network:
     """A network trained on (doc_id, codes) rows; without any token, the one it starts from."""
-    network = Network.fresh(code_counts(coded))
+    network = Network.fresh(code_counts(coded) if counts is None else counts)
     for round_ in range(rounds):
         parts = (
             coded.select("codes")
@@ -340,8 +405,13 @@ def document_score(network: Network, codes: np.ndarray) -> float:
     )
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], network: bytes) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64())])
+def _score_batches(
+    batches: Iterator[pa.RecordBatch], network: bytes, log_counts: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """``log_counts`` of the shared codes; 0 for those that are one word's own."""
+    schema = pa.schema(
+        [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64())]
+    )
     model = Network.unflat(np.frombuffer(network, dtype=np.float32))
     for batch in batches:
         for start in range(0, batch.num_rows, 64):  # small documents share a pass through the network
@@ -366,7 +436,8 @@ def _score_batches(batches: Iterator[pa.RecordBatch], network: bytes) -> Iterato
             for i, codes in enumerate(docs):
                 if len(codes) > PIECE:
                     totals[i] = document_score(model, codes)
-            yield record_batch(schema, part.column("doc_id"), sizes, totals)
+            totals += part.column("logs").to_numpy() - [log_counts[codes].sum() for codes in docs]
+            yield record_batch(schema, part.column("row"), part.column("doc_id"), sizes, totals)
 
 
 def scored(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -376,11 +447,33 @@ def scored(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     and repeated ids keep their own rows; other columns of ``docs`` are not looked at.
     """
     rows = docs.select(docs[id].cast("long").alias("doc_id"), text_of(docs, text).alias("text"))
-    codes = vocabulary(rows.select("text"))
-    coded = stored(rows.mapInArrow(partial(_code_batches, vocabulary=codes), "doc_id long, codes binary"), "codes")
-    network = trained(coded).flat().tobytes()
-    return coded.mapInArrow(
-        partial(_score_batches, network=network), "doc_id long, n_tokens long, log_likelihood double"
-    ).withColumn(
+    words = word_counts(rows.select("text"))
+    held = vocabulary(words)
+    coded = stored(
+        rows.mapInArrow(
+            partial(_code_batches, words=held),
+            "row long, doc_id long, codes binary, logs double, rare array<binary>",
+        ),
+        "codes",
+    )
+    counts = code_counts(coded)
+    network = trained(coded, counts=counts).flat().tobytes()
+    log_counts = np.log(np.maximum(counts, 1))
+    log_counts[: CODES - OTHER] = 0
+    found = coded.select("row", "doc_id", "codes", "logs").mapInArrow(
+        partial(_score_batches, network=network, log_counts=log_counts),
+        "row long, doc_id long, n_tokens long, log_likelihood double",
+    )
+    if held.joined:
+        rare = (
+            coded.select("row", F.explode("rare").alias("word"))
+            .join(words.where("n > 1"), "word")
+            .groupBy("row")
+            .agg(F.sum(F.log("n")).alias("more"))
+        )
+        found = found.join(rare, "row", "left").withColumn(
+            "log_likelihood", F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
+        )
+    return found.select("doc_id", "n_tokens", "log_likelihood").withColumn(
         "mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     )
