@@ -84,3 +84,16 @@ def test_centres_are_of_length_one():
     assert centres.shape == (10, 8)
     assert np.allclose((centres**2).sum(axis=1), 1)
     assert len(op.spherical_kmeans(np.ones((3, 4)), 10)) == 3
+
+
+@pytest.mark.parametrize("rank", [4, 8, 16])
+def test_default_is_exact_on_low_rank_vectors(spark, rank):
+    """Near pairs inside a subspace, over several cells."""
+    rng = np.random.default_rng(rank)
+    base = rng.normal(size=(600, rank))
+    near = base[rng.integers(600, size=900)] + rng.normal(size=(900, rank)) * rng.uniform(0.05, 0.35, size=(900, 1))
+    low = (np.concatenate([base, near]) @ rng.normal(size=(rank, 64))).astype(np.float32)
+    links, label = brute(low)
+    found = result(spark, low, cells=12)
+    assert found.n_links.tolist() == links.tolist()
+    assert found.component_id.tolist() == label.tolist()

@@ -3,9 +3,9 @@
 Equal vectors are collapsed first, with their number. A bounded sample fits the cell centres; every
 vector goes to its nearest centre's cell, its home, and is a guest in the cells whose border
 it lies close to. Two vectors across a border are compared in either home where the other is a
-guest, and counted once. The border margin is three standard deviations of the share of a
-pair's distance that falls on one direction, over both sides; ``exact=True`` takes half the
-whole distance, which loses no pair.
+guest, and counted once. The border margin is half the distance at the threshold, which loses
+no pair. ``exact=False`` takes three standard deviations of the share of a pair's distance that falls
+on one direction, over both sides; where vectors fill few dimensions this loses pairs.
 
 Cells of many rows are split into blocks of home rows, each compared with the cell's rows as they
 stream by; a block never holds more than ``BLOCK`` of them.
@@ -218,7 +218,7 @@ def linked_vectors(
     vector: str = "embedding",
     threshold: float = 0.95,
     cells: int | None = None,
-    exact: bool = False,
+    exact: bool = True,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
