@@ -152,3 +152,14 @@ def test_similar_cases(spark):
     assert got == sorted([(5, 5), (5, 5), (3, 3), (None, 5), (None, None), (7, 5), (7, 5)], key=str)
     assert op.kept_documents(docs).columns == docs.columns
     assert op.kept_documents(docs.limit(0)).collect() == []
+
+
+def test_near_copies_go_by_row(spark):
+    """Repeated rows leave one; a clean text stays whatever becomes of another row of its id."""
+    words = [f"w{i}" for i in range(60)]
+    one, near = " ".join(words), " ".join([*words, "more"])
+    clean = " ".join(f"other{i}" for i in range(40))
+    rows = [(1, one), (1, one), (2, near), (2, clean), (3, near), (4, "a b c d e f"), (4, "a b c d e f"), (None, one), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in op.kept_documents(docs).collect()), key=str)
+    assert kept == sorted([(1, one), (2, clean), (4, "a b c d e f"), (None, one), (None, one)], key=str)

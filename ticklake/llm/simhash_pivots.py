@@ -516,11 +516,23 @@ def groups(
     return made.join(placed, "fp").select("doc_id", "fp", "component_id")
 
 
-def kept_documents(docs: DataFrame, scheme: Scheme = SIMILAR, id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each group the one with the smallest id.
+def kept_documents(
+    docs: DataFrame, scheme: Scheme = SIMILAR, id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group one row, with the smallest id.
 
-    Rows without an id stay. Of rows that repeat the smallest id all stay.
+    Rows are told apart by a number of their own, so of rows that repeat the smallest id one stays
+    (by a hash of the text, then the number), and rows that share an id but no group are
+    decided each by its own group. Rows without an id stay.
     """
-    found = groups(docs, scheme, id)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id))
-    return docs.join(dropped.distinct(), id, "left_anti").select(docs.columns)
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    named = numbered.where(numbered[id].cast("long").isNotNull())
+    found = stored(groups(named, scheme, "__row", text).select(F.col("doc_id").alias("__row"), "component_id"), "groups")
+    order = named.select(
+        "__row", F.struct(named[id].cast("long").alias("id"), F.xxhash64(text_of(named, text)), "__row").alias("place")
+    )
+    shared = found.groupBy("component_id").count().where("count > 1").drop("count")
+    rivals = stored(found.join(shared, "component_id").join(order, "__row"), "rivals")
+    heads = rivals.groupBy("component_id").agg(F.min("place").alias("head"))
+    dropped = rivals.join(heads, "component_id").where("place.__row <> head.__row").select("__row")
+    return numbered.join(dropped, "__row", "left_anti").select(docs.columns)
