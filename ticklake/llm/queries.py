@@ -14,6 +14,7 @@ from ticklake.llm import (
     license_rules,
     line_variants,
     masked_lm,
+    phrase_parsing,
     simhash_pivots,
     spherical_cells,
     toxicity_trees,
@@ -77,6 +78,10 @@ def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_parsing.collocations(table(spark, sf_dir, "documents"))
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_simhash,
     op2_licenses,
@@ -88,6 +93,7 @@ _QUERIES: tuple[Query, ...] = (
     op8_line_dedup,
     op9_toxicity,
     op10_masked_lm,
+    op12_collocations,
 )
 
 
@@ -109,6 +115,35 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op12_collocations": r"""
+            WITH pieces AS (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents
+            ), worded AS (
+                SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+            ), placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS at FROM worded
+            ), counts AS (
+                SELECT lang, size, array_to_string(words[at:at + size - 1], ' ') AS phrase, count(*) AS f
+                FROM placed CROSS JOIN (SELECT unnest([1, 2, 3]) AS size) WHERE at + size - 1 <= len(words) GROUP BY ALL
+            ), candidates AS (
+                SELECT lang, phrase, string_split(phrase, ' ') AS words, f AS a FROM counts WHERE size > 1 AND f >= 10
+            ), cuts AS (
+                SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r,
+                       (1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f))::BIGINT AS score
+                FROM (SELECT *, unnest(range(1, len(words))) AS k FROM candidates) c
+                JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[:k], ' ')
+                JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[k + 1:], ' ')
+            ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+            ), longer AS (
+                SELECT lang, array_to_string(words[at:at + 1], ' ') AS phrase, a
+                FROM (SELECT *, unnest([1, 2]) AS at FROM candidates WHERE len(words) = 3)
+            )
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+                   (SELECT sum(f)::BIGINT FROM counts t WHERE t.size = 1 AND t.lang = b.lang) AS n, score
+            FROM best b
+            WHERE NOT EXISTS (SELECT 1 FROM longer WHERE longer.lang = b.lang AND longer.phrase = b.phrase AND 100 * longer.a >= 50 * b.a)
+            QUALIFY rank <= 2000""",
         "op8_line_dedup": r"""
             WITH parts AS (
                 SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents WHERE doc_id IS NOT NULL
