@@ -122,10 +122,10 @@ def oracle_sql() -> dict[str, str]:
                 FROM documents
             ), worded AS (
                 SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
-            ), placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS at FROM worded
+            ), placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM worded
             ), counts AS (
-                SELECT lang, size, array_to_string(words[at:at + size - 1], ' ') AS phrase, count(*) AS f
-                FROM placed CROSS JOIN (SELECT unnest([1, 2, 3]) AS size) WHERE at + size - 1 <= len(words) GROUP BY ALL
+                SELECT lang, size, array_to_string(words[pos:pos + size - 1], ' ') AS phrase, count(*) AS f
+                FROM placed CROSS JOIN (SELECT unnest([1, 2, 3]) AS size) WHERE pos + size - 1 <= len(words) GROUP BY ALL
             ), candidates AS (
                 SELECT lang, phrase, string_split(phrase, ' ') AS words, f AS a FROM counts WHERE size > 1 AND f >= 10
             ), cuts AS (
@@ -136,8 +136,8 @@ def oracle_sql() -> dict[str, str]:
                 JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[k + 1:], ' ')
             ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
             ), longer AS (
-                SELECT lang, array_to_string(words[at:at + 1], ' ') AS phrase, a
-                FROM (SELECT *, unnest([1, 2]) AS at FROM candidates WHERE len(words) = 3)
+                SELECT lang, array_to_string(words[pos:pos + 1], ' ') AS phrase, a
+                FROM (SELECT *, unnest([1, 2]) AS pos FROM candidates WHERE len(words) = 3)
             )
             SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
                    (SELECT sum(f)::BIGINT FROM counts t WHERE t.size = 1 AND t.lang = b.lang) AS n, score
