@@ -11,6 +11,7 @@ from ticklake.llm import (
     best_fit,
     bpe_stream,
     exact_grace,
+    html_consensus,
     license_rules,
     line_variants,
     masked_lm,
@@ -82,6 +83,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_parsing.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_consensus.main_texts(table(spark, sf_dir, "pages"))
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_simhash,
     op2_licenses,
@@ -94,6 +99,7 @@ _QUERIES: tuple[Query, ...] = (
     op9_toxicity,
     op10_masked_lm,
     op12_collocations,
+    op13_html_text,
 )
 
 
