@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ticklake.llm import (
     best_fit,
     bpe_stream,
+    euler_trie,
     exact_grace,
     html_consensus,
     license_rules,
@@ -79,6 +80,10 @@ def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return euler_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_parsing.collocations(table(spark, sf_dir, "documents"))
 
@@ -98,6 +103,7 @@ _QUERIES: tuple[Query, ...] = (
     op8_line_dedup,
     op9_toxicity,
     op10_masked_lm,
+    op11_prefix_trie,
     op12_collocations,
     op13_html_text,
 )
@@ -121,6 +127,39 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op11_prefix_trie": """
+            WITH convs AS (
+                SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                                     ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+                FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+            ), shared AS (  -- the CRC-32 of the id's digits, bit by bit
+                SELECT *, xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, c:
+                    list_reduce(range(8)::BIGINT[], lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, c)), 4294967295::BIGINT),
+                    4294967295) % 6 AS h
+                FROM convs
+            ), rebuilt AS (
+                SELECT c.conv_id, coalesce(list_slice(b.turns, 1, c.h), []) || list_slice(c.turns, c.h + 1, len(c.turns)) AS turns
+                FROM shared c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100
+            ), prefixes AS (
+                SELECT conv_id, depth, list_slice(turns, 1, depth) AS key, len(turns) = depth AS ended
+                FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM rebuilt)
+            ), nodes AS (
+                SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                       sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+                FROM prefixes GROUP BY key, depth
+            ), placed AS (
+                SELECT v.*, p.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children,
+                       CASE WHEN v.depth = 0 THEN 0 ELSE (v.n_convs - 1) * length(v.key[v.depth].text) END AS saved
+                FROM nodes v LEFT JOIN nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.key = list_slice(v.key, 1, v.depth - 1)
+                LEFT JOIN (SELECT list_slice(key, 1, depth - 1) AS key, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL) c
+                ON c.key = v.key AND c.depth = v.depth
+            ), sums AS (
+                SELECT key, depth, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+                FROM (SELECT list_slice(v.key, 1, up) AS key, up AS depth, (n_children = 0)::BIGINT AS leaf, saved
+                      FROM (SELECT *, unnest(range(depth + 1)) AS up FROM placed) v) GROUP BY ALL
+            )
+            SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+            FROM placed JOIN sums USING (key, depth)""",
         "op12_collocations": r"""
             WITH pieces AS (
                 SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
