@@ -10,6 +10,7 @@ import corpus_pipeline
 from ticklake.llm import best_fit, queries
 from ticklake.llm.common import stored
 from ticklake.llm.line_variants import split_lines, within_one_edit
+from test_simhash_pivots import brute_components, plain_fingerprint
 
 
 @pytest.mark.parametrize("key", list(queries.oracle_sql()))
@@ -22,7 +23,7 @@ def test_query_equals_sql(spark, key):
 
 
 def test_names():
-    assert [name.split("_")[0] for name in queries.queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.queries()] == [f"op{n}" for n in range(1, 14)]
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "packing"]
 
 
@@ -49,18 +50,9 @@ def brute_lines(rows):
 
 
 def brute_kept(texts):
-    """Least ids of the groups that five-word shingles of a Jaccard similarity of 0.8 join."""
-    sets = {}
-    for doc, text in texts.items():
-        words = text.encode().lower().split()
-        sets[doc] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-    group = {doc: doc for doc in sets}
-    for a in sets:
-        for b in sets:
-            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and group[a] != group[b]:
-                old, new = sorted((group[a], group[b]), reverse=True)
-                group = {doc: new if g == old else g for doc, g in group.items()}
-    return set(group.values())
+    """Least ids of the groups that 64-bit fingerprints at most 4 bits apart join."""
+    prints = {doc: plain_fingerprint(text) for doc, text in texts.items()}
+    return set(brute_components(prints, 4).values())
 
 
 def test_stages_one_by_one(spark):

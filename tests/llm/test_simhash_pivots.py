@@ -39,7 +39,7 @@ def brute_components(prints: dict[int, int], radius: int) -> dict[int, int]:
 def test_fingerprint_is_the_contract(size):
     rng = random.Random(size)
     text = " ".join(rng.choice(["The", "ÄB", "x\ty", "Word", "é", "zz"]) for _ in range(size))
-    assert op.fingerprint(text) == [plain_fingerprint(text)]
+    assert op.fingerprint(text) == plain_fingerprint(text)
 
 
 def test_spark_hash_is_the_same(spark):
@@ -67,14 +67,15 @@ def test_links_join_what_brute_force_joins(spark, monkeypatch, limit):
     monkeypatch.setattr(op, "PARTS", 3)
     rng = random.Random(7)
     prints = grown(rng, 12, 12) | {900 + i: 0xFFFF0000 + i for i in range(40)}
-    distinct = {}
-    for number, value in prints.items():
-        distinct.setdefault(value, number)
-    signed = [(n, [v - 2**64 if v >> 63 else v]) for v, n in distinct.items()]
-    rows = spark.createDataFrame(signed, "node long, fp array<long>")
+    signed = {v - 2**64 if v >> 63 else v: v for v in prints.values()}
+    rows = spark.createDataFrame([(fp,) for fp in signed], "fp long")
     found = op.components(op.links(rows, replace(op.DOCUMENTS, limit=limit))).collect()
-    got = {n: n for n in distinct.values()} | {r.node: r.component for r in found}
-    assert got == brute_components({n: v for v, n in distinct.items()}, 4)
+    label = brute_components(signed, 4)
+    got = {fp: fp for fp in signed} | {r.node: r.component for r in found}
+    groups: dict[int, set] = {}
+    for fp in signed:
+        groups.setdefault(label[fp], set()).add(got[fp])
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(got.values()))
 
 
 def test_groups_cases(spark):
@@ -86,78 +87,37 @@ def test_groups_cases(spark):
     assert op.groups(docs.limit(0)).collect() == []
 
 
-def test_similar_documents(spark):
+def test_rows_without_id_link(spark):
+    """A near copy of a named row belongs to its group, and joins what is near to it on both sides."""
+    prints = [0b1111 << 8, 0b1111 << 8 | 0b111, 0b1111 << 8 | 0b111111]
+    rows = spark.createDataFrame([(9, prints[0]), (None, prints[1]), (7, prints[2])], "doc_id long, fp long")
+    assert {r.component for r in op.components(op.links(rows.select("fp"))).collect()} == {prints[0]}
+    words = [f"w{i}" for i in range(400)]
+    near = [*words[:200], "changed", *words[201:]]
+    assert (op.fingerprint(" ".join(words)) ^ op.fingerprint(" ".join(near))).bit_count() <= 4
+    docs = spark.createDataFrame([(7, " ".join(words)), (None, " ".join(near))], SCHEMA)
+    assert [r.component_id for r in op.groups(docs).collect()] == [7, 7]
+
+
+def test_kept_documents(spark):
     rng = random.Random(3)
     words = [f"w{rng.randrange(5000)}" for _ in range(400)]
-    near = list(words)
-    near[200] = "changed"
+    near = [*words[:200], "changed", *words[201:]]
     other = [f"w{rng.randrange(5000)}" for _ in range(400)]
-    half = words[:200] + other[:200]
-    docs = spark.createDataFrame(
-        [(i, " ".join(w)) for i, w in enumerate((words, near, other, half))] + [(None, " ".join(words))], SCHEMA
-    )
+    rows = [(i, " ".join(w), i, "x") for i, w in enumerate((words, near, other, words[:200] + other[:200]))]
+    rows += [(None, " ".join(words), 8, None), (8, None, None, None), (9, " ", 1, "y")]
+    docs = spark.createDataFrame(rows, SCHEMA + ", row long, row_ string").repartition(3)
     kept = op.kept_documents(docs)
-    assert kept.columns == ["doc_id", "text"]
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [0, 2, 3, None]
-
-
-def test_similarity_of_sets():
-    scheme = op.SIMILAR
-    words = [f"w{i}" for i in range(14)]
-    whole, part, other = (op.shingle_set(" ".join(w), scheme) for w in (words, words[:12], ["q"] * 50))
-    assert (len(whole), len(part), len(other)) == (10, 8, 1)
-    assert op.similarity(whole, part) == op.similarity(part, whole) == 0.8
-    assert op.similarity(whole, other) == 0
-    none = op.shingle_set("", scheme)
-    assert op.similarity(none, none) == 1 and op.similarity(none, whole) == op.similarity(whole, none) == 0
-
-
-def edited(rng, words, share):
-    out = list(words)
-    at = rng.randrange(len(out))
-    return out[:at] + [f"n{rng.randrange(10**6)}" for _ in range(round(share * len(out)))] + out[at:]
-
-
-@pytest.mark.parametrize("split", [False, True])
-def test_similar_groups_are_those_of_the_texts(spark, monkeypatch, split):
-    """Also with blocks split by rows and by bytes; texts on both sides of the threshold."""
-    if split:
-        monkeypatch.setattr(op, "SHINGLE_BYTES", 4000)
-    rng = random.Random(11)
-    texts = [None, "", "one", "one", "One two", "same " * 300, "same " * 300 + "and then some more words here"]
-    for _ in range(25):
-        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([20, 60, 200]))]
-        texts.append(" ".join(words))
-        texts += [" ".join(edited(rng, words, share)) for share in (0.05, 0.1, 0.2, 0.24, 0.3)]
-    sets = [set(op.shingle_set(t or "", op.SIMILAR).tolist()) for t in texts]
-    label = list(range(len(sets)))
-    for a in range(len(sets)):
-        for b in range(a):
-            both = len(sets[a] | sets[b])
-            if (not both or len(sets[a] & sets[b]) >= 0.8 * both) and label[a] != label[b]:
-                old, new = max(label[a], label[b]), min(label[a], label[b])
-                label = [new if x == old else x for x in label]
-    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(3)
-    scheme = replace(op.SIMILAR, limit=3 if split else 2048)
-    got = {r.doc_id: r.component_id for r in op.groups(docs, scheme).collect()}
-    assert got == dict(enumerate(label))
-
-
-def test_similar_cases(spark):
-    text = " ".join(f"w{i}" for i in range(40))
-    longer = text + " " + " ".join(f"x{i}" for i in range(8))  # 36 of 44 shingles
-    rows = [(5, longer), (5, text), (3, "apart " * 9), (None, text), (None, None), (7, text + " x0"), (7, text + " x0")]
-    docs = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA + ", key int, node int, shingles int")
-    got = sorted(((r.doc_id, r.component_id) for r in op.groups(docs, op.SIMILAR).collect()), key=str)
-    assert got == sorted([(5, 5), (5, 5), (3, 3), (None, 5), (None, None), (7, 5), (7, 5)], key=str)
-    assert op.kept_documents(docs).columns == docs.columns
+    assert kept.columns == docs.columns and kept.exceptAll(docs).isEmpty()
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [0, 2, 3, 8, None]
     assert op.kept_documents(docs.limit(0)).collect() == []
 
 
 def test_near_copies_go_by_row(spark):
     """Repeated rows leave one; a clean text stays whatever becomes of another row of its id."""
-    words = [f"w{i}" for i in range(60)]
+    words = [f"w{i}" for i in range(600)]
     one, near = " ".join(words), " ".join([*words, "more"])
+    assert (op.fingerprint(one) ^ op.fingerprint(near)).bit_count() <= 4
     clean = " ".join(f"other{i}" for i in range(40))
     rows = [(1, one), (1, one), (2, near), (2, clean), (3, near), (4, "a b c d e f"), (4, "a b c d e f"), (None, one), (None, one)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)

@@ -38,7 +38,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_pivots.groups(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",
-        F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
 

@@ -7,20 +7,15 @@ most ``radius`` in each of these coordinates, so a pair with a larger difference
 coordinate is discarded unseen; what survives is verified bit by bit.
 
 Distances to whole random references crowd around half the length, so alone they leave a
-large share of all pairs. References that differ only inside one band of bits tell that
-band's content (the distance to a reference with bit i flipped is one more or one less):
-where ``radius`` bits differ, at least one of ``radius + 1`` bands has every coordinate
-equal. Such bands block the pairs; inside a block rows are sorted by their distance to
-the first reference, so that partners lie in a sliding window of width ``radius``.
+large share of all pairs, and the pairs are not made from them. Blocks are: the bits are cut into
+``radius + 1`` bands, two fingerprints within the radius agree in all bits of at least one band, and
+rows with equal bits in a band make a block. (In terms of pivots: the distances to references that
+differ in one bit of the band only tell the band's bits.) Inside a block rows are sorted by their
+distance to the first reference, so that partners lie in a sliding window of width
+``radius``, and the other coordinates discard most of the window.
 
 Blocks above ``limit`` rows are split: very large ones by bands of the remaining bits,
-others into pairs of sub-blocks. No pair within the radius is lost by a split of the first
-kind when there are ``radius + 1`` bands, nor ever by one of the second.
-
-Where links are a Jaccard similarity of the texts and not a distance of the fingerprints, the
-distance only proposes. Fingerprints within ``sure`` bits are links; of pairs between ``sure``
-and ``radius`` that these do not join yet, the shingles themselves are compared. Their texts meet
-in the blocks where the fingerprints met, so no list of pairs is made.
+others into pairs of sub-blocks. No pair within the radius is lost by either.
 """
 
 from __future__ import annotations
@@ -38,12 +33,9 @@ from pyspark.sql import functions as F
 from ticklake.llm.common import record_batch, sliced, stored, text_of
 from ticklake.llm.components import components
 
-#: Shingles hashed at a time, so that a very long text needs no more memory than this.
+#: Shingles hashed at a time, so that the hashes of a very long text need no more memory than this.
 CHUNK = 1 << 16
 
-#: Odd constant that spreads one shingle hash over the words of a longer fingerprint.
-SPREAD = 0x9E3779B97F4A7C15
-
 #: Reference fingerprints besides those of the bands.
 REFERENCES = 8
 
@@ -56,64 +48,22 @@ PARTS = 64
 
 @dataclass(frozen=True)
 class Scheme:
-    """How fingerprints are made and which of them are links.
-
-    ``bits`` is a multiple of 64. With ``bands`` of ``radius + 1`` or more no link is
-    missed; with fewer, the share found follows from the width of a band. Bands of a given
-    ``width`` may overlap. With a ``similarity`` links are distinct shingles of that Jaccard
-    similarity or more, counted where the distance is above ``sure``.
-    """
+    """How fingerprints of 64 bits are made and which of them are links."""
 
     words: int = 4
-    bits: int = 64
     radius: int = 4
-    bands: int = 5
     seed: int = 42
     limit: int = 2048
-    width: int | None = None
-    similarity: float | None = None
-    sure: int = 0
-
-    @property
-    def lanes(self) -> int:
-        return self.bits // 64
-
-    def band_slices(self) -> list[tuple[int, int, int]]:
-        """(word, first bit, width) of each band; no band crosses a 64-bit word."""
-        share, more = divmod(self.bands, self.lanes)
-        slices = []
-        for lane in range(self.lanes):
-            count = share + (lane < more)
-            if self.width:
-                room = (64 - self.width) / max(count - 1, 1)
-                slices += [(lane, round(i * room), self.width) for i in range(count)]
-                continue
-            cuts = [round(64 * i / count) for i in range(count + 1)] if count else []
-            slices += [(lane, a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-        return slices
+
+    def bands(self) -> list[tuple[int, int]]:
+        """(first bit, width) of each of ``radius + 1`` bands: two links agree in one of them."""
+        cuts = [round(64 * i / (self.radius + 1)) for i in range(self.radius + 2)]
+        return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 #: The contract of the registered query.
 DOCUMENTS = Scheme()
 
-#: Five-word shingles at a Jaccard similarity of 0.8 or more. At 0.8 fingerprints differ in 78 of
-#: 512 bits, deviation 8: 44 and 110 bits are four deviations off. A band of 14 bits agrees by
-#: chance of 0.1 at 0.8, so 48 bands find 0.99 of such pairs, and more of closer ones.
-SIMILAR = Scheme(words=5, bits=512, radius=110, bands=48, width=14, similarity=0.8, sure=44)
-
-#: Bytes of shingles that a block has when texts are compared; larger ones are split.
-SHINGLE_BYTES = 32 << 20
-
-
-def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
-    """Word ``lane`` of each shingle's bits; word 0 is the hash itself."""
-    if lane == 0:
-        return hashes
-    x = hashes + np.uint64(lane * SPREAD & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
 
 def _set_bits(hashes: np.ndarray) -> np.ndarray:
     """How many of the hashes have each of the 64 bits set."""
@@ -142,53 +92,33 @@ def shingle_hashes(text: str, scheme: Scheme) -> Iterator[np.ndarray]:
         yield np.array([digest(joined[a:b], seed) for a, b in spans], dtype=np.uint64)
 
 
-def shingle_set(text: str, scheme: Scheme) -> np.ndarray:
-    """The distinct shingle hashes, sorted."""
-    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *shingle_hashes(text, scheme)]))
-
-
-def fingerprint(text: str, scheme: Scheme = DOCUMENTS) -> list[int]:
-    """The fingerprint as unsigned 64-bit words; all zero for a text without words."""
-    chunks = shingle_hashes(text, scheme) if scheme.similarity is None else [shingle_set(text, scheme)]
-    counts, shingles = np.zeros((scheme.lanes, 64), dtype=np.int64), 0
-    for hashes in chunks:
+def fingerprint(text: str, scheme: Scheme = DOCUMENTS) -> int:
+    """The fingerprint as an unsigned number; zero for a text without words."""
+    counts, shingles = np.zeros(64, dtype=np.int64), 0
+    for hashes in shingle_hashes(text, scheme):
         shingles += len(hashes)
-        for lane in range(scheme.lanes):
-            counts[lane] += _set_bits(_mixed(hashes, lane))
-    bits = (counts * 2 > shingles).astype(np.uint8)
-    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel().tolist()
+        counts += _set_bits(hashes)
+    return int(np.packbits(counts * 2 > shingles, bitorder="little").view(np.uint64)[0])
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
     for batch in sliced(batches, "text", 1 << 24):
-        prints = np.array(
-            [fingerprint(text, scheme) for text in batch.column("text").to_pylist()], dtype=np.uint64
-        ).view(np.int64)
-        lists = pa.ListArray.from_arrays(
-            np.arange(0, prints.size + 1, scheme.lanes, dtype=np.int32), prints.ravel()
-        )
-        yield record_batch(schema, batch.column("doc_id"), lists)
+        prints = [fingerprint(text, scheme) for text in batch.column("text").to_pylist()]
+        yield record_batch(schema, batch.column("doc_id"), np.array(prints, dtype=np.uint64).view(np.int64))
 
 
 def fingerprints(
     docs: DataFrame, scheme: Scheme = DOCUMENTS, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, fp) of every row, ``fp`` an array of signed 64-bit words; a null text is empty."""
+    """(doc_id, fp) of every row, ``fp`` as a signed number; a null text is empty."""
     rows = docs.select(docs[id].cast("long").alias("doc_id"), text_of(docs, text).alias("text"))
-    return rows.mapInArrow(
-        partial(_fingerprint_batches, scheme=scheme), "doc_id long, fp array<long>"
-    )
+    return rows.mapInArrow(partial(_fingerprint_batches, scheme=scheme), "doc_id long, fp long")
 
 
-def _reference_words(scheme: Scheme) -> np.ndarray:
-    return np.array(
-        [
-            [xxhash.xxh64_intdigest(f"reference {i} {lane}", scheme.seed) for lane in range(scheme.lanes)]
-            for i in range(REFERENCES)
-        ],
-        dtype=np.uint64,
-    )
+def _references(scheme: Scheme) -> np.ndarray:
+    made = [xxhash.xxh64_intdigest(f"reference {i} 0", scheme.seed) for i in range(REFERENCES)]
+    return np.array(made, dtype=np.uint64)
 
 
 def _connect(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
@@ -206,8 +136,8 @@ def _connect(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
 
 def _near_pairs(
     keys: np.ndarray, prints: np.ndarray, table: np.ndarray, radius: int, label: np.ndarray
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(left, right, distance) of pairs of equal keys within the radius whose labels differ.
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(left, right) of pairs of equal keys within the radius whose labels differ.
 
     Rows are sorted by key and first coordinate. Labels are read anew at every step, so
     pairs that the caller has joined meanwhile are not looked at again.
@@ -224,38 +154,18 @@ def _near_pairs(
         left = rows[label[rows] != label[rows + step]]
         for coordinate in table[1:]:
             left = left[np.abs(coordinate[left] - coordinate[left + step]) <= radius]
+        left = left[np.bitwise_count(prints[left] ^ prints[left + step]) <= radius]
         if len(left):
-            apart = np.bitwise_count(prints[left] ^ prints[left + step]).sum(axis=1, dtype=np.int16)
-            near = apart <= radius
-            left = left[near]
-            yield left, left + step, apart[near]
+            yield left, left + step
 
 
 def _pivot_order(keys: np.ndarray, prints: np.ndarray, references: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order of the rows by key and first coordinate, their coordinates in this order)."""
-    table = np.bitwise_count(prints[:, None, :] ^ references[None]).sum(axis=2, dtype=np.int16)
+    table = np.bitwise_count(prints[:, None] ^ references[None]).astype(np.int16)
     order = np.lexsort((table[:, 0], keys))
     return order, np.ascontiguousarray(table[order].T)
 
 
-def _border(
-    prints: np.ndarray, bands: np.ndarray, pairs: Iterator[tuple], scheme: Scheme
-) -> np.ndarray:
-    """Which rows have a pair that is to be decided by its texts in this block.
-
-    A pair is decided in the first of the bands whose content both rows share.
-    """
-    contents = np.stack(
-        [prints[:, lane] >> np.uint64(first) & np.uint64((1 << width) - 1) for lane, first, width in scheme.band_slices()],
-        axis=1,
-    ).astype(np.uint16)
-    marked = np.zeros(len(prints), dtype=bool)
-    for left, right, _ in pairs:
-        here = (contents[left] == contents[right]).argmax(axis=1) == bands[left]
-        marked[left[here]] = marked[right[here]] = True
-    return marked
-
-
 def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of a sorted partition in pieces that cut no block apart."""
     held: list[pa.RecordBatch] = []
@@ -277,64 +187,53 @@ def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _link_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
-    """Links (a, b, null) and, with a similarity, rows (a, null, key) whose texts are to be compared."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
-    references = _reference_words(scheme)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    references = _references(scheme)
     for table in _whole_blocks(batches):
-        keys, nodes, bands = (table.column(name).to_numpy() for name in ("key", "node", "band"))
-        words = table.column("fp").chunk(0).flatten().to_numpy(zero_copy_only=False)
-        prints = words.view(np.uint64).reshape(len(keys), -1)
+        keys, nodes = table.column("key").to_numpy(), table.column("fp").to_numpy()
         _, run, size = np.unique(keys, return_inverse=True, return_counts=True)
         shared = np.flatnonzero(size[run] > 1)
         if not len(shared):
             continue
+        prints = nodes.view(np.uint64)
         order, distances = _pivot_order(keys[shared], prints[shared], references)
         order = shared[order]
-        keys, nodes, bands, prints = keys[order], nodes[order], bands[order], prints[order]
+        keys, nodes, prints = keys[order], nodes[order], prints[order]
         label = np.arange(len(keys))
-        reach = scheme.radius if scheme.similarity is None else scheme.sure
-        for left, right, _ in _near_pairs(keys, prints, distances, reach, label):
+        for left, right in _near_pairs(keys, prints, distances, scheme.radius, label):
             _connect(label, left, right)
         moved = np.flatnonzero(label != np.arange(len(label)))
-        yield record_batch(schema, nodes[moved], nodes[label[moved]], pa.nulls(len(moved), pa.int64()))
-        if scheme.similarity is not None:
-            pairs = _near_pairs(keys, prints, distances, scheme.radius, label)
-            marked = _border(prints, bands, pairs, scheme)
-            yield record_batch(schema, nodes[marked], pa.nulls(int(marked.sum()), pa.int64()), keys[marked])
+        yield record_batch(schema, nodes[moved], nodes[label[moved]])
 
 
 def _band_rows(prints: DataFrame, scheme: Scheme) -> DataFrame:
-    """Each fingerprint once per band, keyed by the band and its content."""
+    """Each fingerprint once per band, keyed by the band and its bits."""
     cells = [
         F.struct(
             F.lit(number).alias("band"),
-            F.shiftrightunsigned(F.col("fp")[lane], first).bitwiseAND((1 << width) - 1).alias("content"),
+            F.shiftrightunsigned("fp", first).bitwiseAND((1 << width) - 1).alias("content"),
         )
-        for number, (lane, first, width) in enumerate(scheme.band_slices())
+        for number, (first, width) in enumerate(scheme.bands())
     ]
-    return (
-        prints.select("node", "fp", F.explode(F.array(*cells)).alias("cell"))
-        .select("node", "fp", "cell.band", F.xxhash64("cell.band", "cell.content").alias("key"))
+    return prints.select("fp", F.explode(F.array(*cells)).alias("cell")).select(
+        "fp", "cell.band", F.xxhash64("cell.band", "cell.content").alias("key")
     )
 
 
 def _finer_rows(rows: DataFrame, scheme: Scheme) -> DataFrame:
-    """Rows of very large blocks keyed anew by bands of the bits outside their own band."""
+    """Rows of very large blocks keyed anew by ``radius + 1`` bands of the bits outside their own band."""
     finer = None
-    for number, (lane, first, width) in enumerate(scheme.band_slices()):
-        left = [bit for bit in range(scheme.bits) if not lane * 64 + first <= bit < lane * 64 + first + width]
-        parts = np.array_split(np.array(left), scheme.bands)
+    for number, (first, width) in enumerate(scheme.bands()):
+        left = [bit for bit in range(64) if not first <= bit < first + width]
         contents = []
-        for part in parts:
-            words = []
-            for word in sorted({int(bit) // 64 for bit in part}):
-                mask = sum(1 << int(bit) % 64 for bit in part if bit // 64 == word)
-                words.append(F.col("fp")[word].bitwiseAND(mask - (1 << 64) if mask >> 63 else mask))
-            contents.append(F.xxhash64(F.lit(len(contents)), *words))
+        for part in np.array_split(np.array(left), scheme.radius + 1):
+            mask = sum(1 << int(bit) for bit in part)
+            kept = F.col("fp").bitwiseAND(mask - (1 << 64) if mask >> 63 else mask)
+            contents.append(F.xxhash64(F.lit(len(contents)), kept))
         cut = (
             rows.where(F.col("band") == number)
             .withColumn("content", F.explode(F.array(*contents)))
-            .select("node", "fp", "band", F.xxhash64("key", "content").alias("key"))
+            .select("fp", "band", F.xxhash64("key", "content").alias("key"))
         )
         finer = cut if finer is None else finer.union(cut)
     return finer
@@ -352,17 +251,16 @@ def _split_large(rows: DataFrame, scheme: Scheme) -> DataFrame:
         again = finer.groupBy("key").count().where(F.col("count") > scheme.limit)
         marked = (
             marked.where(F.coalesce("count", F.lit(0)) <= scheme.limit * PARTS)
-            .select("node", "fp", "band", "key", "count")
-            .union(finer.join(again, "key", "left").select("node", "fp", "band", "key", "count"))
+            .select("fp", "band", "key", "count")
+            .union(finer.join(again, "key", "left").select("fp", "band", "key", "count"))
         )
     parts = F.ceil(F.coalesce("count", F.lit(1)) / scheme.limit).cast("int")
-    own = F.pmod(F.xxhash64("fp", "node"), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     return (
         marked.withColumn("parts", parts)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
-            "node",
             "fp",
             "band",
             F.when(F.col("parts") == 1, F.col("key"))
@@ -372,122 +270,15 @@ def _split_large(rows: DataFrame, scheme: Scheme) -> DataFrame:
     )
 
 
-def _met(prints: DataFrame, scheme: Scheme) -> DataFrame:
-    rows = _split_large(_band_rows(prints, scheme), scheme)
-    tasks = rows.select("node", "fp", "band", "key").repartition("key").sortWithinPartitions("key")
-    return tasks.mapInArrow(partial(_link_batches, scheme=scheme), "a long, b long, key long")
-
-
 def links(prints: DataFrame, scheme: Scheme = DOCUMENTS) -> DataFrame:
     """(a, b) pairs that join all fingerprints within the radius into the same components.
 
-    ``prints`` has (node, fp), each fingerprint once. Inside a block a link between two
+    ``prints`` has (fp), each fingerprint once. Inside a block a link between two
     already joined rows is left out, so there are at most as many pairs as rows.
     """
-    return _met(prints, scheme).select("a", "b")
-
-
-def _shingle_batches(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-    for batch in sliced(batches, "text", 1 << 22):
-        sets = [shingle_set(text, scheme).view(np.int64) for text in batch.column("text").to_pylist()]
-        yield record_batch(schema, batch.column("node"), sets)
-
-
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted sets; two empty ones are equal."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    common = int((b[at] == a).sum())
-    return common / (len(a) + len(b) - common)
-
-
-def _similar_block(
-    nodes: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], threshold: float
-) -> Iterator[tuple[int, int]]:
-    """Links of one block between rows of different groups that no link of the block joins."""
-    _, label = np.unique(groups, return_inverse=True)
-    size = np.array([len(s) for s in sets])
-    order = np.argsort(size, kind="stable")
-    nodes, label, size, sets = nodes[order], label[order], size[order], [sets[i] for i in order]
-    for i in range(len(sets)):
-        # the smaller set is at least that share of the larger
-        end = np.searchsorted(size, size[i] / threshold * (1 + 1e-9), side="right")
-        for j in (i + 1 + np.flatnonzero(label[i + 1 : end] != label[i])).tolist():
-            if label[i] != label[j] and similarity(sets[i], sets[j]) >= threshold:
-                yield int(nodes[i]), int(nodes[j])
-                label[label == label[j]] = label[i]
-
-
-def _similar_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Links by similarity; rows come sorted by block, and one block is held."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    key, held = None, []
-
-    def flush():
-        nodes, groups, sets = zip(*held, strict=True)
-        found = list(_similar_block(np.array(nodes), np.array(groups), list(sets), threshold))
-        held.clear()
-        return record_batch(schema, [a for a, _ in found], [b for _, b in found])
-
-    for batch in batches:
-        lists = batch.column("shingles")
-        ends = lists.offsets.to_numpy()
-        values = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-        columns = (batch.column(name).to_pylist() for name in ("key", "node", "group"))
-        for row, (block, node, group) in enumerate(zip(*columns, strict=True)):
-            if held and block != key:
-                yield flush()
-            key = block
-            held.append((node, group, values[ends[row] : ends[row + 1]].copy()))
-    if held:
-        yield flush()
-
-
-def similar_links(rows: DataFrame, prints: DataFrame, scheme: Scheme = SIMILAR) -> DataFrame:
-    """(a, b) pairs that join all texts of the scheme's similarity whose fingerprints meet in a band.
-
-    ``rows`` has (doc_id, text), ``prints`` (node, fp), each fingerprint once, where a node
-    is the id of a row with this fingerprint.
-    """
-    met = stored(_met(prints, scheme), "met")
-    joined = components(met.where("b is not null"))
-    marks = (
-        met.where("b is null")
-        .select(F.col("a").alias("node"), "key")
-        .join(joined, "node", "left")
-        .select("node", "key", F.coalesce("component", "node").alias("group"))
-    )
-    # blocks whose rows are in one component by now have nothing to decide
-    open_ = marks.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most")
-    marks = stored(marks.join(open_, "key", "left_semi"), "to_compare")
-    sets = stored(
-        rows.join(marks.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
-        .select(F.col("doc_id").alias("node"), "text")
-        .mapInArrow(partial(_shingle_batches, scheme=scheme), "node long, shingles array<long>"),
-        "shingles",
-    )
-    sizes = sets.select("node", (8 * F.size("shingles") + 200).alias("bytes"))
-    parts = (
-        marks.join(sizes, "node")
-        .groupBy("key")
-        .agg(F.ceil(F.sum("bytes") / SHINGLE_BYTES).cast("int").alias("parts"))
-    )
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    blocks = (
-        marks.join(parts, "key")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("node", "group", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"))
-        .join(sets, "node")
-    )
-    compared = (
-        blocks.repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(partial(_similar_batches, threshold=scheme.similarity), "a long, b long")
-    )
-    return joined.union(compared).toDF("a", "b")
+    rows = _split_large(_band_rows(prints, scheme), scheme)
+    tasks = rows.select("fp", "key").repartition("key").sortWithinPartitions("key")
+    return tasks.mapInArrow(partial(_link_batches, scheme=scheme), "a long, b long")
 
 
 def groups(
@@ -496,43 +287,42 @@ def groups(
     """(doc_id, fp, component_id) of every row.
 
     ``component_id`` is the smallest doc_id reachable over fingerprints at most
-    ``radius`` bits apart, or texts of the scheme's ``similarity``. Defined cases: a null or wordless text has fingerprint zero and
+    ``radius`` bits apart. Defined cases: a null or wordless text has fingerprint zero and
     is linked like any other; rows that repeat an id, or a text, keep their own result row; a
-    row without id has its group's smallest id, or null where no row of equal
-    fingerprint has one; other columns of ``docs`` are not looked at.
+    row without id links like any other, and its component is null where no row of
+    the group has an id; other columns of ``docs`` are not looked at.
     """
     made = stored(fingerprints(docs, scheme, id, text), "fingerprints")
-    prints = made.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    known = prints.where(F.col("node").isNotNull())
-    if scheme.similarity is None:
-        found = links(known, scheme)
-    else:
-        rows = docs.select(docs[id].cast("long").alias("doc_id"), text_of(docs, text).alias("text"))
-        found = similar_links(rows, known, scheme)
-    joined = components(found)
-    placed = prints.join(joined, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id")
-    )
-    return made.join(placed, "fp").select("doc_id", "fp", "component_id")
+    prints = stored(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
+    joined = components(links(prints.select("fp"), scheme)).withColumnRenamed("node", "fp")
+    placed = prints.join(joined, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    ids = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    by_print = placed.join(ids, "component").select("fp", "component_id")
+    return made.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
 def kept_documents(
-    docs: DataFrame, scheme: Scheme = SIMILAR, id: str = "doc_id", text: str = "text"
+    docs: DataFrame, scheme: Scheme = DOCUMENTS, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group one row, with the smallest id.
 
     Rows are told apart by a number of their own, so of rows that repeat the smallest id one stays
     (by a hash of the text, then the number), and rows that share an id but no group are
-    decided each by its own group. Rows without an id stay.
+    decided each by its own group. Rows without an id stay. Null and wordless texts are near copies of each
+    other. Columns of ``docs`` may have any names; all are returned as they are.
     """
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     named = numbered.where(numbered[id].cast("long").isNotNull())
-    found = stored(groups(named, scheme, "__row", text).select(F.col("doc_id").alias("__row"), "component_id"), "groups")
+    found = stored(groups(named, scheme, row, text).select(F.col("doc_id").alias("row"), "component_id"), "groups")
     order = named.select(
-        "__row", F.struct(named[id].cast("long").alias("id"), F.xxhash64(text_of(named, text)), "__row").alias("place")
+        F.col(row).alias("row"),
+        F.struct(named[id].cast("long").alias("id"), F.xxhash64(text_of(named, text)).alias("hash"), F.col(row).alias("row")).alias("place"),
     )
     shared = found.groupBy("component_id").count().where("count > 1").drop("count")
-    rivals = stored(found.join(shared, "component_id").join(order, "__row"), "rivals")
+    rivals = stored(found.join(shared, "component_id").join(order, "row"), "rivals")
     heads = rivals.groupBy("component_id").agg(F.min("place").alias("head"))
-    dropped = rivals.join(heads, "component_id").where("place.__row <> head.__row").select("__row")
-    return numbered.join(dropped, "__row", "left_anti").select(docs.columns)
+    dropped = rivals.join(heads, "component_id").where("place.row <> head.row").select(F.col("row").alias(row))
+    return numbered.join(dropped, row, "left_anti").select(*(numbered[c] for c in docs.columns))
