@@ -27,8 +27,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id."""
-    return simhash_pivots.kept_documents(docs)
+    """One document of each group of near copies by SimHash, the one with the smallest id.
+
+    Four-word shingles, fingerprints of 64 bits, at most 4 of them different.
+    """
+    return simhash_pivots.kept_documents(docs, simhash_pivots.DOCUMENTS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
