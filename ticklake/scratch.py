@@ -39,3 +39,32 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(new_folder(spark, "checkpoint"))
     return rows.checkpoint()
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def folder_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names and bytes of the folders inside ``path``; one listing of it, and one of each folder."""
+    file_system, folder = _file_system(spark, path)
+    if not file_system.exists(folder):
+        return {}
+    found = [status.getPath() for status in file_system.listStatus(folder) if status.isDirectory()]
+    return {child.getName(): file_system.getContentSummary(child).getLength() for child in found}
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    file_system, folder = _file_system(spark, path)
+    return file_system.exists(folder)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    file_system, folder = _file_system(spark, path)
+    file_system.mkdirs(folder)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    file_system, folder = _file_system(spark, path)
+    file_system.delete(folder, True)

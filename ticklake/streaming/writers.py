@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticklake import scratch
 from ticklake.functions.clock import utc_date
 from ticklake.operators.dedup import dedup_ticks, latest_millisecond, not_stored
 from ticklake.schemas import MEASURES, STREAM_COLUMNS
 from ticklake.settings import JdbcSettings
 from ticklake.sinks.tables import append_jdbc
+from ticklake.streaming.key_index import NO_DATE, KeyIndex
 
 log = logging.getLogger(__name__)
 
@@ -39,6 +41,7 @@ class ParquetTicks:
 
     def __init__(self, path: str) -> None:
         self.path = path
+        self.index = KeyIndex(f"{path.rstrip('/')}_keys")
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         dated = rows.withColumns({"date": utc_date("timestamp_ts"), "batch_id": F.lit(batch_id)})
@@ -47,18 +50,37 @@ class ParquetTicks:
 
     def read(self, spark) -> DataFrame:
         """All stored ticks; none before the first batch."""
-        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        scratch.make_folder(spark, self.path)
         return spark.read.schema(STORED).parquet(self.path)
 
-    def earlier(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Ticks of other batches on the days that occur in ``rows``: one value per day is fetched."""
-        days = [row.date for row in rows.select(utc_date("timestamp_ts").alias("date")).distinct().collect()]
-        known = [day for day in days if day is not None]
-        wanted = F.col("date").isin(known)
-        if len(known) < len(days):
-            wanted = wanted | F.col("date").isNull()
-        return self.read(rows.sparkSession).filter(wanted & (F.col("batch_id") != batch_id))
+    def of_batch(self, spark, dates: list, batch_id: int) -> DataFrame:
+        """What a batch has stored on these days; only its own folders are listed."""
+        days = [NO_DATE if date is None else date.isoformat() for date in dates]
+        paths = [f"{self.path}/date={day}/batch_id={batch_id}" for day in days]
+        there = [path for path in paths if scratch.exists(spark, path)]
+        reader = spark.read.schema(STORED).option("basePath", self.path)
+        return reader.parquet(*there) if there else spark.createDataFrame([], STORED)
+
+    def write_new(self, rows: DataFrame, batch_id: int, counted: Observation) -> None:
+        """Stores the ticks that no other batch has stored, and notes their keys.
+
+        ``rows`` are read twice: persist them. A table without an index of its keys gets one
+        first, and is kept indexed from then on.
+        """
+        spark = rows.sparkSession
+        if not self.index.is_there(spark):
+            self.index.create(self.read(spark))
+        days = rows.groupBy(utc_date("timestamp_ts").alias("date"))
+        spans = days.agg(F.min(F.unix_micros("timestamp_ts")).alias("first"), F.max(F.unix_micros("timestamp_ts")).alias("last")).collect()
+        dates = [row.date for row in spans]  # one row per day that the batch has ticks of
+        known = self.index.keys(spark, dates, batch_id)
+        times = [row for row in spans if row.date is not None]
+        if times and len(times) == len(spans):  # literals, so Parquet skips keys of other times
+            first, last = min(row.first for row in times), max(row.last for row in times)
+            moment = F.col("timestamp_ts")
+            known = known.filter((moment >= F.timestamp_micros(F.lit(first))) & (moment <= F.timestamp_micros(F.lit(last))))
+        self(not_stored(rows, known).observe(counted, F.count(F.lit(1)).alias("rows")), batch_id)
+        self.index.add(self.of_batch(spark, dates, batch_id), dates, batch_id)
 
 
 def parquet_writer(path: str) -> ParquetTicks:
@@ -91,9 +113,9 @@ def deduplicating(write: BatchWriter, cross_batch: bool = False) -> BatchWriter:
 
     Of repeats, the one with the latest millisecond stays, then the one a hash of the row
     picks, so a replayed batch writes the same rows. ``cross_batch`` also leaves out keys that
-    another batch has stored, however late they come: it needs a ``ParquetTicks`` to look
-    them up in, and nothing is dropped for its age. The count is observed during the write, so the
-    batch runs once. Errors propagate: the query stops, its checkpoint stays, and a restart
+    another batch has stored, however late they come: it needs a ``ParquetTicks`` and its key
+    index, and nothing is dropped for its age. The source is read and parsed once: the batch's rows are
+    persisted where they are needed twice, and the count is observed during the write. Errors propagate: the query stops, its checkpoint stays, and a restart
     replays the batch.
     """
     if cross_batch and not isinstance(write, ParquetTicks):
@@ -103,8 +125,13 @@ def deduplicating(write: BatchWriter, cross_batch: bool = False) -> BatchWriter:
         counted = Observation(f"batch_{batch_id}")
         rows = dedup_ticks(batch, order=latest_millisecond(batch)).select(*STREAM_COLUMNS)
         if cross_batch:
-            rows = not_stored(rows, write.earlier(batch, batch_id))
-        write(rows.observe(counted, F.count(F.lit(1)).alias("rows")), batch_id)
+            rows.persist()
+            try:
+                write.write_new(rows, batch_id, counted)
+            finally:
+                rows.unpersist()
+        else:
+            write(rows.observe(counted, F.count(F.lit(1)).alias("rows")), batch_id)
         log.info("batch %s wrote %s rows", batch_id, counted.get["rows"])
 
     return write_batch
