@@ -1,0 +1,98 @@
+"""Many sinks on one read of a stream: scans, replays, and what each sink gets."""
+
+from __future__ import annotations
+
+import pytest
+from test_streaming import NOW, land, message
+
+from ticklake.sources.messages import file_messages
+from ticklake.streaming import fan_out, writers
+from ticklake.streaming.parse import classified, parse_ticks, rejected_messages
+
+
+def three_sinks(tmp_path, **options):
+    return [
+        fan_out.ticks_sink(writers.parquet_writer(str(tmp_path / "table")), drop_malformed=True, **options),
+        fan_out.parquet_sink(str(tmp_path / "raw")),
+        fan_out.rejects_sink(str(tmp_path / "rejects")),
+    ]
+
+
+def inbox_of(tmp_path):
+    inbox = tmp_path / "in"
+    land(inbox, "1.txt", message("A", 0), message("A", 0), message("B", 0), "broken", "7")
+    land(inbox, "2.txt", message("A", 0), message("C", 86_400), "{}", "late")
+    return inbox
+
+
+def run(spark, tmp_path, sinks, inbox):
+    query = fan_out.fan_out(file_messages(spark, str(inbox), 1), sinks, str(tmp_path / "checkpoint"), NOW)
+    query.awaitTermination()
+    return query
+
+
+def counts(spark, tmp_path):
+    return [spark.read.parquet(str(tmp_path / name)).count() for name in ("table", "raw", "rejects")]
+
+
+def test_one_scan_for_three_sinks(spark, tmp_path):
+    query = run(spark, tmp_path, three_sinks(tmp_path, cross_batch=True), inbox_of(tmp_path))
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 9
+    assert counts(spark, tmp_path) == [4, 9, 3]  # an empty object is a tick of NULLs
+    rejects = spark.read.parquet(str(tmp_path / "rejects"))
+    assert sorted(r.value for r in rejects.collect()) == ["7", "broken", "late"]
+    assert {str(r.date) for r in spark.read.parquet(str(tmp_path / "raw")).collect()} == {"2024-01-01", "2024-01-02", "None"}
+
+
+@pytest.mark.parametrize("broken", [0, 1, 2])
+def test_replay_goes_to_the_sinks_that_missed_the_batch(spark, tmp_path, broken):
+    """Whichever sink fails, also one that only appends, has every batch once in the end."""
+    inbox = inbox_of(tmp_path)
+    taken: list[tuple[str, int]] = []
+    armed = [True]
+
+    def wrapped(number, sink):
+        def write(rows, batch_id):
+            sink.write(rows, batch_id)
+            if number == broken and batch_id == 1 and armed[0]:
+                armed[0] = False
+                raise RuntimeError("sink went away")
+            taken.append((sink.name, batch_id))
+
+        return fan_out.Sink(sink.name, sink.rows, write)
+
+    sinks = [wrapped(number, sink) for number, sink in enumerate(three_sinks(tmp_path))]
+    with pytest.raises(Exception, match="sink went away"):
+        run(spark, tmp_path, sinks, inbox)
+    run(spark, tmp_path, sinks, inbox)
+    assert sorted(taken) == [(name, batch) for name in ("parquet", "rejects", "ticks") for batch in (0, 1)]
+    assert counts(spark, tmp_path) == [5, 9, 3]
+
+
+def test_classified_is_both_parses(spark):
+    rows = [(message("A", 0),), ("broken",), (None,), ("{}",), ('{"symbol":"B","close_price":"none"}',)]
+    messages = spark.createDataFrame(rows, "value string")
+    batch = classified(messages)
+    good = fan_out.accepted(batch).select(*parse_ticks(messages).columns)
+    assert good.exceptAll(parse_ticks(messages, drop_malformed=True)).isEmpty() and good.count() == 2
+    assert fan_out.rejected(batch).exceptAll(rejected_messages(messages)).isEmpty()
+    assert fan_out.rejected(batch).count() == 3 and fan_out.everything(batch).count() == 5
+
+
+def test_sinks_need_names_and_folders_of_their_own(spark, tmp_path):
+    sink = fan_out.console_sink()
+    with pytest.raises(ValueError, match="name"):
+        fan_out.fan_out(None, [sink, sink], str(tmp_path))
+    (tmp_path / "out" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="file sink"):
+        fan_out.batch_folders(str(tmp_path / "out"))(spark.range(1), 0)
+
+
+def test_marks_do_not_pile_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fan_out, "MARKS", 2)
+    inbox = tmp_path / "in"
+    for n in range(5):
+        land(inbox, f"{n}.txt", message("A", n))
+    run(spark, tmp_path, [fan_out.rejects_sink(str(tmp_path / "r")), fan_out.console_sink()], inbox)
+    marks = sorted(p.name for p in (tmp_path / "checkpoint/sinks/console").iterdir() if p.is_dir())
+    assert marks == ["3", "4"]

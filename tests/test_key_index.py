@@ -10,7 +10,7 @@ from test_streaming import BASE, land, message, run_table
 
 from ticklake import scratch
 from ticklake.sources.messages import file_messages
-from ticklake.streaming import jobs, key_index, writers
+from ticklake.streaming import jobs, key_index, runs, writers
 from ticklake.streaming.parse import enrich, parse_ticks
 
 DAY = 86_400
@@ -31,7 +31,7 @@ def test_files_do_not_follow_batches_or_days(spark, tmp_path, monkeypatch):
     one = spark.createDataFrame([("A", dt.datetime(2024, 1, 1), 0)], key_index.KEYS).coalesce(1)
     one.write.parquet(str(tmp_path / "one"))
     (source,) = files(tmp_path / "one")
-    # what 1,000 batches leave behind: 7 + 6 + 7 + 1 runs (1,000 = 1 * 512 + 7 * 64 + 5 * 8 + 0 and the last merge due)
+    # what 1,000 batches leave behind: 1,000 = 1 * 512 + 7 * 64 + 5 * 8 + 0
     left, at = 1000, 0
     for level in (3, 2, 1, 0):
         for _ in range(left // 8**level):
@@ -48,7 +48,7 @@ def test_files_do_not_follow_batches_or_days(spark, tmp_path, monkeypatch):
     keys = index.keys(spark, [FIRST], 1000)
     assert listed == [f"{index.path}/date=2024-01-01"]
     opened = keys.select(F.input_file_name()).distinct().count()
-    assert opened == len(keys.inputFiles()) <= (key_index.FAN - 1) * 4
+    assert opened == len(keys.inputFiles()) <= (runs.FAN - 1) * 4
 
 
 def test_runs_stay_few_while_batches_come(spark, tmp_path):

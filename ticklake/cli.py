@@ -22,7 +22,7 @@ from ticklake.sources.messages import file_messages, kafka_messages
 from ticklake.sources.mini_tickers import explode_mini_tickers
 from ticklake.sources.snapshots import load_snapshot
 from ticklake.sources.tables import scan_jdbc
-from ticklake.streaming import jobs, writers
+from ticklake.streaming import fan_out, jobs, writers
 
 
 def _table(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -74,31 +74,27 @@ def views(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One sink is a query of its own; with rejects or console, one read feeds all of them."""
     messages, trigger = _messages(spark, args), _trigger(args)
-    target = f"{args.checkpoint}/{args.job}"
+    if args.drop_malformed and not args.rejects:
+        raise SystemExit("--drop-malformed leaves messages out: say with --rejects where to keep them")
     if args.job == "stream-parquet":
-        query = jobs.ticks_to_parquet(messages, args.output, target, trigger, args.drop_malformed)
+        if not (args.rejects or args.console):
+            query = jobs.ticks_to_parquet(messages, args.output, f"{args.checkpoint}/{args.job}", trigger)
+            return jobs.wait_for(spark, query)
+        sinks = [fan_out.parquet_sink(args.output, args.drop_malformed)]
     else:
         write = (
             writers.jdbc_writer(JdbcSettings.from_env(), args.output)
             if args.jdbc
             else writers.parquet_writer(args.output)
         )
-        query = jobs.ticks_to_table(
-            messages,
-            write,
-            target,
-            trigger,
-            cross_batch=args.cross_batch,
-            drop_malformed=args.drop_malformed,
-        )
-    queries = [query]
+        sinks = [fan_out.ticks_sink(write, args.cross_batch, args.drop_malformed)]
     if args.rejects:
-        rejects = jobs.rejects_to_parquet(messages, args.rejects, f"{args.checkpoint}/rejects", trigger)
-        queries.append(rejects)
+        sinks.append(fan_out.rejects_sink(args.rejects))
     if args.console:
-        queries.append(jobs.ticks_to_console(messages, f"{args.checkpoint}/console", trigger))
-    jobs.wait_for(spark, *queries)
+        sinks.append(fan_out.console_sink())
+    jobs.wait_for(spark, fan_out.fan_out(messages, sinks, f"{args.checkpoint}/{args.job}", trigger))
 
 
 def normalise(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -25,7 +25,7 @@ from ticklake.sources import events
 from ticklake.sources.messages import file_messages
 from ticklake.sources.mini_tickers import explode_mini_tickers
 from ticklake.sources.snapshots import load_snapshot
-from ticklake.streaming import jobs, parse, writers
+from ticklake.streaming import fan_out, jobs, parse, views, writers
 from ticklake.streaming.parse import parse_ticks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +39,8 @@ WATCHED = ("S1", "S2", "S3", "S5", "S8", "S13")
 #: Fixed value: rows of the "most recent" view.
 RECENT = 2000
 
-#: Files per copy of the landed messages, each a micro-batch of its own.
-LANDED_FILES = 4
+#: Micro-batches per copy of the landed messages.
+LANDED_BATCHES = 4
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -267,17 +267,19 @@ def symbol_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_rounded(rows, 8, "avg_close"), 12, "avg_volatility")
 
 
-@_query
-def latest_per_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With NULLs put in by a rule, so the columns of a row come from different ticks."""
-    ticks = events.ticks(spark, sf_dir)
-    gaps = ticks.withColumns(
+def _gaps(ticks: DataFrame) -> DataFrame:
+    """With NULLs put in by a rule, so the columns of a symbol's latest values come from different ticks."""
+    return ticks.withColumns(
         {
             "close_price": F.when(F.col("volume") % 7 != 0, F.col("close_price")),
             "volume": F.when(F.col("volume") % 3 != 0, F.col("volume")),
         }
     )
-    return dashboard.latest(gaps, ORDER)
+
+
+@_query
+def latest_per_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.latest(_gaps(events.ticks(spark, sf_dir)), ORDER)
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -484,27 +486,29 @@ def stream_mini_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_stream(spark.read.parquet(f"{folder}/table"))
 
 
-def _land_repeated(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """Every message twice, in several files: the second copies in files of their own.
+def _land_repeated(spark: SparkSession, sf_dir: str, folder: str) -> tuple[str, int]:
+    """Every message twice, and how many files are a micro-batch: the second copies are in files of their own.
 
-    Days stay together, so a file holds all ticks of a second, and each file is a micro-batch.
+    Files are ranges of seconds, so a file holds all ticks of a second; there are as many as the
+    input has, at least.
     """
     inbox = f"{folder}/inbox"
-    day = F.pmod(F.floor(F.col("timestamp") / 86_400_000), F.lit(LANDED_FILES)).alias("day")
+    batch = -(-len(events.read_events(spark, sf_dir).inputFiles()) // LANDED_BATCHES)
     ticks = _message_ticks(events.ticks(spark, sf_dir))
-    messages = ticks.select(F.struct(*TICK_MESSAGE.names).alias("tick"), day).select("tick.*", "day")
+    second = F.floor(F.col("timestamp") / 1000).alias("second")
+    messages = ticks.select(F.struct(*TICK_MESSAGE.names).alias("tick"), second).select("tick.*", "second")
     for _ in range(2):
-        landed = to_messages(messages.repartition(LANDED_FILES, "day"))
+        landed = to_messages(messages.repartitionByRange(batch * LANDED_BATCHES, "second"))
         landed.write.mode("append").text(inbox)
-    return inbox
+    return inbox, batch
 
 
 def _dedup_stream(spark: SparkSession, sf_dir: str, name: str, cross_batch: bool) -> DataFrame:
     folder = scratch.new_folder(spark, name)
     store = writers.parquet_writer(f"{folder}/table")
-    inbox = _land_repeated(spark, sf_dir, folder)
+    inbox, files = _land_repeated(spark, sf_dir, folder)
     stream = jobs.ticks_to_table(
-        file_messages(spark, inbox, max_files_per_trigger=1),
+        file_messages(spark, inbox, max_files_per_trigger=files),
         store,
         f"{folder}/checkpoint",
         AVAILABLE_NOW,
@@ -542,3 +546,60 @@ def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = parse_ticks(messages, drop_malformed=True).select("symbol", F.lit("accepted").alias("kind"))
     rejected = parse.rejected_messages(messages).select(F.col("value"), F.lit("rejected").alias("kind"))
     return accepted.select("kind", F.col("symbol").alias("value")).union(rejected.select("kind", "value"))
+
+
+@_query
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read of good and bad messages for three sinks: ticks, all messages by day, rejects."""
+    folder = scratch.new_folder(spark, "fan-out")
+    store = writers.parquet_writer(f"{folder}/ticks")
+    sinks = [
+        fan_out.ticks_sink(store, drop_malformed=True),
+        fan_out.parquet_sink(f"{folder}/all"),
+        fan_out.rejects_sink(f"{folder}/rejects"),
+    ]
+    messages = _mixed_messages(_message_ticks(events.as_ticks(events.stream_events(spark, sf_dir))))
+    fan_out.fan_out(messages, sinks, f"{folder}/checkpoint", AVAILABLE_NOW).awaitTermination()
+    ticks = _stored_stream(store.read(spark)).select(F.lit("ticks").alias("sink"), "symbol", "timestamp_ts", "close_price")
+    whole = spark.read.parquet(f"{folder}/all")
+    whole = whole.select(F.lit("all").alias("sink"), "symbol", _ntz("timestamp_ts"), "close_price")
+    rejects = spark.read.parquet(f"{folder}/rejects").select(F.lit("rejects").alias("sink"), F.col("value").alias("symbol"))
+    return ticks.union(whole).unionByName(rejects, allowMissingColumns=True)
+
+
+def _shuffled_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The events as a stream of several micro-batches, in an order that has nothing to do with time."""
+    table = events.read_events(spark, sf_dir)
+    batch = -(-len(table.inputFiles()) // LANDED_BATCHES)
+    table.repartition(batch * LANDED_BATCHES, F.xxhash64(ORDER)).write.parquet(f"{folder}/inbox")
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", batch).parquet(f"{folder}/inbox")
+
+
+def _followed(spark: SparkSession, sf_dir: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    folder = scratch.new_folder(spark, "follow-latest")
+    ticks = change(events.as_ticks(_shuffled_stream(spark, sf_dir, folder)))
+    view = views.latest_view(ticks, f"{folder}/view")
+    views.follow_latest(ticks, view, f"{folder}/checkpoint", AVAILABLE_NOW, order=ORDER).awaitTermination()
+    return view.read(spark)
+
+
+@_query
+def stream_latest_per_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of the stream after all its batches."""
+    return _followed(spark, sf_dir, _gaps)
+
+
+@_query
+def stream_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top lists and alerts read from the view that the stream keeps."""
+    latest = scratch.checkpointed(_followed(spark, sf_dir, lambda ticks: ticks))
+    lists = {
+        "top_volume": ranking.latest_by_volume(latest).select("symbol", "volume"),
+        "gainers": ranking.gainers(latest).select("symbol", "pct_change"),
+        "losers": ranking.losers(latest).select("symbol", "pct_change"),
+        "large_moves": alerts.large_moves(latest).select("symbol", "pct_change"),
+        "high_volatility": alerts.high_volatility(latest).select("symbol", "volatility"),
+        "alert_counts": alerts.alert_counts(latest).select("alert", F.col("nb_symbols").cast("double")),
+    }
+    named = [rows.toDF("name", "value").select(F.lit(key).alias("list"), "name", "value") for key, rows in lists.items()]
+    return functools.reduce(DataFrame.union, named)

@@ -330,6 +330,25 @@ SELECT TIMESTAMP '2024-02-01 00:00:00', concat('N', symbol), {_TICKER} FROM tick
 SELECT 'accepted' AS kind, symbol AS value FROM ticks UNION ALL
 SELECT 'rejected', unnest([concat('{{', symbol),
   concat('{{"symbol":"', symbol, '","close_price":"none"}}'), '7', NULL]) FROM ticks""",
+        "stream_latest_per_symbol": f"""{_TICKS}, gaps AS (SELECT * REPLACE (
+    CASE WHEN volume % 7 <> 0 THEN close_price END AS close_price,
+    CASE WHEN volume % 3 <> 0 THEN volume END AS volume) FROM ticks){_latest('gaps')}
+SELECT * FROM latest""",
+        "stream_dashboard": f"""{_LATEST}, moves AS (SELECT * FROM latest WHERE abs(pct_change) > 5),
+shaky AS (SELECT * FROM latest WHERE volatility > (SELECT quantile_cont(volatility, 0.75) FROM latest))
+(SELECT 'top_volume' AS list, symbol AS name, volume AS value FROM latest ORDER BY volume DESC NULLS LAST, symbol LIMIT 5)
+UNION ALL (SELECT 'gainers', symbol, pct_change FROM latest ORDER BY pct_change DESC NULLS LAST, symbol LIMIT 5)
+UNION ALL (SELECT 'losers', symbol, pct_change FROM latest ORDER BY pct_change ASC NULLS LAST, symbol LIMIT 5)
+UNION ALL SELECT 'large_moves', symbol, pct_change FROM moves
+UNION ALL SELECT 'high_volatility', symbol, volatility FROM shaky
+UNION ALL SELECT 'alert_counts', alert, count(*)::double FROM (SELECT 'large_move' AS alert FROM moves
+  UNION ALL SELECT 'high_volatility' FROM shaky) GROUP BY alert""",
+        "stream_fan_out": f"""{_TICKS}
+SELECT 'ticks' AS sink, symbol, timestamp_ts, close_price FROM ({_STREAM} {_ONE_PER_SECOND}) UNION ALL
+SELECT 'all', symbol, date_trunc('second', timestamp_ts)::timestamp, close_price FROM ticks UNION ALL
+SELECT 'all', CASE WHEN good THEN symbol END, NULL, NULL FROM ticks, (SELECT unnest([true, false, false, false]) AS good) UNION ALL
+SELECT 'rejects', unnest([concat('{{', symbol),
+  concat('{{"symbol":"', symbol, '","close_price":"none"}}'), '7', NULL]), NULL, NULL FROM ticks""",
         "dashboard_read": f"""{_TICKS}, recent AS (SELECT * FROM ticks WHERE symbol IN {_WATCHED}
   ORDER BY timestamp_ts DESC, event_id DESC, symbol LIMIT 2000)
 SELECT {_OHLCV} FROM recent WHERE timestamp_ts >= (SELECT max(timestamp_ts) FROM recent) - INTERVAL 168 HOUR""",

@@ -22,8 +22,10 @@ Trigger = Mapping[str, object]
 EVERY_SECOND: Trigger = {"processingTime": "1 second"}
 
 
-def _started(writer: DataStreamWriter, checkpoint: str, trigger: Trigger | None) -> StreamingQuery:
-    writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
+def started(
+    writer: DataStreamWriter, checkpoint: str, trigger: Trigger | None, mode: str = "append"
+) -> StreamingQuery:
+    writer = writer.outputMode(mode).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -40,7 +42,7 @@ def ticks_to_parquet(
     ticks = enrich(parse_ticks(messages, drop_malformed))
     dated = ticks.withColumn("date", utc_date("timestamp_ts"))
     writer = dated.writeStream.format("parquet").option("path", path).partitionBy("date")
-    return _started(writer, checkpoint, trigger)
+    return started(writer, checkpoint, trigger)
 
 
 def ticks_to_table(
@@ -58,7 +60,7 @@ def ticks_to_table(
     """
     ticks = enrich(parse_ticks(messages, drop_malformed))
     writer = ticks.writeStream.foreachBatch(deduplicating(write, cross_batch))
-    return _started(writer, checkpoint, trigger)
+    return started(writer, checkpoint, trigger)
 
 
 def rejects_to_parquet(
@@ -66,7 +68,7 @@ def rejects_to_parquet(
 ) -> StreamingQuery:
     """The messages that ``drop_malformed`` leaves out, exactly once, as a ``value`` column."""
     writer = rejected_messages(messages).writeStream.format("parquet").option("path", path)
-    return _started(writer, checkpoint, trigger)
+    return started(writer, checkpoint, trigger)
 
 
 def ticks_to_console(
@@ -79,7 +81,7 @@ def ticks_to_console(
     """A debug view of the newest micro-batch, parsed or (``raw``) as message text."""
     shown = messages.select(F.col("value").cast("string")) if raw else enrich(parse_ticks(messages))
     writer = shown.writeStream.format("console").option("truncate", False).option("numRows", rows)
-    return _started(writer, checkpoint, trigger)
+    return started(writer, checkpoint, trigger)
 
 
 def wait_for(spark: SparkSession, *queries: StreamingQuery) -> None:

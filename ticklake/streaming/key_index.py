@@ -1,33 +1,23 @@
 """The keys of a stored stream, kept so that a micro-batch finds its repeats in few files.
 
-Keys lie by UTC day in *runs*. A batch adds one run to each day it has new ticks of. When a day has
-``FAN`` runs of one level they are merged into one run of the next, so a day of n batches has
-at most FAN - 1 runs in each of log n levels, and a key is rewritten once a level. A batch opens
-the days of its own ticks only, and within them Parquet's statistics skip what lies outside
-of its times: runs are sorted by time.
-
-The index is a set: a run that is there twice, or in part beside its sources, says the same. So a
-merge writes its run first and deletes the sources after, and a crash at any point leaves
-an index that is whole. Each key carries its batch, and a replayed batch does not see its own.
+Keys lie by UTC day, and within a day in runs (see ``runs``). A batch adds one run to each day it has
+new ticks of, and opens the days of its own ticks only; within them Parquet's statistics skip
+what lies outside of its times, because runs are sorted by time. The index is a set: a run that is there
+twice, or in part beside its sources, says the same, so a crash at any point leaves an index that
+is whole. Each key carries its batch, and a replayed batch does not see its own.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections import defaultdict
 from collections.abc import Iterable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake import scratch
-
-#: Runs of one level that a day has before they are merged.
-FAN = 8
-
-#: Bytes of a merged run that go into one file.
-RUN_FILE_BYTES = 128 << 20
+from ticklake.streaming import runs
+from ticklake.streaming.runs import FAN, Run
 
 #: The folder of keys without a time, as Spark names the partition of a NULL.
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
@@ -35,15 +25,6 @@ NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 KEYS = "symbol string, timestamp_ts timestamp, batch_id bigint"
 
 
-@dataclass(frozen=True)
-class Run:
-    level: int
-    first: int
-    last: int
-    path: str
-    bytes: int
-
-
 class KeyIndex:
     """Keys (symbol, timestamp_ts) of stored ticks below ``path``, in folders date=*/run=*."""
 
@@ -56,56 +37,30 @@ class KeyIndex:
     def create(self, stored: DataFrame) -> None:
         """An index of ticks that are stored already; their columns include date and batch_id."""
         scratch.make_folder(stored.sparkSession, self.path)
-        self._write(stored, "0-0-0")
+        self._write(stored, runs.run_name(0, 0, 0))
 
     def _day_path(self, date: dt.date | None) -> str:
         return f"{self.path}/date={NO_DATE if date is None else date.isoformat()}"
 
     def runs(self, spark: SparkSession, date: dt.date | None) -> list[Run]:
-        folder = self._day_path(date)
-        found = []
-        for name, size in scratch.folder_sizes(spark, folder).items():
-            level, first, last = map(int, name.removeprefix("run=").split("-"))
-            found.append(Run(level, first, last, f"{folder}/{name}", size))
-        return found
+        return runs.listed(spark, self._day_path(date))
 
     def keys(self, spark: SparkSession, dates: Iterable[dt.date | None], batch_id: int) -> DataFrame:
         """Keys of other batches on these days; only their runs are listed."""
-        paths = [run.path for date in dates for run in self.runs(spark, date)]
-        if not paths:
-            return spark.createDataFrame([], KEYS)
-        return spark.read.schema(KEYS).parquet(*paths).filter(F.col("batch_id") != batch_id)
+        found = [run for date in dates for run in self.runs(spark, date)]
+        return runs.read(spark, found, KEYS).filter(F.col("batch_id") != batch_id)
 
     def add(self, stored: DataFrame, dates: Iterable[dt.date | None], batch_id: int) -> None:
         """A run for each day of a batch's stored ticks, then the merges that are due on these days.
 
         Adding a batch again overwrites its runs, or, once they are merged, repeats them.
         """
-        self._write(stored, f"0-{batch_id}-{batch_id}")
+        self._write(stored, runs.run_name(0, batch_id, batch_id))
         for date in dates:
-            self._merge(stored.sparkSession, date)
+            runs.merge_due(stored.sparkSession, self._day_path(date), KEYS, self.fan, "timestamp_ts")
 
     def _write(self, stored: DataFrame, run: str) -> None:
         keys = stored.select("symbol", "timestamp_ts", "batch_id", "date", F.lit(run).alias("run"))
         sorted_keys = keys.hint("rebalance", "date").sortWithinPartitions("date", "timestamp_ts")
         writer = sorted_keys.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("date", "run").parquet(self.path)
-
-    def _merge(self, spark: SparkSession, date: dt.date | None) -> None:
-        levels: dict[int, list[Run]] = defaultdict(list)
-        for run in self.runs(spark, date):
-            levels[run.level].append(run)
-        level = 0
-        while len(levels[level]) >= self.fan:
-            merged = levels.pop(level)
-            first, last = min(run.first for run in merged), max(run.last for run in merged)
-            size = sum(run.bytes for run in merged)
-            path = f"{self._day_path(date)}/run={level + 1}-{first}-{last}"
-            files = -(-size // RUN_FILE_BYTES)
-            rows = spark.read.schema(KEYS).parquet(*(run.path for run in merged))
-            ordered = rows.repartitionByRange(max(files, 1), "timestamp_ts").sortWithinPartitions("timestamp_ts")
-            ordered.write.mode("overwrite").parquet(path)
-            for run in merged:
-                scratch.delete_folder(spark, run.path)
-            levels[level + 1].append(Run(level + 1, first, last, path, size))
-            level += 1

@@ -10,6 +10,10 @@ from ticklake.functions import indicators
 from ticklake.functions.clock import tick_timestamp
 from ticklake.schemas import TICK_MESSAGE
 
+#: Columns of a classified message: whether it is a tick, and its text where it is none.
+GOOD = "good"
+REJECTED = "rejected"
+
 _BROKEN = "broken"
 _EMPTY = "empty"
 _PARSED = T.StructType(TICK_MESSAGE.fields + [T.StructField(_BROKEN, T.StringType())])
@@ -48,3 +52,13 @@ def enrich(ticks: DataFrame) -> DataFrame:
     """Adds the tick time, spread and mid price."""
     timed = ticks.withColumn("timestamp_ts", tick_timestamp())
     return indicators.with_spread_and_mid(timed)
+
+
+def classified(messages: DataFrame) -> DataFrame:
+    """Enriched ticks with ``good`` and ``rejected``: one parse for what is accepted and what is not.
+
+    ``good`` is false for the messages that ``drop_malformed`` leaves out, and ``rejected`` then is
+    their text, NULL for a NULL message.
+    """
+    parsed = enrich(_parsed(messages)).withColumn(GOOD, _is_good())
+    return parsed.withColumnRenamed(_BROKEN, REJECTED).drop(_EMPTY)
