@@ -39,6 +39,7 @@ def test_files_do_not_follow_batches_or_days(spark, tmp_path, monkeypatch):
                 run = tmp_path / "keys" / f"date={day}" / f"run={level}-{at}-{at + 8**level - 1}"
                 run.mkdir(parents=True)
                 (run / "part.parquet").write_bytes(source.read_bytes())
+                (run / "_SUCCESS").touch()
             at += 8**level
         left %= 8**level
     assert at == 1000

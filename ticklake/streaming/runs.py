@@ -2,9 +2,9 @@
 
 Rows lie in *runs*, a folder each. A batch adds one run of level 0; ``fan`` runs of one level are merged
 into one run of the next, so after n batches there are at most ``fan`` - 1 runs in each of log n
-levels and a row is rewritten once a level. Rows carry their batch. A merge writes its run first and
-deletes its sources after; a reader between the two may meet a row twice, so what is kept
-here must not mind: sets of keys, or rows of which one per key counts.
+levels and a row is rewritten once a level. A merge writes its run first and deletes its sources
+after. Readers pass over a merged run that is not complete, and over runs that a complete one
+covers, so each batch counts once at any point, also a batch that is replayed after its merge.
 """
 
 from __future__ import annotations
@@ -38,12 +38,17 @@ def run_name(level: int, first: int, last: int) -> str:
 
 
 def listed(spark: SparkSession, folder: str) -> list[Run]:
-    """The runs in a folder; nothing else of the table is listed."""
+    """The runs in a folder that count; nothing else of the table is listed."""
     found = []
     for name, size in scratch.folder_sizes(spark, folder).items():
         level, first, last = map(int, name.removeprefix("run=").split("-"))
-        found.append(Run(level, first, last, f"{folder}/{name}", size))
-    return found
+        if level == 0 or scratch.exists(spark, f"{folder}/{name}/_SUCCESS"):
+            found.append(Run(level, first, last, f"{folder}/{name}", size))
+    return [
+        run
+        for run in found
+        if not any(o.level > run.level and o.first <= run.first and run.last <= o.last for o in found)
+    ]
 
 
 def read(spark: SparkSession, runs: list[Run], schema: str) -> DataFrame:
@@ -60,7 +65,7 @@ def merge_due(
     order: str,
     fold: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
-    """Merges level after level while one has ``fan`` runs; ``fold`` may drop rows that others replace."""
+    """Merges level after level while one has ``fan`` runs; ``fold`` may join rows of several batches."""
     levels: dict[int, list[Run]] = defaultdict(list)
     for run in listed(spark, folder):
         levels[run.level].append(run)
