@@ -80,3 +80,29 @@ def period_window(ticks: DataFrame, period: str = "24H") -> DataFrame:
         return ticks
     oldest = _newest(ticks, "timestamp_ts") - F.expr(f"INTERVAL '{hours}' HOUR")
     return ticks.filter(F.col("timestamp_ts") >= oldest)
+
+
+def newest_days(ticks: DataFrame, day: str, hours: int | None = None, time: str = "timestamp_ts") -> DataFrame:
+    """The newest day of a table partitioned by ``day``, or its ticks of the last ``hours``; decided in the plan.
+
+    The newest day, the newest time on it and the oldest day wanted are subqueries of partition
+    filters: no job runs before the action, rows that were appended meanwhile are seen, and the scan opens the
+    partitions that the subqueries leave. ``day`` is the UTC day of ``time``.
+    """
+    last_day = ticks.agg(F.max(day)).scalar()
+    if hours is None:
+        return ticks.filter(F.col(day) == last_day)
+    newest = ticks.filter(F.col(day) == last_day).agg(F.max(time))
+    oldest = newest.select(F.col(newest.columns[0]) - F.expr(f"INTERVAL '{int(hours)}' HOUR"))
+    first_day = oldest.select(F.to_date(oldest.columns[0]))
+    return ticks.filter((F.col(day) >= first_day.scalar()) & (F.col(time) >= oldest.scalar()))
+
+
+def of_days(ticks: DataFrame, days: DataFrame, day: str) -> DataFrame:
+    """The ticks on the days that a frame names, by dynamic partition pruning.
+
+    ``days`` has a column ``day``, one row per day and so a bounded size; it is broadcast, and the same
+    broadcast prunes the partitions of the scan.
+    """
+    wanted = days.select(F.col(day)).distinct()
+    return ticks.join(F.broadcast(wanted), day, "left_semi")

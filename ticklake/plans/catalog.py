@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ticklake import scratch
 from ticklake.functions import clock, indicators, labels
-from ticklake.operators import alerts, dedup, filters, ranking, series, stats
-from ticklake.plans import dashboard, market_report
+from ticklake.operators import alerts, dedup, filters, ranking, rollup, series, stats
+from ticklake.plans import dashboard, market_report, sql_views
 from ticklake.schemas import DASHBOARD_COLUMNS, SNAPSHOT_COLUMNS, STREAM_COLUMNS, TICK_MESSAGE
 from ticklake.sinks.messages import to_messages
 from ticklake.sinks.tables import append_snapshot, create_snapshot_table
@@ -25,7 +25,7 @@ from ticklake.sources import events
 from ticklake.sources.messages import file_messages
 from ticklake.sources.mini_tickers import explode_mini_tickers
 from ticklake.sources.snapshots import load_snapshot
-from ticklake.streaming import fan_out, jobs, parse, views, writers
+from ticklake.streaming import bars, fan_out, jobs, parse, views, writers
 from ticklake.streaming.parse import parse_ticks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ RECENT = 2000
 #: Micro-batches per copy of the landed messages.
 LANDED_BATCHES = 4
 
+#: Width of the stream's bars, and how many seconds a tick may be behind the newest one.
+BAR_WIDTH = "6 hours"
+BAR_DELAY = 86_400
+
 AVAILABLE_NOW = {"availableNow": True}
 
 _QUERIES: dict[str, Query] = {}
@@ -603,3 +607,127 @@ def stream_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     named = [rows.toDF("name", "value").select(F.lit(key).alias("list"), "name", "value") for key, rows in lists.items()]
     return functools.reduce(DataFrame.union, named)
+
+
+@_query
+def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of ticks that come in order, but for every 97th, which comes last and is mostly late."""
+    folder = scratch.new_folder(spark, "stream-bars")
+    table = events.read_events(spark, sf_dir)
+    files = -(-len(table.inputFiles()) // LANDED_BATCHES)
+    first, last = table.agg(F.unix_micros(F.min(F.col("ts").cast("timestamp"))), F.unix_micros(F.max(F.col("ts").cast("timestamp")))).first()
+    at, step = F.unix_micros(F.col("ts").cast("timestamp")), (last - first) // LANDED_BATCHES + 1
+    in_time = F.col(ORDER) % 97 != 0
+    ranges = [in_time & (at >= first + n * step) & (at < first + (n + 1) * step) for n in range(LANDED_BATCHES)]
+    for wanted in (*ranges, ~in_time):
+        table.filter(wanted).repartition(files).write.mode("append").parquet(f"{folder}/inbox")
+    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/inbox")
+    store = bars.BarStore(f"{folder}/bars", BAR_WIDTH, BAR_DELAY, ORDER)
+    ticks = events.as_ticks(source)
+    ticks = ticks.withColumn("timestamp_ts", F.col("timestamp_ts").cast("timestamp"))
+    bars.follow_bars(ticks, store, f"{folder}/checkpoint", AVAILABLE_NOW).awaitTermination()
+    made = store.bars(spark).select(F.lit("bar").alias("kind"), "symbol", _ntz("bar_start"), "open_price", "close_price", "high_price", "low_price", "volume", "ticks", "final")
+    beside = store.beside(spark).select(
+        F.col("reason").alias("kind"),
+        "symbol",
+        _ntz("timestamp_ts").alias("bar_start"),
+        "open_price",
+        "close_price",
+        "high_price",
+        "low_price",
+        "volume",
+        F.lit(1).cast("bigint").alias("ticks"),
+        F.lit(True).alias("final"),
+    )
+    return made.union(beside)
+
+
+# Day partials
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> rollup.DayRollup:
+    """The whole table rolled up in two parts, the second of which has a day of the first anew."""
+    store = rollup.DayRollup(scratch.new_folder(spark, "rollup"))
+    ticks = events.ticks(spark, sf_dir)
+    day = F.col("run_ts").cast("date")
+    store.add(ticks.filter(F.day("run_ts") <= 20), day, ORDER)
+    store.add(ticks.filter(F.day("run_ts") >= 20), day, ORDER)
+    return store
+
+
+@_query
+def rollup_market_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rollup.market_kpis(_rolled_up(spark, sf_dir).partials(spark))
+    names = ("total_quote_volume_million", "avg_market_return_pct", "avg_market_volatility_pct")
+    return _rounded(rows, 8, *names)
+
+
+@_query
+def rollup_symbol_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_stats(rollup.symbol_stats(_rolled_up(spark, sf_dir).partials(spark)))
+
+
+@_query
+def rollup_symbol_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rollup.symbol_overview(_rolled_up(spark, sf_dir).partials(spark))
+    return _rounded(_rounded(rows, 8, "avg_close"), 12, "avg_volatility")
+
+
+@_query
+def rollup_distinct_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct symbols of each day and the six before it, from bitmaps alone."""
+    return rollup.trailing_distinct_symbols(_rolled_up(spark, sf_dir).bitmaps(spark), 7)
+
+
+# Pruned inside the plan
+
+
+def _by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks as a table partitioned by day."""
+    path = f"{scratch.new_folder(spark, 'ticks-by-day')}/ticks"
+    ticks = events.ticks(spark, sf_dir)
+    dated = ticks.withColumn("day", F.col("run_ts").cast("date"))
+    dated.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+    return spark.read.schema(dated.schema).parquet(path)
+
+
+@_query
+def pruned_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.newest_days(_by_day(spark, sf_dir), "day").drop("day")
+
+
+@_query
+def pruned_period_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = filters.newest_days(_by_day(spark, sf_dir), "day", 7 * 24)
+    return indicators.with_dashboard_indicators(rows.select(*DASHBOARD_COLUMNS, ORDER))
+
+
+@_query
+def pruned_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of the days on which the market's quote volume was above its average day."""
+    ticks = _by_day(spark, sf_dir)
+    days = ticks.groupBy("day").agg(F.sum("quote_volume").alias("traded"))
+    busy = days.filter(F.col("traded") > days.agg(F.avg("traded")).scalar())
+    return filters.of_days(ticks, busy, "day").drop("day")
+
+
+# As SQL text
+
+
+@_query
+def sql_recent_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_views.recent_ticks(events.ticks(spark, sf_dir), WATCHED, RECENT, "7J", ORDER).select(*DASHBOARD_COLUMNS, ORDER)
+
+
+@_query
+def sql_table_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top lists, large moves and one symbol's candles through SQL table functions."""
+    sql_views.register(events.ticks(spark, sf_dir), ORDER)
+    lists = """SELECT concat(:volume, place) AS name, symbol, volume AS value FROM top_by(:volume, :k)
+        UNION ALL SELECT concat(:gain, place), symbol, pct_change FROM top_by(:gain, :k)
+        UNION ALL SELECT concat(:loss, place), symbol, pct_change FROM top_by(:loss, :k)
+        UNION ALL SELECT 'move', symbol, pct_change FROM large_moves(:percent)
+        UNION ALL SELECT concat('candle ', color), :symbol, round(ma7, 8) FROM symbol_candles(:symbol)
+        UNION ALL SELECT 'history', :symbol, round(ma25, 8) FROM symbol_history(:symbol)"""
+    words = {"volume": "volume", "gain": "gain", "loss": "loss"}
+    return spark.sql(lists, args=words | {"k": 5, "percent": 5.0, "symbol": WATCHED[0]})

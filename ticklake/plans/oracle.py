@@ -226,6 +226,16 @@ _TICKER = (
 )
 
 
+_OVERVIEW = f"""{_TICKS}, o AS (
+  SELECT symbol, max_by(close_price, event_id) AS latest_close,
+    min_by(close_price, event_id) AS first_close, round(avg(close_price),8) AS avg_close,
+    max(high_price) AS max_high, min(low_price) AS min_low,
+    round(avg({_CLOSE_VOLATILITY}),12) AS avg_volatility, sum(volume) AS sum_reported_volume
+  FROM ticks GROUP BY symbol)
+SELECT *, latest_close-first_close AS change_abs,
+  (latest_close-first_close)/nullif(first_close,0)*100 AS change_pct FROM o"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "latest_snapshot": f"{_TICKS} SELECT * FROM ticks"
@@ -268,14 +278,7 @@ WHERE symbol IN (SELECT DISTINCT symbol FROM ticks ORDER BY symbol LIMIT 2)""",
         "period_window_7d": _period(7 * 24),
         "period_window_30d": _period(30 * 24),
         "period_window_recent": _period(24, _RECENT),
-        "symbol_overview": f"""{_TICKS}, o AS (
-  SELECT symbol, max_by(close_price, event_id) AS latest_close,
-    min_by(close_price, event_id) AS first_close, round(avg(close_price),8) AS avg_close,
-    max(high_price) AS max_high, min(low_price) AS min_low,
-    round(avg({_CLOSE_VOLATILITY}),12) AS avg_volatility, sum(volume) AS sum_reported_volume
-  FROM ticks GROUP BY symbol)
-SELECT *, latest_close-first_close AS change_abs,
-  (latest_close-first_close)/nullif(first_close,0)*100 AS change_pct FROM o""",
+        "symbol_overview": _OVERVIEW,
         "latest_per_symbol": f"""{_TICKS}, gaps AS (SELECT * REPLACE (
     CASE WHEN volume % 7 <> 0 THEN close_price END AS close_price,
     CASE WHEN volume % 3 <> 0 THEN volume END AS volume) FROM ticks){_latest('gaps')}
@@ -343,6 +346,40 @@ UNION ALL SELECT 'large_moves', symbol, pct_change FROM moves
 UNION ALL SELECT 'high_volatility', symbol, volatility FROM shaky
 UNION ALL SELECT 'alert_counts', alert, count(*)::double FROM (SELECT 'large_move' AS alert FROM moves
   UNION ALL SELECT 'high_volatility' FROM shaky) GROUP BY alert""",
+        "stream_bars": f"""{_TICKS}, ends AS (SELECT *, event_id % 97 = 0 AS behind,
+    time_bucket(INTERVAL 6 HOUR, timestamp_ts, TIMESTAMP '1970-01-01') AS bar_start FROM ticks),
+marks AS (SELECT max(timestamp_ts) FILTER (NOT behind) - INTERVAL 24 HOUR AS seen, max(timestamp_ts) - INTERVAL 24 HOUR AS last FROM ends),
+split AS (SELECT *, behind AND bar_start + INTERVAL 6 HOUR <= (SELECT seen FROM marks) AS late FROM ends)
+SELECT 'bar' AS kind, symbol, bar_start, arg_min(close_price, event_id) AS open_price, arg_max(close_price, event_id) AS close_price,
+  max(high_price) AS high_price, min(low_price) AS low_price, sum(volume) AS volume, count(*) AS ticks,
+  bar_start + INTERVAL 6 HOUR <= (SELECT last FROM marks) AS final
+FROM split WHERE NOT late GROUP BY symbol, bar_start
+UNION ALL SELECT 'late', symbol, timestamp_ts, open_price, close_price, high_price, low_price, volume, 1, true FROM split WHERE late""",
+        "rollup_market_kpis": f"""{_TICKS}, kpi AS (SELECT {_KPIS} FROM ticks)
+SELECT nb_symbols, nb_rows, round(q,8) AS total_quote_volume_million,
+  round(r,8) AS avg_market_return_pct, round(v,8) AS avg_market_volatility_pct FROM kpi""",
+        "rollup_symbol_stats": f"{_TICKS}{_stats('ticks')} SELECT {_STATS_COLUMNS} FROM stats",
+        "rollup_symbol_overview": _OVERVIEW,
+        "rollup_distinct_symbols": f"""{_TICKS}, days AS (SELECT DISTINCT run_ts FROM ticks)
+SELECT cast(d.run_ts AS date) AS date, count(DISTINCT t.symbol) AS nb_symbols FROM days d JOIN ticks t
+ON t.run_ts BETWEEN d.run_ts - INTERVAL 6 DAY AND d.run_ts GROUP BY d.run_ts""",
+        "pruned_latest_snapshot": f"{_TICKS} SELECT * FROM ticks WHERE run_ts = (SELECT max(run_ts) FROM ticks)",
+        "pruned_period_window": _period(7 * 24),
+        "pruned_days": f"""{_TICKS}, days AS (SELECT run_ts, sum(quote_volume) AS traded FROM ticks GROUP BY run_ts)
+SELECT * FROM ticks WHERE run_ts IN (SELECT run_ts FROM days WHERE traded > (SELECT avg(traded) FROM days))""",
+        "sql_recent_ticks": f"""{_TICKS}, recent AS (SELECT * FROM ticks WHERE symbol IN {_WATCHED}
+  ORDER BY timestamp_ts DESC, event_id DESC, symbol LIMIT 2000)
+SELECT {_OHLCV} FROM recent WHERE timestamp_ts >= (SELECT max(timestamp_ts) FROM recent) - INTERVAL 168 HOUR""",
+        "sql_table_functions": f"""{_LATEST}, volumes AS (SELECT row_number() OVER (ORDER BY volume DESC NULLS LAST, symbol) AS place, * FROM latest),
+gains AS (SELECT row_number() OVER (ORDER BY pct_change DESC NULLS LAST, symbol) AS place, * FROM latest),
+losses AS (SELECT row_number() OVER (ORDER BY pct_change ASC NULLS LAST, symbol) AS place, * FROM latest),
+one AS (SELECT *, {_means('ASC')} FROM ticks WHERE symbol = 'S1'), back AS (SELECT *, {_means('DESC')} FROM ticks WHERE symbol = 'S1')
+SELECT concat('volume', place) AS name, symbol, volume AS value FROM volumes WHERE place <= 5
+UNION ALL SELECT concat('gain', place), symbol, pct_change FROM gains WHERE place <= 5
+UNION ALL SELECT concat('loss', place), symbol, pct_change FROM losses WHERE place <= 5
+UNION ALL SELECT 'move', symbol, pct_change FROM latest WHERE abs(pct_change) > 5
+UNION ALL SELECT concat('candle ', CASE WHEN close_price >= open_price THEN 'green' ELSE 'red' END), symbol, ma7 FROM one
+UNION ALL SELECT 'history', symbol, ma25 FROM back""",
         "stream_fan_out": f"""{_TICKS}
 SELECT 'ticks' AS sink, symbol, timestamp_ts, close_price FROM ({_STREAM} {_ONE_PER_SECOND}) UNION ALL
 SELECT 'all', symbol, date_trunc('second', timestamp_ts)::timestamp, close_price FROM ticks UNION ALL
