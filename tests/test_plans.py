@@ -122,11 +122,11 @@ def test_ordinary_symbols_take_one_shuffle(spark):
 
 
 def test_cut_windows_broadcast_only_bounded_lists(spark, ticks):
-    order, back = [F.asc_nulls_last("timestamp_ts")], [F.desc_nulls_first("timestamp_ts")]
-    cut = slices.with_reach(ticks, slices.large_symbols(ticks, 20), 24, ["timestamp_ts", "close_price"], order, back)
+    order = [F.asc_nulls_last("timestamp_ts")]
+    cut = slices.with_reach(ticks, slices.large_symbols(ticks, 20), 24, ["timestamp_ts", "close_price"], order)
     text = plan(cut)
     assert "SortMergeJoin" not in text
-    assert "WindowGroupLimit" in text
+    assert "Window" not in text and "BroadcastHashJoin" in text
 
 
 def test_base100_broadcasts_k_rows(spark):

@@ -86,8 +86,7 @@ def test_only_large_symbols_are_cut(make_ticks):
     large = slices.large_symbols(rows, 30)
     assert large.limit == 30
     order = [F.asc_nulls_last("timestamp_ts")]
-    back = [F.desc_nulls_first("timestamp_ts")]
-    cut = slices.with_reach(rows, large, 24, ["timestamp_ts", "close_price"], order, back)
+    cut = slices.with_reach(rows, large, 24, ["timestamp_ts", "close_price"], order)
     assert {r.symbol for r in cut.filter("slice IS NOT NULL").select("symbol").collect()} == {"BIG"}
     own = cut.filter("own").groupBy("symbol", "slice").count()
     assert own.filter("symbol = 'BIG'").agg(F.max("count")).first()[0] <= 30
@@ -129,6 +128,36 @@ def test_the_count_can_be_shared(make_ticks):
     assert sorted(map(str, shared)) == sorted(map(str, series.moving_averages(rows, slice_rows=None).collect()))
 
 
+def test_one_second_and_missing_times_are_cut_too(spark):
+    """All rows of a symbol in one second, or without a time: the order is the tie's, and no slice is large."""
+    for moment in ("TIMESTAMP_NTZ'2024-01-01 00:00:00'", "cast(NULL AS timestamp_ntz)"):
+        rows = spark.range(400).selectExpr("'A' AS symbol", f"{moment} AS timestamp_ts", "id", "cast(id % 17 AS double) AS close_price")
+        plain = series.moving_averages(rows, tie="id", slice_rows=None).collect()
+        assert sorted(series.moving_averages(rows, tie="id", slice_rows=20).collect(), key=str) == sorted(plain, key=str)
+        cut = slices.with_reach(rows, slices.large_symbols(rows, 20), 24, ["id"], [F.col("timestamp_ts"), F.col("id")])
+        sizes = cut.filter("own").groupBy("slice").count()
+        assert sizes.count() >= 20 and sizes.agg(F.max("count")).first()[0] <= 20
+
+
+def test_equal_rows_are_cut_apart(spark):
+    rows = spark.range(300).selectExpr("'A' AS symbol", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS timestamp_ts", "2.0D AS close_price")
+    got = series.moving_averages(rows, slice_rows=10)
+    assert got.filter("ma25 = 2").count() == 276 and got.filter("ma7 IS NULL").count() == 6
+
+
+def test_the_sorted_copy_is_all_that_is_read_twice(spark, make_ticks, tmp_path):
+    make_ticks(walk(1)).write.parquet(str(tmp_path / "ticks"))
+    rows = spark.read.parquet(str(tmp_path / "ticks")).select("symbol", "timestamp_ts", "close_price")
+    plan = series.moving_averages(rows, slice_rows=30)._jdf.queryExecution().executedPlan().toString()
+    scans = plan.count("FileScan parquet")
+    assert scans == 1, plan  # the ordinary symbols
+
+
+def test_lenders():
+    pieces = [("A", 0, 0, 3), ("A", 1, 100, 2), ("A", 2, 200, 50), ("B", 2, 250, 4), ("B", 3, 300, 9), ("C", 3, 309, 1)]
+    assert sorted(slices.lenders(pieces, 4)) == [("A", 0, 0, 1), ("A", 0, 1, 2), ("A", 1, 100, 2), ("B", 2, 250, 3)]
+
+
 def test_candles(make_ticks):
     got = series.candle_series(make_ticks(walk(2)))
     assert set(got.columns) >= {"open_price", "volume", "ma7", "ma25", "color"}

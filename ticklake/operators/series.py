@@ -44,16 +44,13 @@ def moving_averages(
     dashboard averages that way.
 
     Counts rows per symbol first: if one exceeds ``slice_rows``, its window is cut into
-    time slices with the same results. ``slice_rows=None`` skips the count, and the cut too
+    slices of its sorted rows with the same results. ``slice_rows=None`` skips the count, and the cut too
     unless the caller has counted and gives ``large``.
     """
     known = ticks.filter(F.col("symbol").isNotNull())
     sort_keys = [time] + ([tie] if tie else [])
-    rising = [F.asc_nulls_last(key) for key in sort_keys]
-    falling = [F.desc_nulls_last(key) for key in sort_keys]
-    reverse_rising = [F.desc_nulls_first(key) for key in sort_keys]
-    reverse_falling = [F.asc_nulls_first(key) for key in sort_keys]
-    order, backwards = (falling, reverse_falling) if newest_first else (rising, reverse_rising)
+    toward = F.desc_nulls_last if newest_first else F.asc_nulls_last
+    order = [toward(key) for key in sort_keys]
 
     keys = ["symbol"]
     rows = known
@@ -62,8 +59,9 @@ def moving_averages(
     if large is not None:
         reach = max(frames.values()) - 1
         needed = list(dict.fromkeys([*sort_keys, column]))
-        rows = slices.with_reach(known, large, reach, needed, order, backwards, time)
+        rows = slices.with_reach(known, large, reach, needed, order)
         keys.append("slice")
+        order = [*order, F.col("place")]
     walk = Window.partitionBy(*keys).orderBy(*order)
 
     # Values so far, so that a frame's count is a difference of two of them and only the
@@ -79,7 +77,7 @@ def moving_averages(
     averaged = counted.withColumns({name: mean(length) for name, length in frames.items()})
     averaged = averaged.drop("so_far")
     if large is not None:
-        averaged = averaged.filter("own").drop("own", "slice")
+        averaged = averaged.filter("own").drop("own", "slice", "place")
     return averaged
 
 

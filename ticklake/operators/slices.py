@@ -1,21 +1,17 @@
-"""Time slices that keep ordered windows small when one symbol holds much of the data.
-
-A window partitioned by symbol puts each symbol in one task. Here a symbol above the row
-limit is cut into days, a day above it into minutes, a minute above it into seconds, and
-each slice also receives the few rows before it that its first frames reach back to. The
-results equal the uncut window in every session zone: slices are ranges of microseconds,
-of the epoch for TIMESTAMP and of the wall clock for TIMESTAMP_NTZ.
-
-Sizes are bounded by counting: a bucket is only split when it holds more than
-``max(slice_rows, all rows / MAX_HOT)`` rows, so at most MAX_HOT buckets per level can be
-split and their list is safe to broadcast. Splitting adds at most ``reach`` rows per
-slice, a vanishing share of a bucket that large. A second is the finest slice: more rows
-of one symbol than the limit inside one second stay together, as do a symbol's rows without
-a time; after ``dedup_ticks`` either holds one row. The window that borrows rows meets
-``reach`` rows of each slice of a symbol in one task.
-
-The table is read four times: to count per symbol, to count the seconds of large symbols, for
-the rows of each slice and for the borrowed ones. Counts are kept in the shared folder.
+"""Slices that keep ordered windows small when one symbol holds much of the data.
+
+A window partitioned by symbol puts each symbol in one task. Here the symbols above the row limit are
+sorted together, by symbol and order, over as many range partitions as they need, and each
+partition is a slice; it also receives the few rows before it that its first frames reach back
+to. The range partitioner cuts where it must, inside a second or among rows without a time too, so no
+slice outgrows its task whatever the times are. The results equal the uncut window in
+every session zone: nothing is computed from a time.
+
+The sorted rows are kept in the shared folder. Which slices lend to which follows from the number
+of rows of each symbol in each partition: a boundary cuts one symbol at most, so this list is as long as
+there are partitions, and is worked out on the driver.
+
+The table is read for the count (one column), and its large symbols for the sort and its sample.
 """
 
 from __future__ import annotations
@@ -23,29 +19,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ticklake import scratch
 
 SLICE_ROWS = 4_000_000
 MAX_HOT = 100_000
 
-#: Each level's slices, coarse to fine, in microseconds.
-SECOND = 1_000_000
-LADDER = {"day": 86_400 * SECOND, "minute": 60 * SECOND, "second": SECOND}
-
-#: The slice of rows without a time, behind all others.
-LAST = 2**63 - 1
-
 
 @dataclass(frozen=True)
 class Large:
-    """The row limit, and the symbols above it: at most MAX_HOT."""
+    """The row limit, the symbols above it (at most MAX_HOT), and how many rows they have together."""
 
     limit: int
     symbols: DataFrame
+    rows: int
 
 
 def large_symbols(ticks: DataFrame, slice_rows: int = SLICE_ROWS) -> Large | None:
@@ -59,91 +48,60 @@ def large_symbols(ticks: DataFrame, slice_rows: int = SLICE_ROWS) -> Large | Non
     limit = max(slice_rows, (total or 0) // MAX_HOT)
     if (largest or 0) <= limit:
         return None
-    return Large(limit, counts.filter(F.col("rows") > limit).select("symbol"))
-
-
-def with_reach(
-    ticks: DataFrame,
-    large: Large,
-    reach: int,
-    needed: Sequence[str],
-    order: Sequence[Column],
-    backwards: Sequence[Column],
-    time: str = "timestamp_ts",
-) -> DataFrame:
-    """Rows with their ``slice`` (``own`` true) plus, per slice, the ``reach`` rows before it.
-
-    ``slice`` is NULL for symbols of ordinary size, else the first microsecond of the row's slice.
-    ``order`` and its reverse ``backwards`` sort one symbol; ``needed`` are the columns the
-    frames read, all the others are NULL in borrowed rows (``own`` false).
-    """
-    hot = _hot_buckets(ticks, time, large)
-    own = _assign(ticks, time, hot)
-
-    cut = ticks.select("symbol", *needed).join(F.broadcast(hot[0]), "symbol")
-    from_end = Window.partitionBy("symbol", "slice").orderBy(*backwards)
-    ahead = Window.partitionBy("symbol").orderBy(*order).rowsBetween(1, reach)
-    borrowed = (
-        _assign(cut, time, hot)
-        .withColumn("from_end", F.row_number().over(from_end))
-        .filter(F.col("from_end") <= reach)
-        .withColumn("next_slices", F.collect_set("slice").over(ahead))
-        .withColumn("slice", F.explode(F.array_except("next_slices", F.array("slice"))))
-        .select("symbol", *needed, "slice")
-    )
-    return own.withColumn("own", F.lit(True)).unionByName(
-        borrowed.withColumn("own", F.lit(False)), allowMissingColumns=True
-    )
-
-
-def _micros(ticks: DataFrame, time: str) -> Column:
-    """The time in microseconds, without the session zone having a say."""
-    moment = F.col(time)
-    if isinstance(ticks.schema[time].dataType, T.TimestampType):
-        return F.unix_micros(moment)
-    of_day = F.hour(moment) * 3600 + F.minute(moment) * 60
-    second = (F.extract(F.lit("SECOND"), moment) * SECOND).cast("bigint")
-    days = F.unix_date(moment.cast("date")).cast("bigint")
-    return days * LADDER["day"] + of_day.cast("bigint") * SECOND + second
-
-
-def _bucket(micros: Column, unit: str) -> Column:
-    return F.coalesce(micros - F.pmod(micros, F.lit(LADDER[unit])), F.lit(LAST))
+    hot = counts.filter(F.col("rows") > limit)
+    return Large(limit, hot.select("symbol"), hot.agg(F.sum("rows")).first()[0])
 
 
-def _hot_buckets(ticks: DataFrame, time: str, large: Large) -> list[DataFrame]:
-    """Per level, the (symbol, bucket) pairs too large to stay whole; the first has no bucket.
+def lenders(pieces: Sequence[tuple[str, int, int, int]], reach: int) -> list[tuple[str, int, int, int]]:
+    """(symbol, slice, first place lent, borrowing slice) from (symbol, slice, first place, rows) of all pieces.
 
-    One pass counts the seconds of the large symbols; coarser buckets add those up.
+    A slice borrows the ``reach`` rows of its symbol before it, from as many slices as that takes.
     """
-    inside = ticks.select("symbol", _micros(ticks, time).alias("at")).join(F.broadcast(large.symbols), "symbol")
-    seconds = scratch.checkpointed(
-        inside.groupBy("symbol", _bucket(F.col("at"), "second").alias("at")).agg(F.count(F.lit(1)).alias("rows"))
-    )
-    found = [large.symbols]
-    for unit in list(LADDER)[:-1]:
-        bucket = F.when(F.col("at") == LAST, LAST).otherwise(_bucket(F.col("at"), unit)).alias("bucket")
-        counts = seconds.groupBy("symbol", bucket).agg(F.sum("rows").alias("rows"))
-        hot = counts.filter((F.col("rows") > large.limit) & (F.col("bucket") < LAST))
-        found.append(hot.select("symbol", "bucket"))
+    found = []
+    before: dict[str, list[tuple[int, int, int]]] = {}
+    for symbol, part, first, rows in sorted(pieces, key=lambda piece: (piece[0], piece[1])):
+        earlier = before.setdefault(symbol, [])
+        needed = reach
+        for lender, lender_first, lender_rows in reversed(earlier):
+            if needed <= 0:
+                break
+            lent = min(needed, lender_rows)
+            found.append((symbol, lender, lender_first + lender_rows - lent, part))
+            needed -= lent
+        earlier.append((part, first, rows))
     return found
 
 
-def _assign(ticks: DataFrame, time: str, hot: list[DataFrame]) -> DataFrame:
-    """The start of the finest bucket a row's hot ancestors ask for.
+def with_reach(ticks: DataFrame, large: Large, reach: int, needed: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Rows with their ``slice`` and their ``place`` in it (``own`` true) plus, per slice, the ``reach`` rows before it.
 
-    Bucket starts of different levels cannot be confused: a split bucket keeps no rows.
+    ``slice`` and ``place`` are NULL for symbols of ordinary size; inside a slice rows stand in the order of
+    ``place``, which agrees with ``order``. ``needed`` are the columns the frames read, all the
+    others are NULL in borrowed rows (``own`` false).
     """
-    rows = ticks.withColumns({"slice": F.lit(None).cast("bigint"), "at": _micros(ticks, time)})
-    units = list(LADDER)
-    for level, buckets in enumerate(hot):
-        marked = F.broadcast(buckets.withColumn("split", F.lit(True)))
-        if level:
-            rows = rows.withColumn("bucket", _bucket(F.col("at"), units[level - 1]))
-            rows = rows.join(marked, ["symbol", "bucket"], "left").drop("bucket")
-        else:
-            rows = rows.join(marked, "symbol", "left")
-        start = _bucket(F.col("at"), units[level])
-        rows = rows.withColumn("slice", F.when(F.col("split"), start).otherwise(F.col("slice")))
-        rows = rows.drop("split")
-    return rows.drop("at")
+    spark = ticks.sparkSession
+    hot = F.broadcast(large.symbols)
+    none = F.lit(None).cast("bigint")
+    ordinary = ticks.join(hot, "symbol", "left_anti").withColumns({"slice": none, "place": none})
+    parts = -(-2 * large.rows // large.limit)
+    keys = [F.col("symbol"), *order, F.col("row")]  # the last, so that equal rows can be cut apart too
+    sorted_rows = (
+        ticks.join(hot, "symbol", "left_semi")
+        .withColumn("row", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys)
+        .sortWithinPartitions(*keys)
+        .drop("row")
+        .withColumn("place", F.monotonically_increasing_id())
+    )
+    cut = scratch.checkpointed(sorted_rows).withColumn("slice", F.shiftright("place", 33))
+    pieces = cut.groupBy("symbol", "slice").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+    loans = lenders([tuple(row) for row in pieces.collect()], reach)  # a row per partition and symbol cut
+    lent = F.broadcast(spark.createDataFrame(loans, "symbol string, slice bigint, since bigint, borrower bigint"))
+    borrowed = (
+        cut.select("symbol", "slice", "place", *needed)
+        .join(lent, ["symbol", "slice"])
+        .filter(F.col("place") >= F.col("since"))
+        .select("symbol", *needed, F.col("borrower").alias("slice"), "place")
+    )
+    own = ordinary.unionByName(cut).withColumn("own", F.lit(True))
+    return own.unionByName(borrowed.withColumn("own", F.lit(False)), allowMissingColumns=True)
