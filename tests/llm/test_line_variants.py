@@ -112,3 +112,15 @@ def test_one_edit(seed):
     for _ in range(200):
         a, b = ([rng.choice("ab") for _ in range(rng.randrange(6))] for _ in range(2))
         assert op.within_one_edit(a, b) == (distance(a, b) <= 1)
+
+
+def test_lines_on_which_polynomial_hashes_agree(spark):
+    """Thue-Morse sequences of two words and their complements: equal for every odd factor modulo 2^64."""
+    sign = [bin(i).count("1") % 2 for i in range(2048)]
+    one = " ".join("ab"[s] for s in sign)
+    two = " ".join("ba"[s] for s in sign)
+    assert op.line_hash(one.encode().split()) == op.line_hash(two.encode().split())
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one), (4, two + " ")], "doc_id long, text string")
+    found = [(r.doc_id, r.first_doc_id, r.edits) for r in op.dropped_lines(docs.repartition(2)).collect()]
+    assert sorted(found) == [(3, 1, 0), (4, 2, 0)]
+    assert sorted(r.doc_id for r in op.without_repeated_lines(docs).collect()) == [1, 2]
