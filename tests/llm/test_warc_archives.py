@@ -6,6 +6,7 @@ import struct
 import pyarrow.fs
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from ticklake.llm import warc_archives as op
 
@@ -64,6 +65,17 @@ def test_payloads_come_back(spark, tmp_path):
     assert sum(r.records for r in archives.collect()) == len(ROWS)
 
 
+def test_as_many_reading_tasks_as_archives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(op, "SAMPLE_BYTES", 5000)
+    pages = spark.range(200).selectExpr("id AS page_id", "'http://x' AS url", "array_join(transform(sequence(1, 40), i -> sha2(cast(id * 100 + i AS string), 512)), ' ') AS html")
+    archives = op.write_archives(pages, f"file://{tmp_path}", limit=5000)
+    n = archives.count()
+    read = op.read_archives(archives, payloads=False).withColumn("task", F.spark_partition_id())
+    tasks = read.groupBy("path").agg(F.countDistinct("task").alias("tasks"), F.first("task").alias("task")).collect()
+    assert n > 8 and len(tasks) == n and all(r.tasks == 1 for r in tasks)
+    assert len({r.task for r in tasks}) == n and read.count() == 200
+
+
 def archive(tmp_path, records) -> bytes:
     writer = op.ArchiveWriter(f"file://{tmp_path}")
     done = [row for record in records for row in writer.add(record)] + list(writer.finish())

@@ -328,11 +328,13 @@ def _read_batches(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator
 
 
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives in ``path``, each read as a stream by one task.
+    """One row per record of the archives in ``path``, each read as a stream, in as many tasks as there are archives.
 
     A broken archive or record fails the job with its path and offset.
     """
-    paths = archives.select("path").repartition("path")
+    paths = archives.select("path")
+    # a number that is given is kept; Spark would join tasks that read a few bytes of paths each
+    paths = paths.repartitionByRange(max(paths.count(), 1), "path")
     return paths.mapInArrow(partial(_read_batches, payloads=payloads), RECORDS)
 
 
