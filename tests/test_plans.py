@@ -134,3 +134,9 @@ def test_base100_broadcasts_k_rows(spark):
     assert "BroadcastHashJoin" in text and "TakeOrderedAndProject(limit=5" in text
     assert "Window" not in text
     assert ranking.TOP == 5
+
+
+@pytest.mark.parametrize("key", ["bucketed_symbol_overview", "bucketed_candle_series"])
+def test_buckets_by_symbol_need_no_exchange(spark, key):
+    text = plan(catalog.queries()[key](spark, SMALL))
+    assert "Exchange" not in text and ("Bucketed: true" in text or "SelectedBucketsCount" in text)

@@ -20,7 +20,7 @@ from ticklake.operators import alerts, dedup, filters, ranking, rollup, series,
 from ticklake.plans import dashboard, market_report, sql_views
 from ticklake.schemas import DASHBOARD_COLUMNS, SNAPSHOT_COLUMNS, STREAM_COLUMNS, TICK_MESSAGE
 from ticklake.sinks.messages import to_messages
-from ticklake.sinks.tables import append_snapshot, create_snapshot_table
+from ticklake.sinks.tables import append_snapshot, create_snapshot_table, save_by_symbol
 from ticklake.sources import events
 from ticklake.sources.messages import file_messages
 from ticklake.sources.mini_tickers import explode_mini_tickers
@@ -731,3 +731,25 @@ def sql_table_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         UNION ALL SELECT 'history', :symbol, round(ma25, 8) FROM symbol_history(:symbol)"""
     words = {"volume": "volume", "gain": "gain", "loss": "loss"}
     return spark.sql(lists, args=words | {"k": 5, "percent": 5.0, "symbol": WATCHED[0]})
+
+
+# Bucketed by symbol
+
+
+def _by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks in buckets by symbol. The catalogue's entry lives as long as the session."""
+    name = f"ticklake_ticks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return save_by_symbol(events.ticks(spark, sf_dir), name, scratch.new_folder(spark, "ticks-by-symbol"), buckets)
+
+
+@_query
+def bucketed_symbol_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stats.symbol_overview(_by_symbol(spark, sf_dir), ORDER)
+    return _rounded(_rounded(rows, 8, "avg_close"), 12, "avg_volatility")
+
+
+@_query
+def bucketed_candle_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = series.candle_series(_by_symbol(spark, sf_dir), tie=ORDER, slice_rows=None)
+    return _rounded(rows, 8, "ma7", "ma25")

@@ -380,6 +380,9 @@ UNION ALL SELECT concat('loss', place), symbol, pct_change FROM losses WHERE pla
 UNION ALL SELECT 'move', symbol, pct_change FROM latest WHERE abs(pct_change) > 5
 UNION ALL SELECT concat('candle ', CASE WHEN close_price >= open_price THEN 'green' ELSE 'red' END), symbol, ma7 FROM one
 UNION ALL SELECT 'history', symbol, ma25 FROM back""",
+        "bucketed_symbol_overview": _OVERVIEW,
+        "bucketed_candle_series": f"{_TICKS} SELECT {_OHLCV}, {_means('ASC')},"
+        " CASE WHEN close_price >= open_price THEN 'green' ELSE 'red' END AS color FROM ticks",
         "stream_fan_out": f"""{_TICKS}
 SELECT 'ticks' AS sink, symbol, timestamp_ts, close_price FROM ({_STREAM} {_ONE_PER_SECOND}) UNION ALL
 SELECT 'all', symbol, date_trunc('second', timestamp_ts)::timestamp, close_price FROM ticks UNION ALL

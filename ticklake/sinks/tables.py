@@ -48,3 +48,18 @@ def append_jdbc(rows: DataFrame, jdbc: JdbcSettings, table: str, **options) -> N
     """Append to a database table, created on first use; a retried job may append twice."""
     writer = rows.write.format("jdbc").mode("append")
     writer.options(**jdbc_sink_options(jdbc, table, **options)).save()
+
+
+def save_by_symbol(ticks: DataFrame, table: str, location: str, buckets: int, time: str = "timestamp_ts") -> DataFrame:
+    """The ticks as a table in buckets by symbol, sorted by symbol and time; returns the table.
+
+    Aggregates and windows by symbol over it need no exchange, and joins by symbol with a table of as many
+    buckets none on either side. One task writes one bucket, so there is a file each. A symbol is in one
+    bucket whatever its size: for tables in which one holds much of the data use range slices
+    (``slices``), which cut it.
+    """
+    spark = ticks.sparkSession
+    dealt = ticks.repartition(buckets, "symbol")
+    writer = dealt.write.bucketBy(buckets, "symbol").sortBy("symbol", time).option("path", location)
+    writer.format("parquet").mode("overwrite").saveAsTable(table)
+    return spark.table(table)
