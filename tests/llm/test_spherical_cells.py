@@ -72,12 +72,20 @@ def test_cases(spark):
     ]
     table = spark.createDataFrame([(*r, 1, 2) for r in rows], SCHEMA.replace("float", "double") + ", node int, home int")
     found = sorted((tuple(r) for r in op.linked_vectors(table).collect()), key=str)
-    alone = [(i, 0, i, True) for i in (1, 2, 3, 4, 8, 9, 10)] + [(None, 0, None, True)]
-    joined = [(5, 3, 5, True), (5, 3, 5, True), (6, 3, 5, False), (11, 3, 5, False)]
+    alone = [(i, 0, i, True) for i in (1, 2, 3, 4, 8, 9, 10)]
+    joined = [(5, 4, 5, True), (5, 4, 5, True), (6, 4, 5, False), (11, 4, 5, False), (None, 4, 5, False)]
     assert found == sorted(alone + joined, key=str)
     assert op.linked_vectors(table.limit(0)).collect() == []
 
 
+def test_repeated_ids_are_told_apart_by_their_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0])]
+    rows += [(None, [0.0, 0.0, 1.0]), (None, [0.0, 0.01, 1.0]), (7, [1.0, 1.0, 1.0]), (None, [1.0, 1.0, 1.01])]
+    found = op.linked_vectors(spark.createDataFrame(rows, SCHEMA).repartition(2)).collect()
+    want = [(1, 1, 1, True), (1, 0, 1, True), (2, 1, 1, False), (None, 1, None, True), (None, 1, None, True)]
+    assert sorted(map(tuple, found), key=str) == sorted([*want, (7, 1, 7, True), (None, 1, 7, False)], key=str)
+
+
 def test_centres_are_of_length_one():
     rng = np.random.default_rng(2)
     centres = op.spherical_kmeans(rng.normal(size=(50, 8)), 10)

@@ -224,14 +224,15 @@ def linked_vectors(
 
     Rows link at a cosine of ``threshold`` or more in double precision; no pair below it does.
     Vectors of different lengths never link. Defined cases: null, zero and empty vectors, and
-    those with null or non-finite components, link with nothing and stay; so do rows without an
-    id, whose component is null; rows of equal vectors link with each other whatever their ids, and rows that
-    repeat an id are one node of the components; other columns of ``rows`` are not looked at.
+    those with null or non-finite components, link with nothing and stay; rows of equal vectors link with each
+    other whatever their ids; rows that repeat an id are told apart by their vectors; a row without an id links
+    like any other, and where a whole group has no id its component is null; other columns of ``rows``
+    are not looked at.
     """
     spark = rows.sparkSession
     given = rows.select(
         rows[id].cast("long").alias("vec_id"), rows[vector].cast("array<double>").alias("vector")
-    ).withColumn("usable", _usable("vector") & F.col("vec_id").isNotNull())
+    ).withColumn("usable", _usable("vector"))
     given = given.withColumn("vector", F.when(F.col("usable"), F.col("vector")))
     # two 64-bit hashes stand for the content in the joins
     names = [F.xxhash64("vector"), F.xxhash64(F.lit(7), "vector"), F.size("vector")]
@@ -239,7 +240,8 @@ def linked_vectors(
     distinct = stored(
         given.where("usable")
         .groupBy("name")
-        .agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("vector").alias("vector")),
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
+        .withColumn("node", F.monotonically_increasing_id()),  # of distinct vectors; ids only name what is found
         "vectors",
     )
     sizes = [r[0] for r in distinct.select(F.size("vector")).distinct().collect()]  # lengths, not rows
@@ -253,16 +255,20 @@ def linked_vectors(
     found = stored(found, "vector_links")
     joined = components(found.where("partner is not null"), "node", "partner")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    by_name = (
-        distinct.select("name", "node", "copies")
+    by_node = stored(
+        distinct.select("name", "node", "least", "copies")
         .join(counts, "node", "left")
         .join(joined, "node", "left")
         .select(
             "name",
+            "least",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
-        )
+            F.coalesce("component", "node").alias("component"),
+        ),
+        "linked_vectors",
     )
+    ids = by_node.groupBy("component").agg(F.min("least").alias("component_id"))
+    by_name = by_node.join(ids, "component").select("name", "n_links", "component_id")
     placed = given.where("usable").select("vec_id", "name").join(by_name, "name").drop("name")
     alone = given.where(~F.col("usable")).select("vec_id", F.lit(0).cast("long"), F.col("vec_id"))
     return placed.select("vec_id", "n_links", "component_id").union(alone).withColumn(
