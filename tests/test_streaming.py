@@ -155,6 +155,55 @@ def test_stored_days_compact(spark, tmp_path):
     assert closed.count() == 6 and closed.select("date").distinct().count() == 3
 
 
+def test_compaction_in_place(spark, tmp_path, monkeypatch):
+    """Before, between and after the steps of a swap, and with late and replayed batches, each tick is seen once."""
+    from ticklake import scratch
+
+    store = writers.parquet_writer(str(tmp_path / "table"))
+    write = writers.deduplicating(store)
+
+    def ticks(*messages):
+        return enrich(parse_ticks(spark.createDataFrame([(m,) for m in messages], "value string")))
+
+    def seen():
+        return sorted((r.symbol or "", str(r.date)) for r in store.read(spark).collect())
+
+    assert seen() == []
+    day = 86_400
+    for batch in range(4):
+        write(ticks(message(f"A{batch}", batch), message("B", day + batch), "broken"), batch)
+    want = seen()
+    assert len(want) == 12
+    deleted, real = [], scratch.delete_folder
+
+    def watched(session, path):
+        assert seen() == want
+        deleted.append(path)
+        if len(deleted) < 3:
+            real(session, path)
+        elif len(deleted) == 3:
+            raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(scratch, "delete_folder", watched)
+    with pytest.raises(RuntimeError):
+        store.compact(spark, "2024-01-02")
+    monkeypatch.setattr(scratch, "delete_folder", real)
+    opened = lambda day: sum(f"date={day}" in name for name in store.read(spark).inputFiles())
+    assert seen() == want and opened("2024-01-01") == 1 and opened("2024-01-02") == 4
+    write(ticks(message("A3", 3), message("B", day + 3), "broken"), 3)  # replayed
+    assert seen() == want
+    write(ticks(message("LATE", 5)), 4)
+    assert seen() == sorted([*want, ("LATE", "2024-01-01")])
+    store.compact(spark, "2024-01-03")
+    assert seen() == sorted([*want, ("LATE", "2024-01-01")])
+    folders = [p.name for p in (tmp_path / "table/date=2024-01-01").iterdir() if p.is_dir() and "-5" in p.name]
+    assert folders == ["batch_id=-5"] and opened("2024-01-01") == opened("2024-01-02") == 1
+    half = tmp_path / "table/date=2024-01-01/batch_id=-99"  # a compaction that never ended
+    half.mkdir()
+    (half / "part-0.parquet").write_bytes(next((tmp_path / "table/date=2024-01-02/batch_id=-4").glob("*.parquet")).read_bytes())
+    assert seen() == sorted([*want, ("LATE", "2024-01-01")])
+
+
 def test_rejects_go_to_their_own_table(spark, tmp_path):
     inbox = tmp_path / "in"
     land(inbox, "1.txt", message("A", 0), "broken", "{}", "7")

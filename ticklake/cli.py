@@ -107,7 +107,11 @@ def normalise(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    writers.compact_days(writers.parquet_writer(args.table).read(spark), args.output, args.before)
+    store = writers.parquet_writer(args.table)
+    if args.output:
+        writers.compact_days(store.read(spark), args.output, args.before)
+    else:
+        store.compact(spark, args.before)
 
 
 def _add_source(job: argparse.ArgumentParser) -> None:
@@ -171,7 +175,7 @@ def parser() -> argparse.ArgumentParser:
 
     packed = commands.add_parser("compact", help="few files per closed day of the stream table")
     packed.add_argument("--table", required=True)
-    packed.add_argument("--output", required=True)
+    packed.add_argument("--output", help="a second table for the closed days; default is in place")
     packed.add_argument("--before", required=True, help="first day that stays open")
     packed.set_defaults(run=compact)
     return root

@@ -16,6 +16,7 @@ from ticklake.schemas import MEASURES, STREAM_COLUMNS
 from ticklake.settings import JdbcSettings
 from ticklake.sinks.tables import append_jdbc
 from ticklake.streaming.key_index import NO_DATE, KeyIndex
+from ticklake.streaming.runs import RUN_FILE_BYTES
 
 log = logging.getLogger(__name__)
 
@@ -36,7 +37,10 @@ class ParquetTicks:
     """A Parquet table of ticks by UTC day, and by micro-batch inside a day.
 
     A replayed batch overwrites its own partitions, so it adds nothing; time filters on
-    ``date`` prune the others. Days that get no more ticks are for ``compact_days``.
+    ``date`` prune the others. ``compact`` replaces a day's batches up to number n by one folder,
+    ``batch_id=-(n + 1)``, which counts from the moment it is complete: ``read`` then passes over the folders
+    it covers, whether they are deleted already or not, so each tick is seen once at any time. A tick that
+    comes later for such a day is in a batch of its own and is seen beside it.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,10 +52,38 @@ class ParquetTicks:
         writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("date", "batch_id").parquet(self.path)
 
+    def _live(self, spark, day: str) -> list[tuple[int, str, int]]:
+        """(last batch in it, folder, bytes) of a day's folders that count, the compacted one first."""
+        found = {int(name.removeprefix("batch_id=")): size for name, size in scratch.folder_sizes(spark, f"{self.path}/{day}").items()}
+        whole = [number for number in found if number < 0 and scratch.exists(spark, f"{self.path}/{day}/batch_id={number}/_SUCCESS")]
+        covered = -1 - min(whole) if whole else -1
+        live = ([min(whole)] if whole else []) + sorted(number for number in found if number > covered)
+        return [(max(number, -1 - number), f"{self.path}/{day}/batch_id={number}", found[number]) for number in live]
+
+    def _days(self, spark) -> list[str]:
+        return [name for name in scratch.folder_sizes(spark, self.path) if name.startswith("date=")]
+
     def read(self, spark) -> DataFrame:
-        """All stored ticks; none before the first batch."""
-        scratch.make_folder(spark, self.path)
-        return spark.read.schema(STORED).parquet(self.path)
+        """All stored ticks, each once; none before the first batch."""
+        paths = [path for day in self._days(spark) for _, path, _ in self._live(spark, day)]
+        if not paths:
+            return spark.createDataFrame([], STORED)
+        return spark.read.schema(STORED).option("basePath", self.path).parquet(*paths)
+
+    def compact(self, spark, before: str) -> None:
+        """Few files, in place, for each day before this one that has more than one folder."""
+        for day in self._days(spark):
+            name = day.removeprefix("date=")
+            folders = self._live(spark, day)
+            if name == NO_DATE or name >= before or len(folders) < 2:
+                continue
+            last = max(number for number, _, _ in folders)
+            size = sum(bytes_ for _, _, bytes_ in folders)
+            rows = spark.read.schema(STORED).option("basePath", self.path).parquet(*(path for _, path, _ in folders))
+            dealt = rows.drop("date", "batch_id").repartitionByRange(max(1, -(-size // RUN_FILE_BYTES)), "timestamp_ts", "symbol")
+            dealt.sortWithinPartitions("timestamp_ts", "symbol").write.mode("overwrite").parquet(f"{self.path}/{day}/batch_id={-1 - last}")
+            for _, path, _ in folders:
+                scratch.delete_folder(spark, path)
 
     def of_batch(self, spark, dates: list, batch_id: int) -> DataFrame:
         """What a batch has stored on these days; only its own folders are listed."""
