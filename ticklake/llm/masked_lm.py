@@ -18,13 +18,13 @@ a target once.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,45 +58,49 @@ AVERAGED = 32
 #: Tokens that pass the network at a time, so that its layers stay in the processor's caches.
 FORWARD = 512
 
-#: Tokens gathered to be scored, and word counts held by a counting task.
+#: Tokens gathered to be scored.
 PIECE = 1 << 14
-COUNTED = 300_000
+
+#: Bytes of text split into words at a time.
+SPLIT_BYTES = 1 << 24
 
 #: Bytes of words, with 64 for each, whose counts every task holds; the minimum count follows.
 HELD_BYTES = 24 << 20
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words in lower case (A-Z), split at ASCII white space."""
-    return text.encode().lower().split()
+def words_of(texts: pa.StringArray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """Words of many texts in lower case (A-Z), split at ASCII white space, and where each text's begin and all end."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = split.flatten().cast(pa.binary())
+    stays = pc.greater(pc.binary_length(words), 0)  # white space at an end splits off an empty word
+    ends = np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))
+    starts = np.concatenate(([0], np.cumsum(stays.to_numpy(zero_copy_only=False), dtype=np.int64)))
+    return words.filter(stays), starts[np.concatenate(([0], ends))]
 
 
 @dataclass
 class Words:
-    """Words that tasks hold, and a place for each shared code: codes, and logarithms of counts.
+    """Words that tasks hold; behind them a place for each shared code: codes, and logarithms of counts.
 
     A word with a code of its own has the logarithm 0. ``joined`` tells whether words that are not
     held, and met more than once, are to be looked up in the table of all words.
     """
 
-    place: dict[bytes, int]
+    held: pa.BinaryArray
     code: np.ndarray
     log_count: np.ndarray
     joined: bool
 
 
-class _Places(dict):
-    """Word to place; words that are not held by their hash, behind those that are."""
-
-    def __init__(self, words: Words) -> None:
-        super().__init__(words.place)
-        self.held, self.most = len(words.place), len(words.place) + COUNTED
-
-    def __missing__(self, word: bytes) -> int:
-        place = self.held + xxhash.xxh64_intdigest(word) % OTHER
-        if len(self) < self.most and len(word) <= 64:
-            self[word] = place
-        return place
+    def places(self, words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words, those that are not held by their hash; and which these are."""
+        found = pc.index_in(words, value_set=self.held)
+        at = found.fill_null(-1).to_numpy().astype(np.int64)
+        away = at < 0
+        others = words.filter(pa.array(away)).dictionary_encode()
+        hashes = np.array([xxhash.xxh64_intdigest(word) % OTHER for word in others.dictionary.to_pylist()], dtype=np.int64)
+        at[away] = len(self.held) + hashes[others.indices.to_numpy()]
+        return at, away
 
 
 @dataclass
@@ -147,65 +151,84 @@ class Network:
             at += size
         return cls(*parts)
 
-    def _forward(self, context: np.ndarray, code: np.ndarray):
-        inputs = self.embedding[context].reshape(len(context), -1)
-        hidden = np.tanh(inputs @ self.inward + self.inward_bias)
-        digit = code // DIGIT
-        one = _softmax(hidden @ self.first + self.first_bias)
-        given = np.tanh(hidden + self.digit[digit])
-        two = _softmax(given @ self.second + self.second_bias[digit])
-        return inputs, hidden, one, given, two
+    def _forward(self, context: np.ndarray, one_hot: np.ndarray):
+        """Layers with a column per token, so that sums over a layer run along memory."""
+        inputs = self.embedding.take(context, axis=0).reshape(len(context), -1)
+        hidden = self.inward.T @ inputs.T
+        hidden += self.inward_bias[:, None]
+        np.tanh(hidden, out=hidden)
+        one = self.first.T @ hidden
+        one += self.first_bias[:, None]
+        given = self.digit.T @ one_hot
+        given += hidden
+        np.tanh(given, out=given)
+        two = self.second.T @ given
+        two += self.second_bias.T @ one_hot
+        return inputs, hidden, _softmax(one), given, _softmax(two)
 
     def log_probabilities(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
         found = np.empty(len(code), dtype=np.float32)
         for start in range(0, len(code), FORWARD):
             part = slice(start, start + FORWARD)
-            digits = code[part]
-            _, _, one, _, two = self._forward(context[part], digits)
-            rows = np.arange(len(digits))
-            found[part] = np.log(one[rows, digits // DIGIT] + 1e-12) + np.log(two[rows, digits % DIGIT] + 1e-12)
+            first, second = np.divmod(code[part], DIGIT)
+            _, _, one, _, two = self._forward(context[part], _one_hot(first))
+            rows = np.arange(len(first))
+            found[part] = np.log(one[first, rows] + 1e-12) + np.log(two[second, rows] + 1e-12)
         return found
 
     def step(self, context: np.ndarray, code: np.ndarray, rate: float, sums: list[np.ndarray]) -> None:
         """One descent step with rates scaled by the squared slopes so far (``sums``)."""
-        inputs, hidden, one, given, two = self._forward(context, code)
-        rows, n = np.arange(len(code)), np.float32(len(code))
-        digit = code // DIGIT
-        one[rows, digit] -= 1
-        two[rows, code % DIGIT] -= 1
-        one /= n
-        two /= n
-        back_given = (two @ self.second.T) * (1 - given * given)
-        back = (one @ self.first.T + back_given) * (1 - hidden * hidden)
-        chosen = np.zeros((DIGIT, len(code)), dtype=np.float32)
-        chosen[digit, rows] = 1
-        second_bias, digit_slope = chosen @ two, chosen @ back_given
-        places = (context.reshape(-1, 1) * EMBEDDING + np.arange(EMBEDDING)).ravel()
-        embedding = np.bincount(places, (back @ self.inward.T).ravel(), self.embedding.size)
-        embedding = embedding.astype(np.float32).reshape(self.embedding.shape)
+        first, second = np.divmod(code, DIGIT)
+        one_hot = _one_hot(first)
+        inputs, hidden, one, given, two = self._forward(context, one_hot)
+        share = np.float32(1 / len(code))
+        one -= one_hot
+        one *= share
+        two -= _one_hot(second)
+        two *= share
+        back_given = self.second @ two
+        back_given *= _tanh_slope(given)
+        back = self.first @ one
+        back += back_given
+        back *= _tanh_slope(hidden)
+        # the slope of input i of the token in a column belongs to number i % EMBEDDING of one of its neighbours
+        places = (context.T * EMBEDDING)[:, None, :] + np.arange(EMBEDDING)[:, None]
+        embedding = np.bincount(places.ravel(), (self.inward @ back).ravel(), self.embedding.size)
         slopes = [
-            embedding,
-            inputs.T @ back,
-            back.sum(axis=0),
-            hidden.T @ one,
-            one.sum(axis=0),
-            digit_slope,
-            given.T @ two,
-            second_bias,
+            embedding.astype(np.float32).reshape(self.embedding.shape),
+            inputs.T @ back.T,
+            back.sum(axis=1),
+            hidden @ one.T,
+            one.sum(axis=1),
+            one_hot @ back_given.T,
+            given @ two.T,
+            one_hot @ two.T,
         ]
         for weight, slope, total in zip(self.weights(), slopes, sums, strict=True):
-            total += slope * slope
-            scale = np.sqrt(total)
+            scale = slope * slope
+            total += scale
+            np.sqrt(total, out=scale)
             scale += 1e-6
             slope *= rate
             slope /= scale
             weight -= slope
 
 
+def _one_hot(digits: np.ndarray) -> np.ndarray:
+    """A column per token with a one in the row of its digit."""
+    return (digits == np.arange(DIGIT)[:, None]).astype(np.float32)
+
+
+def _tanh_slope(layer: np.ndarray) -> np.ndarray:
+    slope = layer * layer
+    return np.subtract(1, slope, out=slope)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
+    """Shares of each column, in place."""
+    x -= x.max(axis=0)
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x /= x.sum(axis=0)
     return x
 
 
@@ -218,14 +241,9 @@ def contexts(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-    counts: Counter[bytes] = Counter()
-    for batch in sliced(batches, "text", 1 << 24):
-        for text in batch.column("text").to_pylist():
-            counts.update(words_of(text))
-            if len(counts) > COUNTED:
-                yield record_batch(schema, list(counts), list(counts.values()))
-                counts.clear()
-    yield record_batch(schema, list(counts), list(counts.values()))
+    for batch in sliced(batches, "text", SPLIT_BYTES):
+        counts = words_of(batch.column("text"))[0].value_counts()
+        yield record_batch(schema, counts.field("values"), counts.field("counts"))
 
 
 def _code_batches(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[pa.RecordBatch]:
@@ -238,18 +256,21 @@ def _code_batches(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[p
         [("row", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.binary())]
         + [("logs", pa.float64()), ("rare", pa.list_(pa.binary()))]
     )
-    places = _Places(words)
-    for batch in sliced(batches, "text", 1 << 24):
-        codes, logs, rare = [], [], []
-        for text in batch.column("text").to_pylist():
-            tokens = words_of(text)
-            at = np.array([places[word] for word in tokens], dtype=np.int64)
-            codes.append(words.code[at].tobytes())
-            logs.append(float(words.log_count[at].sum()))
-            away = np.flatnonzero(at >= places.held).tolist() if words.joined else []
-            rare.append([tokens[i] for i in away])
-        yield record_batch(schema, range(row, row + len(codes)), batch.column("doc_id"), codes, logs, rare)
-        row += len(codes)
+    for batch in sliced(batches, "text", SPLIT_BYTES):
+        tokens, starts = words_of(batch.column("text"))
+        at, away = words.places(tokens)
+        size = len(starts) - 1
+        codes = pa.Array.from_buffers(
+            pa.binary(),
+            size,
+            [None, pa.py_buffer((2 * starts).astype(np.int32)), pa.py_buffer(words.code[at])],
+        )
+        logs = np.bincount(np.repeat(np.arange(size), np.diff(starts)), words.log_count[at], size)
+        away &= words.joined
+        rare_starts = np.concatenate(([0], np.cumsum(away, dtype=np.int32)))[starts]
+        rare = pa.ListArray.from_arrays(pa.array(rare_starts, pa.int32()), tokens.filter(pa.array(away)))
+        yield record_batch(schema, range(row, row + size), batch.column("doc_id"), codes, logs, rare)
+        row += size
 
 
 def _code_count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,21 +376,20 @@ def vocabulary(counts: DataFrame) -> Words:
         if taken > HELD_BYTES:
             break
         least = rank
-    place = {bytes(row.word): code for code, row in enumerate(top)}
+    own = [bytes(row.word) for row in top]
+    known = set(own)
     others: list[tuple[bytes, int]] = []
     if least is not None:
         found = ranked.where(F.col("rank") >= least).select("word", "n").toArrow()
         held = zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True)
-        others = [(word, n) for word, n in held if word not in place]
-    own = len(place)
-    place.update((word, own + i) for i, (word, _) in enumerate(others))
+        others = [(word, n) for word, n in held if word not in known]
     hashes = np.array([xxhash.xxh64_intdigest(word) % OTHER for word, _ in others], dtype=np.int64)
     shared = CODES - OTHER + np.concatenate((hashes, np.arange(OTHER)))
     logs = np.log(np.array([n for _, n in others], dtype=np.float64))
     return Words(
-        place,
-        np.concatenate((np.arange(own), shared)).astype("<u2"),
-        np.concatenate((np.zeros(own), logs, np.zeros(OTHER))),
+        pa.array(own + [word for word, _ in others], pa.binary()),
+        np.concatenate((np.arange(len(own)), shared)).astype("<u2"),
+        np.concatenate((np.zeros(len(own)), logs, np.zeros(OTHER))),
         # the logarithm of a word met once is 0
         any(rank > 0 and (least is None or rank < least) for rank, _ in sizes),
     )
