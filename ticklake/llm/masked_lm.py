@@ -103,120 +103,130 @@ class Words:
         return at, away
 
 
-@dataclass
+#: Layers of the network, one behind the other in its flat array. The last row of ``inward`` and of
+#: ``first`` is a bias; ``second_bias``, one for each first digit, stands beside ``digit``.
+LAYERS = {
+    "embedding": (CODES + 1, EMBEDDING),
+    "inward": (2 * WINDOW * EMBEDDING + 1, HIDDEN),
+    "first": (HIDDEN + 1, DIGIT),
+    "digit": (DIGIT, HIDDEN + DIGIT),
+    "second": (HIDDEN, DIGIT),
+}
+
+
+def _layers(values: np.ndarray) -> list[np.ndarray]:
+    """Views of the layers in a flat array."""
+    ends = np.cumsum([rows * columns for rows, columns in LAYERS.values()])
+    parts = np.split(values, ends[:-1])
+    return [part.reshape(shape) for part, shape in zip(parts, LAYERS.values(), strict=True)]
+
+
 class Network:
-    """Weights of the bidirectional window network, all 32-bit."""
+    """The bidirectional window network; its weights are one 32-bit array, and its layers views of it."""
 
-    embedding: np.ndarray
-    inward: np.ndarray
-    inward_bias: np.ndarray
-    first: np.ndarray
-    first_bias: np.ndarray
-    digit: np.ndarray
-    second: np.ndarray
-    second_bias: np.ndarray
+    def __init__(self, values: np.ndarray) -> None:
+        self.values = values
+        self.slopes = np.empty_like(values)
+        self.slopes_of = _layers(self.slopes)
+        self.embedding, self.inward, self.first, self.digit, self.second = _layers(values)
 
     @classmethod
     def fresh(cls, counts: np.ndarray | None = None, seed: int = 0) -> Network:
         """Random weights; with biases that give each code its share of ``counts``."""
         shares = (np.ones(CODES) if counts is None else counts + 0.5).reshape(DIGIT, DIGIT)
-        one = np.log(shares.sum(axis=1) / shares.sum())
-        two = np.log(shares / shares.sum(axis=1, keepdims=True))
         random = np.random.default_rng(seed)
-        made = lambda *shape, scale=1.0: (random.normal(size=shape) * scale).astype(np.float32)
+        made = lambda *shape, scale: random.normal(size=shape) * scale
         context = 2 * WINDOW * EMBEDDING
-        return cls(
+        layers = [
             made(CODES + 1, EMBEDDING, scale=0.3),
-            made(context, HIDDEN, scale=context**-0.5),
-            np.zeros(HIDDEN, dtype=np.float32),
+            np.vstack((made(context, HIDDEN, scale=context**-0.5), np.zeros(HIDDEN))),
+            np.vstack((made(HIDDEN, DIGIT, scale=0.1), np.log(shares.sum(axis=1) / shares.sum()))),
+            np.hstack((made(DIGIT, HIDDEN, scale=0.1), np.log(shares / shares.sum(axis=1, keepdims=True)))),
             made(HIDDEN, DIGIT, scale=0.1),
-            one.astype(np.float32),
-            made(DIGIT, HIDDEN, scale=0.1),
-            made(HIDDEN, DIGIT, scale=0.1),
-            two.astype(np.float32),
-        )
+        ]
+        return cls.unflat(np.concatenate([layer.ravel() for layer in layers]))
 
     def weights(self) -> list[np.ndarray]:
-        return list(vars(self).values())
+        return [self.values]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([w.ravel() for w in self.weights()])
+        return self.values.copy()
 
     @classmethod
     def unflat(cls, values: np.ndarray) -> Network:
-        shapes, at, parts = [w.shape for w in cls.fresh().weights()], 0, []
-        for shape in shapes:
-            size = int(np.prod(shape))
-            parts.append(values[at : at + size].reshape(shape).astype(np.float32))
-            at += size
-        return cls(*parts)
-
-    def _forward(self, context: np.ndarray, one_hot: np.ndarray):
-        """Layers with a column per token, so that sums over a layer run along memory."""
-        inputs = self.embedding.take(context, axis=0).reshape(len(context), -1)
-        hidden = self.inward.T @ inputs.T
-        hidden += self.inward_bias[:, None]
-        np.tanh(hidden, out=hidden)
-        one = self.first.T @ hidden
-        one += self.first_bias[:, None]
-        given = self.digit.T @ one_hot
-        given += hidden
+        return cls(np.array(values, dtype=np.float32))
+
+    def _forward(self, context: np.ndarray, first: np.ndarray):
+        """Layers with a column per token, so that sums over a layer run along memory.
+
+        ``hidden`` has a last row of ones, for the bias; ``both`` has room above for the slope of
+        the layer before the second digit's shares, which are its last rows.
+        """
+        n = len(first)
+        inputs = self.embedding.take(context, axis=0).reshape(n, -1)
+        hidden = np.empty((HIDDEN + 1, n), dtype=np.float32)
+        hidden[-1] = 1
+        layer = hidden[:-1]
+        np.matmul(self.inward[:-1].T, inputs.T, out=layer)
+        layer += self.inward[-1][:, None]
+        np.tanh(layer, out=layer)
+        one = _softmax(self.first.T @ hidden)
+        one_hot = np.zeros((DIGIT, n), dtype=np.float32)
+        one_hot.ravel()[first * n + np.arange(n)] = 1
+        of_digit = self.digit.T @ one_hot
+        given = of_digit[:HIDDEN]
+        given += layer
         np.tanh(given, out=given)
-        two = self.second.T @ given
-        two += self.second_bias.T @ one_hot
-        return inputs, hidden, _softmax(one), given, _softmax(two)
+        both = np.empty((HIDDEN + DIGIT, n), dtype=np.float32)
+        two = both[HIDDEN:]
+        np.matmul(self.second.T, given, out=two)
+        two += of_digit[HIDDEN:]
+        _softmax(two)
+        return inputs, hidden, one, one_hot, given, both
 
     def log_probabilities(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
         found = np.empty(len(code), dtype=np.float32)
         for start in range(0, len(code), FORWARD):
             part = slice(start, start + FORWARD)
             first, second = np.divmod(code[part], DIGIT)
-            _, _, one, _, two = self._forward(context[part], _one_hot(first))
+            _, _, one, _, _, both = self._forward(context[part], first)
             rows = np.arange(len(first))
-            found[part] = np.log(one[first, rows] + 1e-12) + np.log(two[second, rows] + 1e-12)
+            found[part] = np.log(one[first, rows] + 1e-12) + np.log(both[HIDDEN + second, rows] + 1e-12)
         return found
 
     def step(self, context: np.ndarray, code: np.ndarray, rate: float, sums: list[np.ndarray]) -> None:
         """One descent step with rates scaled by the squared slopes so far (``sums``)."""
+        n = len(code)
         first, second = np.divmod(code, DIGIT)
-        one_hot = _one_hot(first)
-        inputs, hidden, one, given, two = self._forward(context, one_hot)
-        share = np.float32(1 / len(code))
+        inputs, hidden, one, one_hot, given, both = self._forward(context, first)
         one -= one_hot
-        one *= share
-        two -= _one_hot(second)
-        two *= share
-        back_given = self.second @ two
+        back_given, two = both[:HIDDEN], both[HIDDEN:]
+        two.ravel()[second * n + np.arange(n)] -= 1
+        np.matmul(self.second, two, out=back_given)
         back_given *= _tanh_slope(given)
-        back = self.first @ one
+        back = self.first[:-1] @ one
         back += back_given
-        back *= _tanh_slope(hidden)
-        # the slope of input i of the token in a column belongs to number i % EMBEDDING of one of its neighbours
+        back *= _tanh_slope(hidden[:-1])
+        to_embedding, to_inward, to_first, to_digit, to_second = self.slopes_of
+        # input i of a token belongs to number i % EMBEDDING of one of its neighbours
         places = (context.T * EMBEDDING)[:, None, :] + np.arange(EMBEDDING)[:, None]
-        embedding = np.bincount(places.ravel(), (self.inward @ back).ravel(), self.embedding.size)
-        slopes = [
-            embedding.astype(np.float32).reshape(self.embedding.shape),
-            inputs.T @ back.T,
-            back.sum(axis=1),
-            hidden @ one.T,
-            one.sum(axis=1),
-            one_hot @ back_given.T,
-            given @ two.T,
-            one_hot @ two.T,
-        ]
-        for weight, slope, total in zip(self.weights(), slopes, sums, strict=True):
-            scale = slope * slope
-            total += scale
-            np.sqrt(total, out=scale)
-            scale += 1e-6
-            slope *= rate
-            slope /= scale
-            weight -= slope
-
-
-def _one_hot(digits: np.ndarray) -> np.ndarray:
-    """A column per token with a one in the row of its digit."""
-    return (digits == np.arange(DIGIT)[:, None]).astype(np.float32)
+        found = np.bincount(places.ravel(), (self.inward[:-1] @ back).ravel(), to_embedding.size)
+        to_embedding[...] = found.reshape(to_embedding.shape)
+        np.matmul(inputs.T, back.T, out=to_inward[:-1])
+        np.matmul(back, np.ones(n, dtype=np.float32), out=to_inward[-1])
+        np.matmul(hidden, one.T, out=to_first)
+        np.matmul(one_hot, both.T, out=to_digit)
+        np.matmul(given, two.T, out=to_second)
+        slopes = self.slopes
+        slopes *= np.float32(1 / n)
+        (total,) = sums
+        scale = slopes * slopes
+        total += scale
+        np.sqrt(total, out=scale)
+        scale += 1e-6
+        slopes /= scale
+        slopes *= rate
+        self.values -= slopes
 
 
 def _tanh_slope(layer: np.ndarray) -> np.ndarray:
