@@ -124,3 +124,11 @@ def test_lines_on_which_polynomial_hashes_agree(spark):
     found = [(r.doc_id, r.first_doc_id, r.edits) for r in op.dropped_lines(docs.repartition(2)).collect()]
     assert sorted(found) == [(3, 1, 0), (4, 2, 0)]
     assert sorted(r.doc_id for r in op.without_repeated_lines(docs).collect()) == [1, 2]
+
+
+def test_columns_of_any_name_come_back(spark):
+    line = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, line, "a", 5), (2, line + "\nmore", "b", 6)], "doc_id long, text string, Gone_Lines string, __gone_lines int")
+    found = op.without_repeated_lines(docs)
+    assert found.columns == docs.columns
+    assert sorted(map(tuple, found.collect())) == [(1, line, "a", 5), (2, "more", "b", 6)]

@@ -483,16 +483,20 @@ def without_repeated_lines(
 ) -> DataFrame:
     """``docs`` with all columns, repeated lines taken out of the texts and ``length`` set anew.
 
-    A document left without words by this goes; one that had none before stays.
+    A document left without words by this goes; one that had none before stays. Columns of ``docs``
+    may have any names.
     """
+    mark = "gone_lines"
+    while mark in [column.lower() for column in docs.columns]:
+        mark += "_"
     length = length if length in docs.columns else None
     gone = (
         dropped_lines(docs, id, text)
         .groupBy(F.col("doc_id").alias(id))
-        .agg(F.collect_list(F.struct("line_no", "whole")).alias("__gone_lines"))
+        .agg(F.collect_list(F.struct("line_no", "whole")).alias(mark))
     )
     return (
         docs.join(gone, id, "left")
-        .select(*docs.columns, "__gone_lines")
-        .mapInArrow(partial(_cleaned_batches, text=text, mark="__gone_lines", length=length), docs.schema)
+        .select(*docs.columns, mark)
+        .mapInArrow(partial(_cleaned_batches, text=text, mark=mark, length=length), docs.schema)
     )
