@@ -149,3 +149,25 @@ def test_joined_words_score_like_held_ones(spark, corpus, monkeypatch):
     joined = sorted(map(tuple, op.scored(docs).collect()), key=str)
     assert [r[:2] for r in joined] == [r[:2] for r in whole]
     assert [r[2] for r in joined] == pytest.approx([r[2] for r in whole], abs=1e-3)
+
+
+def test_contexts_of_many_documents_are_those_of_each(monkeypatch):
+    """Documents share one array; a long one passes in pieces that carry their neighbours."""
+    monkeypatch.setattr(op, "PIECE", 3)
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(op.CODES, size=size).astype("<u2") for size in (1, 0, 2, 11, 7)]
+    wanted = [np.flatnonzero(rng.random(len(codes)) < 0.6) for codes in docs]
+    around, codes = op.contexts_of(*zip(*(p for d, at in zip(docs, wanted) for p in op.pieces_of(d, at)), strict=True))
+    padded = [[op.EDGE] * op.WINDOW + d.tolist() + [op.EDGE] * op.WINDOW for d in docs]
+    expected = [p[i : i + op.WINDOW] + p[i + op.WINDOW + 1 : i + 2 * op.WINDOW + 1] for p, at in zip(padded, wanted) for i in at]
+    assert around.tolist() == expected
+    assert codes.tolist() == [int(d[i]) for d, at in zip(docs, wanted) for i in at]
+
+
+@pytest.mark.parametrize("shift", [0, 500, -500])
+def test_shares_of_far_logits(shift):
+    """Exponentials that would be infinite or all zero are taken from the largest."""
+    logits = np.array([[[1.0], [2.0], [4.0]]], dtype=np.float32)
+    found, sums = op._exponentials(logits + np.float32(shift))
+    expected = np.exp(logits) / np.exp(logits).sum()
+    assert np.allclose(found / sums[:, None], expected, rtol=1e-5)

@@ -157,68 +157,65 @@ class Network:
         return cls(np.array(values, dtype=np.float32))
 
     def _forward(self, context: np.ndarray, first: np.ndarray):
-        """Layers with a column per token, so that sums over a layer run along memory.
+        """Layers of many tokens: a row per token where products follow, a column where shares of a token are taken.
 
-        ``hidden`` has a last row of ones, for the bias; ``both`` has room above for the slope of
-        the layer before the second digit's shares, which are its last rows.
+        The last column of ``inputs`` is ones, for the bias; ``digits`` are both digits' shares, not yet
+        divided by their sums, which come last.
         """
         n = len(first)
-        inputs = self.embedding.take(context, axis=0).reshape(n, -1)
-        hidden = np.empty((HIDDEN + 1, n), dtype=np.float32)
-        hidden[-1] = 1
-        layer = hidden[:-1]
-        np.matmul(self.inward[:-1].T, inputs.T, out=layer)
-        layer += self.inward[-1][:, None]
-        np.tanh(layer, out=layer)
-        one = _softmax(self.first.T @ hidden)
-        one_hot = np.zeros((DIGIT, n), dtype=np.float32)
-        one_hot.ravel()[first * n + np.arange(n)] = 1
-        of_digit = self.digit.T @ one_hot
-        given = of_digit[:HIDDEN]
-        given += layer
+        inputs = np.empty((n, len(self.inward)), dtype=np.float32)
+        inputs[:, -1] = 1
+        inputs[:, :-1] = self.embedding.take(context, axis=0).reshape(n, -1)
+        hidden = inputs @ self.inward
+        np.tanh(hidden, out=hidden)
+        given = self.digit[:, :HIDDEN].take(first, axis=0)
+        given += hidden
         np.tanh(given, out=given)
-        both = np.empty((HIDDEN + DIGIT, n), dtype=np.float32)
-        two = both[HIDDEN:]
-        np.matmul(self.second.T, given, out=two)
-        two += of_digit[HIDDEN:]
-        _softmax(two)
-        return inputs, hidden, one, one_hot, given, both
+        digits = np.empty((2, DIGIT, n), dtype=np.float32)
+        one, two = digits[0], digits[1]
+        np.matmul(self.first[:-1].T, hidden.T, out=one)
+        one += self.first[-1][:, None]
+        np.matmul(self.second.T, given.T, out=two)
+        two += self.digit[:, HIDDEN:].take(first, axis=0).T
+        return inputs, hidden, given, *_exponentials(digits)
 
     def log_probabilities(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
         found = np.empty(len(code), dtype=np.float32)
         for start in range(0, len(code), FORWARD):
             part = slice(start, start + FORWARD)
-            first, second = np.divmod(code[part], DIGIT)
-            _, _, one, _, _, both = self._forward(context[part], first)
-            rows = np.arange(len(first))
-            found[part] = np.log(one[first, rows] + 1e-12) + np.log(both[HIDDEN + second, rows] + 1e-12)
+            first = code[part] // DIGIT
+            *_, digits, sums = self._forward(context[part], first)
+            shares = digits.ravel().take(_digit_places(code[part], first)) / sums
+            np.log(shares + 1e-12).sum(axis=0, out=found[part])
         return found
 
     def step(self, context: np.ndarray, code: np.ndarray, rate: float, sums: list[np.ndarray]) -> None:
         """One descent step with rates scaled by the squared slopes so far (``sums``)."""
         n = len(code)
-        first, second = np.divmod(code, DIGIT)
-        inputs, hidden, one, one_hot, given, both = self._forward(context, first)
-        one -= one_hot
-        back_given, two = both[:HIDDEN], both[HIDDEN:]
-        two.ravel()[second * n + np.arange(n)] -= 1
-        np.matmul(self.second, two, out=back_given)
+        first = code // DIGIT
+        inputs, hidden, given, digits, totals = self._forward(context, first)
+        each = np.float32(1 / n)  # all slopes are means over the tokens
+        digits *= (each / totals)[:, None]
+        digits.ravel()[_digit_places(code, first)] -= each
+        one, two = digits[0], digits[1]
+        back_given = two.T @ self.second.T
         back_given *= _tanh_slope(given)
-        back = self.first[:-1] @ one
+        back = one.T @ self.first[:-1].T
         back += back_given
-        back *= _tanh_slope(hidden[:-1])
+        back *= _tanh_slope(hidden)
         to_embedding, to_inward, to_first, to_digit, to_second = self.slopes_of
         # input i of a token belongs to number i % EMBEDDING of one of its neighbours
-        places = (context.T * EMBEDDING)[:, None, :] + np.arange(EMBEDDING)[:, None]
-        found = np.bincount(places.ravel(), (self.inward[:-1] @ back).ravel(), to_embedding.size)
+        places = _PLACES.take(context, axis=0)
+        found = np.bincount(places.ravel(), (back @ self.inward[:-1].T).ravel(), to_embedding.size)
         to_embedding[...] = found.reshape(to_embedding.shape)
-        np.matmul(inputs.T, back.T, out=to_inward[:-1])
-        np.matmul(back, np.ones(n, dtype=np.float32), out=to_inward[-1])
-        np.matmul(hidden, one.T, out=to_first)
-        np.matmul(one_hot, both.T, out=to_digit)
-        np.matmul(given, two.T, out=to_second)
+        np.matmul(inputs.T, back, out=to_inward)
+        np.matmul(hidden.T, one.T, out=to_first[:-1])
+        np.matmul(one, np.ones(n, dtype=np.float32), out=to_first[-1])
+        of_first = _ONES.take(first, axis=0).T
+        np.matmul(of_first, back_given, out=to_digit[:, :HIDDEN])
+        np.matmul(of_first, two.T, out=to_digit[:, HIDDEN:])
+        np.matmul(given.T, two.T, out=to_second)
         slopes = self.slopes
-        slopes *= np.float32(1 / n)
         (total,) = sums
         scale = slopes * slopes
         total += scale
@@ -229,24 +226,69 @@ class Network:
         self.values -= slopes
 
 
+#: Where each code's embedding lies in its flat layer, and a one at each digit.
+_PLACES = np.arange((CODES + 1) * EMBEDDING).reshape(CODES + 1, EMBEDDING)
+_ONES = np.eye(DIGIT, dtype=np.float32)
+
+
 def _tanh_slope(layer: np.ndarray) -> np.ndarray:
     slope = layer * layer
     return np.subtract(1, slope, out=slope)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Shares of each column, in place."""
-    x -= x.max(axis=0)
-    np.exp(x, out=x)
-    x /= x.sum(axis=0)
-    return x
+def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials, up to a common factor of those that are summed, and their sums over the second axis."""
+    with np.errstate(over="ignore"):
+        found = np.exp(x)
+    sums = found.sum(axis=1)
+    if not (sums.min(initial=1) > 1e-20 and sums.max(initial=1) < 1e30):
+        found = np.exp(x - x.max(axis=1, keepdims=True))
+        sums = found.sum(axis=1)
+    return found, sums
+
+
+def _digit_places(code: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the first and the second digits of codes lie in the flat shares of both."""
+    n = len(code)
+    rows = np.arange(n)
+    places = np.empty((2, n), dtype=np.int64)
+    one, two = places[0], places[1]
+    np.multiply(first, n, out=one)
+    one += rows
+    # code + DIGIT - DIGIT * first rows further down
+    np.multiply(code, n, out=two)
+    two += DIGIT * n + rows
+    two -= DIGIT * n * first
+    return places
+
+
+_OFFSETS = np.array([*range(-WINDOW, 0), *range(1, WINDOW + 1)])
+_EDGES = np.full(WINDOW, EDGE, dtype="<u2")
 
 
 def contexts(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Codes around the positions ``at``: those before, then those after."""
-    padded = np.concatenate((np.full(WINDOW, EDGE), codes, np.full(WINDOW, EDGE)))
-    offsets = np.array([*range(WINDOW), *range(WINDOW + 1, 2 * WINDOW + 1)])
-    return padded[at[:, None] + offsets]
+    return contexts_of([codes], [at])[0]
+
+
+def contexts_of(docs: list[np.ndarray], at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes around the positions ``at`` of each document, those before, then those after; and at them."""
+    parts = [_EDGES]
+    for codes in docs:
+        parts += (codes, _EDGES)
+    padded = np.concatenate(parts).astype(np.int64)
+    ends = np.cumsum([len(codes) + WINDOW for codes in docs])
+    starts = np.concatenate(([0], ends[:-1])) + WINDOW
+    places = np.concatenate(at) + np.repeat(starts, [len(positions) for positions in at])
+    return padded.take(places[:, None] + _OFFSETS), padded.take(places)
+
+
+def pieces_of(codes: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """At most ``PIECE`` of a document's positions at a time, with the codes that they and their contexts need."""
+    for start in range(0, len(at), PIECE):
+        piece = at[start : start + PIECE]
+        low = max(piece[0] - WINDOW, 0)
+        yield codes[low : piece[-1] + WINDOW + 1], piece - low
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,8 +353,10 @@ def targets(blob: bytes, size: int, round_: int, rounds: int) -> np.ndarray:
 
     The first shift follows from the document's codes, so no batch or partition has a say.
     """
-    shifts = (np.arange(size) + xxhash.xxh64_intdigest(blob) % MASKED) % MASKED
-    return np.flatnonzero(shifts % rounds == round_)
+    shift = xxhash.xxh64_intdigest(blob) % MASKED
+    wanted = np.flatnonzero((np.arange(MASKED) + shift) % MASKED % rounds == round_)
+    at = (np.arange(0, size, MASKED)[:, None] + wanted).ravel()
+    return at[: np.searchsorted(at, size)]
 
 
 def _train_batches(
@@ -331,11 +375,11 @@ def _train_batches(
 
     def learn():
         nonlocal seen, waiting
-        around = np.concatenate([c for c, _ in held])
-        codes = np.concatenate([k for _, k in held])
+        around, codes = contexts_of(*zip(*held, strict=True))
         order = np.random.default_rng(seen).permutation(len(codes))
+        around, codes = around.take(order, axis=0), codes.take(order)
         for at in range(0, len(codes), MINIBATCH):
-            rows = order[at : at + MINIBATCH]
+            rows = slice(at, at + MINIBATCH)
             network.step(around[rows], codes[rows], RATE, sums)
         seen += len(codes)
         held.clear()
@@ -343,12 +387,10 @@ def _train_batches(
 
     for batch in batches:
         for blob in batch.column("codes").to_pylist():
-            codes = np.frombuffer(blob, dtype="<u2").astype(np.int64)
-            at = targets(blob, len(codes), round_, rounds)
-            for start_ in range(0, len(at), PIECE):
-                piece = at[start_ : start_ + PIECE]
-                held.append((contexts(codes, piece), codes[piece]))
-                waiting += len(piece)
+            codes = np.frombuffer(blob, dtype="<u2")
+            for piece in pieces_of(codes, targets(blob, len(codes), round_, rounds)):
+                held.append(piece)
+                waiting += len(piece[1])
                 if waiting >= PIECE:
                     learn()
     if waiting:
@@ -428,9 +470,8 @@ def document_score(network: Network, codes: np.ndarray) -> float:
     """The summed conditional log-probabilities of a document's tokens."""
     return float(
         sum(
-            network.log_probabilities(contexts(codes, at), codes[at]).sum(dtype=np.float64)
-            for at in np.split(np.arange(len(codes)), range(PIECE, len(codes), PIECE))
-            if len(at)
+            network.log_probabilities(*contexts_of([part], [at])).sum(dtype=np.float64)
+            for part, at in pieces_of(codes, np.arange(len(codes)))
         )
     )
 
@@ -446,7 +487,7 @@ def _score_batches(
     for batch in batches:
         for start in range(0, batch.num_rows, 64):  # small documents share a pass through the network
             part = batch.slice(start, 64)
-            docs = [np.frombuffer(b, dtype="<u2").astype(np.int64) for b in part.column("codes").to_pylist()]
+            docs = [np.frombuffer(b, dtype="<u2") for b in part.column("codes").to_pylist()]
             sizes = np.array([len(d) for d in docs])
             totals = np.zeros(len(docs))
             small = [i for i, d in enumerate(docs) if len(d) <= PIECE]
@@ -455,8 +496,8 @@ def _score_batches(
             for i in [*small, None]:
                 if i is None or held + len(docs[i]) > PIECE:
                     if held:
-                        around = np.concatenate([contexts(docs[j], np.arange(len(docs[j]))) for j in group])
-                        logs = model.log_probabilities(around, np.concatenate([docs[j] for j in group]))
+                        around, codes = contexts_of([docs[j] for j in group], [np.arange(sizes[j]) for j in group])
+                        logs = model.log_probabilities(around, codes) - log_counts[codes]
                         owner = np.repeat(np.arange(len(group)), sizes[group])
                         totals[group] = np.bincount(owner, logs, len(group))
                     group, held = [], 0
@@ -465,8 +506,8 @@ def _score_batches(
                     held += len(docs[i])
             for i, codes in enumerate(docs):
                 if len(codes) > PIECE:
-                    totals[i] = document_score(model, codes)
-            totals += part.column("logs").to_numpy() - [log_counts[codes].sum() for codes in docs]
+                    totals[i] = document_score(model, codes) - log_counts[codes].sum()
+            totals += part.column("logs").to_numpy()
             yield record_batch(schema, part.column("row"), part.column("doc_id"), sizes, totals)
 
 
