@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 from ticklake.llm import line_variants as op
 
@@ -132,3 +135,13 @@ def test_columns_of_any_name_come_back(spark):
     found = op.without_repeated_lines(docs)
     assert found.columns == docs.columns
     assert sorted(map(tuple, found.collect())) == [(1, line, "a", 5), (2, "more", "b", 6)]
+
+
+def test_hashed_lines_are_split_lines():
+    """Lines and words split by arrays are those split one by one, also in a slice and around odd white space."""
+    texts = ["", "\n", "a\n\n b  c \r\n\x0b\x0cd\n", " x  y\x1c z\x85", " ", "\x1e a\x00b\ta", "é a b"]
+    words, of_text, of_line, ends = op._hashed_lines(pa.array(["cut off"] + texts)[1:])
+    lines = [(i, number, found) for i, text in enumerate(texts) for number, found in op.split_lines(text)]
+    assert list(zip(of_text.tolist(), of_line.tolist(), strict=True)) == [line[:2] for line in lines]
+    assert ends.tolist() == np.cumsum([len(found) for *_, found in lines]).tolist()
+    assert words.tolist() == [xxhash.xxh64_intdigest(word) for *_, found in lines for word in found]

@@ -11,7 +11,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.scratch import new_folder
+from ticklake.scratch import delete_folder, new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def stored(rows: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def discard(rows: DataFrame) -> None:
+    """Deletes what ``stored`` wrote, when nothing will read it any more."""
+    delete_folder(rows.sparkSession, rows.inputFiles()[0].rpartition("/")[0])
+
+
 def text_of(rows: DataFrame, text: str) -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(rows[text], F.lit(""))

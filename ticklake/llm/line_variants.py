@@ -19,17 +19,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import record_batch, sliced, stored, text_of
+from ticklake.llm.common import discard, record_batch, sliced, stored, text_of
 
 #: Words a line needs to be compared with others than its equals: one edit is then an eighth at most.
 NEAR_WORDS = 8
 
-#: Text split into lines at a time, and words whose hashes are remembered.
+#: Text split into lines at a time, and words whose hashes are remembered where variants are made.
 PIECE = 4 << 20
 REMEMBERED = 300_000
 
@@ -122,24 +123,33 @@ def _unpacked(blob: bytes, rows: int) -> np.ndarray:
     return entries
 
 
-def _entries(texts: list[str], docs: list[int], known: dict[bytes, int]) -> np.ndarray:
+def _hashed_lines(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``split_lines`` of many texts: hashes of all words, and of each line its text, its number and where its words end."""
+    lines = pc.split_pattern(texts, "\n")
+    sizes = lines.value_lengths().to_numpy(zero_copy_only=False)
+    split = pc.ascii_split_whitespace(lines.flatten())
+    words = split.flatten()
+    stays = pc.greater(pc.binary_length(words), 0)  # white space at an end splits off an empty word
+    found = words.filter(stays).cast(pa.binary()).dictionary_encode()
+    distinct = found.dictionary.to_numpy(zero_copy_only=False)  # bytes, made much faster than by to_pylist
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), dtype=np.uint64, count=len(distinct))
+    counts = np.concatenate(([0], np.cumsum(stays.to_numpy(zero_copy_only=False), dtype=np.int64)))
+    ends = counts[np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)]
+    worded = np.diff(ends, prepend=0) > 0
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return hashes[found.indices.to_numpy()], text[worded], number[worded], ends[worded]
+
+
+def _entries(texts: pa.StringArray, docs: np.ndarray) -> np.ndarray:
     """Whole-line and half-line entries of a few documents."""
-    hashes: list[int] = []
-    of_doc, of_line, ends = [], [], []
-    for text, doc in zip(texts, docs, strict=True):
-        for number, words in split_lines(text):
-            hashes += [known[word] for word in words]
-            of_doc.append(doc)
-            of_line.append(number)
-            ends.append(len(hashes))
-    words = np.array(hashes, dtype=np.uint64)
-    end = np.array(ends, dtype=np.int64)
+    words, of_text, of_line, end = _hashed_lines(texts)
     start = np.concatenate((np.zeros(1, dtype=np.int64), end))[:-1]
     length = end - start
     rolling = Rolling(words)
     whole = _stirred(rolling.span(start, end), length, WHOLE)
     second = _stirred(_sums_by_place(words, start, end), length, WHOLE)
-    doc, line = np.array(of_doc, dtype=np.int64), np.array(of_line, dtype=np.int32)
+    doc, line = docs[of_text], of_line.astype(np.int32)
 
     def made(rows, key, check, kind):
         out = np.empty(len(rows), dtype=ENTRY)
@@ -203,7 +213,6 @@ PIECE_ROWS = "piece int, rows int, blob binary"
 def _piece_batches(batches: Iterator[pa.RecordBatch], pieces: int) -> Iterator[pa.RecordBatch]:
     """Packed entries by piece of the key space; what this task can tell itself goes as piece -1."""
     schema = pa.schema([("piece", pa.int32()), ("rows", pa.int32()), ("blob", pa.binary())])
-    known = _WordHashes()
     held: list[np.ndarray] = []
 
     def flush():
@@ -227,7 +236,7 @@ def _piece_batches(batches: Iterator[pa.RecordBatch], pieces: int) -> Iterator[p
         return record_batch(schema, numbers, rows, blobs)
 
     for batch in sliced(batches, "text", PIECE):
-        held.append(_entries(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist(), known))
+        held.append(_entries(batch.column("text"), batch.column("doc_id").to_numpy()))
         if sum(map(len, held)) >= 1_000_000:
             yield flush()
     if sum(map(len, held)):
@@ -366,6 +375,7 @@ def dropped_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
         .union(packed.where("piece < 0").mapInArrow(_local_batches, MARKS))
     )
     marks = stored(met.distinct(), "line_marks")
+    discard(packed)
     copies = (
         marks.where("not near")
         .where("doc_id != by_doc or line != by_line")
