@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +42,9 @@ RECENT = 2000
 #: Micro-batches per copy of the landed messages.
 LANDED_BATCHES = 4
 
+#: Ticks in a landed file, about; more ticks are in more files, so that more tasks write and read them.
+LANDED_ROWS = 125_000
+
 #: Width of the stream's bars, and how many seconds a tick may be behind the newest one.
 BAR_WIDTH = "6 hours"
 BAR_DELAY = 86_400
@@ -490,35 +493,41 @@ def stream_mini_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_stream(spark.read.parquet(f"{folder}/table"))
 
 
-def _land_repeated(spark: SparkSession, sf_dir: str, folder: str) -> tuple[str, int]:
-    """Every message twice, and how many files are a micro-batch: the second copies are in files of their own.
+def _landed_files(table: DataFrame, rows: int) -> int:
+    """Files of a micro-batch of a table with so many rows: all batches have those of the input, at least."""
+    return max(-(-len(table.inputFiles()) // LANDED_BATCHES), -(-rows // (LANDED_BATCHES * LANDED_ROWS)), 1)
+
+
+def _land_repeated(spark: SparkSession, sf_dir: str, inbox: str) -> Iterator[None]:
+    """Every message twice below ``inbox``, a folder at a time; the second copies come after all the first ones.
 
-    Files are ranges of seconds, so a file holds all ticks of a second; there are as many as the
-    input has, at least.
+    Folders are ranges of seconds with about as many ticks each, so a folder holds all ticks of a
+    second. What is landed between two steps is one micro-batch, however many files that is.
     """
-    inbox = f"{folder}/inbox"
-    batch = -(-len(events.read_events(spark, sf_dir).inputFiles()) // LANDED_BATCHES)
-    ticks = _message_ticks(events.ticks(spark, sf_dir))
-    second = F.floor(F.col("timestamp") / 1000).alias("second")
-    messages = ticks.select(F.struct(*TICK_MESSAGE.names).alias("tick"), second).select("tick.*", "second")
-    for _ in range(2):
-        landed = to_messages(messages.repartitionByRange(batch * LANDED_BATCHES, "second"))
-        landed.write.mode("append").text(inbox)
-    return inbox, batch
+    ticks = _message_ticks(events.ticks(spark, sf_dir)).withColumn("second", F.floor(F.col("timestamp") / 1000))
+    shares = [n / LANDED_BATCHES for n in range(1, LANDED_BATCHES)]
+    rows, cuts = ticks.agg(F.count(F.lit(1)), F.percentile_approx("second", shares)).first()
+    cuts = sorted(set(cuts or []))
+    files = _landed_files(events.read_events(spark, sf_dir), rows)
+    place = sum((F.coalesce(F.col("second") >= cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    for n in range(len(cuts) + 1):
+        part = ticks.filter(place == n).select(*TICK_MESSAGE.names)
+        to_messages(part.repartition(files)).write.text(f"{inbox}/1-{n}")
+        yield
+    for n in range(len(cuts) + 1):
+        spark.read.text(f"{inbox}/1-{n}").write.text(f"{inbox}/2-{n}")
+        yield
 
 
 def _dedup_stream(spark: SparkSession, sf_dir: str, name: str, cross_batch: bool) -> DataFrame:
     folder = scratch.new_folder(spark, name)
     store = writers.parquet_writer(f"{folder}/table")
-    inbox, files = _land_repeated(spark, sf_dir, folder)
-    stream = jobs.ticks_to_table(
-        file_messages(spark, inbox, max_files_per_trigger=files),
-        store,
-        f"{folder}/checkpoint",
-        AVAILABLE_NOW,
-        cross_batch=cross_batch,
-    )
-    stream.awaitTermination()
+    inbox = f"{folder}/inbox"
+    for _ in _land_repeated(spark, sf_dir, inbox):
+        stream = jobs.ticks_to_table(
+            file_messages(spark, f"{inbox}/*"), store, f"{folder}/checkpoint", AVAILABLE_NOW, cross_batch=cross_batch
+        )
+        stream.awaitTermination()
     return _stored_stream(store.read(spark))
 
 

@@ -47,7 +47,7 @@ class KeyIndex:
 
     def keys(self, spark: SparkSession, dates: Iterable[dt.date | None], batch_id: int) -> DataFrame:
         """Keys of other batches on these days; only their runs are listed."""
-        found = [run for date in dates for run in self.runs(spark, date)]
+        found = [run for day in scratch.for_each(lambda date: self.runs(spark, date), dates) for run in day]
         return runs.read(spark, found, KEYS).filter(F.col("batch_id") != batch_id)
 
     def add(self, stored: DataFrame, dates: Iterable[dt.date | None], batch_id: int) -> None:
@@ -56,8 +56,8 @@ class KeyIndex:
         Adding a batch again overwrites its runs, or, once they are merged, repeats them.
         """
         self._write(stored, runs.run_name(0, batch_id, batch_id))
-        for date in dates:
-            runs.merge_due(stored.sparkSession, self._day_path(date), KEYS, self.fan, "timestamp_ts")
+        for folder in runs.due(stored.sparkSession, map(self._day_path, dates), self.fan):
+            runs.merge_due(stored.sparkSession, folder, KEYS, self.fan, "timestamp_ts")
 
     def _write(self, stored: DataFrame, run: str) -> None:
         keys = stored.select("symbol", "timestamp_ts", "batch_id", "date", F.lit(run).alias("run"))

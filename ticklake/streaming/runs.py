@@ -10,7 +10,7 @@ covers, so each batch counts once at any point, also a batch that is replayed af
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +57,13 @@ def read(spark: SparkSession, runs: list[Run], schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(*(run.path for run in runs))
 
 
+def due(spark: SparkSession, folders: Iterable[str], fan: int) -> list[str]:
+    """Of these folders, those that have so many runs of the lowest level that they are to be merged."""
+    folders = list(folders)
+    names = scratch.for_each(lambda folder: scratch.folder_names(spark, folder), folders)
+    return [folder for folder, found in zip(folders, names) if sum(name.startswith("run=0-") for name in found) >= fan]
+
+
 def merge_due(
     spark: SparkSession,
     folder: str,

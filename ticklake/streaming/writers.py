@@ -61,11 +61,12 @@ class ParquetTicks:
         return [(max(number, -1 - number), f"{self.path}/{day}/batch_id={number}", found[number]) for number in live]
 
     def _days(self, spark) -> list[str]:
-        return [name for name in scratch.folder_sizes(spark, self.path) if name.startswith("date=")]
+        return [name for name in scratch.folder_names(spark, self.path) if name.startswith("date=")]
 
     def read(self, spark) -> DataFrame:
         """All stored ticks, each once; none before the first batch."""
-        paths = [path for day in self._days(spark) for _, path, _ in self._live(spark, day)]
+        live = scratch.for_each(lambda day: self._live(spark, day), self._days(spark))
+        paths = [path for day in live for _, path, _ in day]
         if not paths:
             return spark.createDataFrame([], STORED)
         return spark.read.schema(STORED).option("basePath", self.path).parquet(*paths)
@@ -89,7 +90,7 @@ class ParquetTicks:
         """What a batch has stored on these days; only its own folders are listed."""
         days = [NO_DATE if date is None else date.isoformat() for date in dates]
         paths = [f"{self.path}/date={day}/batch_id={batch_id}" for day in days]
-        there = [path for path in paths if scratch.exists(spark, path)]
+        there = [path for path, found in zip(paths, scratch.for_each(lambda path: scratch.exists(spark, path), paths)) if found]
         reader = spark.read.schema(STORED).option("basePath", self.path)
         return reader.parquet(*there) if there else spark.createDataFrame([], STORED)
 
@@ -111,7 +112,9 @@ class ParquetTicks:
             first, last = min(row.first for row in times), max(row.last for row in times)
             moment = F.col("timestamp_ts")
             known = known.filter((moment >= F.timestamp_micros(F.lit(first))) & (moment <= F.timestamp_micros(F.lit(last))))
-        self(not_stored(rows, known).observe(counted, F.count(F.lit(1)).alias("rows")), batch_id)
+        new = not_stored(rows, known).withColumn("date", utc_date("timestamp_ts"))
+        dealt = new.hint("rebalance", "date")  # else each task writes a file into each day
+        self(dealt.observe(counted, F.count(F.lit(1)).alias("rows")), batch_id)
         self.index.add(self.of_batch(spark, dates, batch_id), dates, batch_id)
 
 
