@@ -623,18 +623,17 @@ def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars of ticks that come in order, but for every 97th, which comes last and is mostly late."""
     folder = scratch.new_folder(spark, "stream-bars")
     table = events.read_events(spark, sf_dir)
-    files = -(-len(table.inputFiles()) // LANDED_BATCHES)
-    first, last = table.agg(F.unix_micros(F.min(F.col("ts").cast("timestamp"))), F.unix_micros(F.max(F.col("ts").cast("timestamp")))).first()
-    at, step = F.unix_micros(F.col("ts").cast("timestamp")), (last - first) // LANDED_BATCHES + 1
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows, first, last = table.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
+    files, step = _landed_files(table, rows), (last - first) // LANDED_BATCHES + 1
     in_time = F.col(ORDER) % 97 != 0
     ranges = [in_time & (at >= first + n * step) & (at < first + (n + 1) * step) for n in range(LANDED_BATCHES)]
-    for wanted in (*ranges, ~in_time):
-        table.filter(wanted).repartition(files).write.mode("append").parquet(f"{folder}/inbox")
-    source = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/inbox")
     store = bars.BarStore(f"{folder}/bars", BAR_WIDTH, BAR_DELAY, ORDER)
-    ticks = events.as_ticks(source)
-    ticks = ticks.withColumn("timestamp_ts", F.col("timestamp_ts").cast("timestamp"))
-    bars.follow_bars(ticks, store, f"{folder}/checkpoint", AVAILABLE_NOW).awaitTermination()
+    for wanted in (*ranges, ~in_time):  # what is landed between two runs is one micro-batch, however many files that is
+        table.filter(wanted).repartition(files).write.mode("append").parquet(f"{folder}/inbox")
+        ticks = events.as_ticks(spark.readStream.schema(table.schema).parquet(f"{folder}/inbox"))
+        ticks = ticks.withColumn("timestamp_ts", F.col("timestamp_ts").cast("timestamp"))
+        bars.follow_bars(ticks, store, f"{folder}/checkpoint", AVAILABLE_NOW).awaitTermination()
     made = store.bars(spark).select(F.lit("bar").alias("kind"), "symbol", _ntz("bar_start"), "open_price", "close_price", "high_price", "low_price", "volume", "ticks", "final")
     beside = store.beside(spark).select(
         F.col("reason").alias("kind"),

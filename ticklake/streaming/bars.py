@@ -110,12 +110,12 @@ class BarStore:
     def __call__(self, ticks: DataFrame, batch_id: int) -> None:
         spark = ticks.sparkSession
         watermark = self.watermark(spark, batch_id)
-        end = F.unix_micros(F.window("timestamp_ts", self.width).end.cast("timestamp"))
+        # the window function passes over rows without a time, so it gets another time for them: the source is read once
+        some = F.coalesce("timestamp_ts", F.lit("1970-01-01 00:00:00").cast(ticks.schema["timestamp_ts"].dataType))
+        end = F.unix_micros(F.window(some, self.width).end.cast("timestamp"))
         closed = F.lit(False) if watermark is None else end <= watermark
-        # the window function passes over rows without a time
-        timed = ticks.filter(F.col("timestamp_ts").isNotNull()).withColumn("reason", F.when(closed, LATE))
-        untimed = ticks.filter(F.col("timestamp_ts").isNull()).withColumn("reason", F.lit(UNTIMED))
-        split = timed.unionByName(untimed).persist()
+        reason = F.when(F.col("timestamp_ts").isNull(), UNTIMED).when(closed, LATE)
+        split = ticks.withColumn("reason", reason).persist()
         try:
             seen = Observation(f"bars_{batch_id}")
             moment = F.unix_micros(F.col("timestamp_ts").cast("timestamp"))
@@ -134,8 +134,8 @@ class BarStore:
                 writer.partitionBy("date", "run").parquet(f"{self.path}/bars")
             finally:
                 dated.unpersist()
-            for day in days:
-                runs.merge_due(spark, f"{self.path}/bars/date={day}", PARTIAL, self.fan, "bar_start", join_partials)
+            for folder in runs.due(spark, (f"{self.path}/bars/date={day}" for day in days), self.fan):
+                runs.merge_due(spark, folder, PARTIAL, self.fan, "bar_start", join_partials)
             told = seen.get
             self._advance(spark, batch_id, told["newest"])
         finally:
@@ -146,8 +146,9 @@ class BarStore:
 
     def bars(self, spark: SparkSession, days: list | None = None) -> DataFrame:
         """All bars, or those of some days, open ones as they stand: of a day only the runs that count are read."""
-        names = list(scratch.folder_sizes(spark, f"{self.path}/bars")) if days is None else [f"date={day}" for day in days]
-        found = [run for name in names if NO_DATE not in name for run in runs.listed(spark, f"{self.path}/bars/{name}")]
+        names = scratch.folder_names(spark, f"{self.path}/bars") if days is None else [f"date={day}" for day in days]
+        dated = [name for name in names if NO_DATE not in name]
+        found = [run for day in scratch.for_each(lambda name: runs.listed(spark, f"{self.path}/bars/{name}"), dated) for run in day]
         bars = join_partials(runs.read(spark, found, PARTIAL)).drop("first_order", "last_order")
         watermark = self.watermark(spark)
         final = F.lit(False) if watermark is None else F.unix_micros("bar_end") <= watermark
@@ -155,7 +156,7 @@ class BarStore:
 
     def beside(self, spark: SparkSession) -> DataFrame:
         """Ticks that are in no bar, with the reason; before the first one only these two columns."""
-        if not scratch.folder_sizes(spark, f"{self.path}/late"):
+        if not scratch.folder_names(spark, f"{self.path}/late"):
             return spark.createDataFrame([], "reason string, batch_id bigint")
         return spark.read.parquet(f"{self.path}/late")
 
