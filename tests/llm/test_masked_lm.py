@@ -171,3 +171,47 @@ def test_shares_of_far_logits(shift):
     found, sums = op._exponentials(logits + np.float32(shift))
     expected = np.exp(logits) / np.exp(logits).sum()
     assert np.allclose(found / sums[:, None], expected, rtol=1e-5)
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_looked_up_neighbours_score_like_the_layers(scale):
+    """The scorer's tables give what the layers give, also where exponentials of their sums would be infinite."""
+    rng = np.random.default_rng(6)
+    network = op.Network.fresh(np.arange(op.CODES, dtype=float), seed=3)
+    network.embedding *= scale
+    network.inward[-1] = rng.normal(size=op.HIDDEN)
+    scorer = op.Scorer(network)
+    assert scorer.multiplied == (scale == 1)
+    around, code = rng.integers(op.CODES + 1, size=(op.FORWARD + 3, 2 * op.WINDOW)), rng.integers(op.CODES, size=op.FORWARD + 3)
+    embedding, inward, first, digit, second = (layer.astype(float) for layer in op._layers(network.values))
+    hidden = np.tanh(embedding[around].reshape(len(code), -1) @ inward[:-1] + inward[-1])
+    given = np.tanh(hidden + digit[code // op.DIGIT, : op.HIDDEN])
+    logs = 0
+    for logits, at in (
+        (hidden @ first[:-1] + first[-1], code // op.DIGIT),
+        (given @ second + digit[code // op.DIGIT, op.HIDDEN :], code % op.DIGIT),
+    ):
+        logs = logs + logits[np.arange(len(code)), at] - np.log(np.exp(logits).sum(axis=1))
+    assert np.allclose(scorer.log_probabilities(around, code), logs, atol=1e-4)
+
+
+@pytest.mark.parametrize("held", [op.HELD_BYTES, 70 * 1000, 0])
+def test_the_most_frequent_words_have_codes_of_their_own(spark, monkeypatch, held):
+    """Whether tasks hold these words or not; of words met equally often the smaller ones."""
+    monkeypatch.setattr(op, "HELD_BYTES", held)
+    own = op.CODES - op.OTHER
+    counts = [(b"w%d" % i, 9 if i % 3 else 2) for i in range(1500)]
+    words = op.vocabulary(spark.createDataFrame(counts, "word binary, n long"))
+    expected = sorted(counts, key=lambda row: (-row[1], row[0]))[:own]
+    assert words.held.to_pylist()[:own] == [word for word, _ in expected]
+
+
+def test_documents_of_a_round_share_positions():
+    known = {}
+    blobs = [np.arange(size, dtype="<u2").tobytes() for size in (0, 5, 700, 9, op.PIECE + 5)]
+    for round_ in range(3):
+        known.clear()
+        for blob in blobs:
+            size = len(blob) // 2
+            assert np.array_equal(op.targets(blob, size, round_, 3, known), op.targets(blob, size, round_, 3))
+        assert known and all(len(at) <= op.PIECE for at in known.values())

@@ -18,6 +18,7 @@ a target once.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -55,8 +56,8 @@ MINIBATCH = 256
 #: Groups of tasks whose weights are averaged before the driver averages the groups.
 AVERAGED = 32
 
-#: Tokens that pass the network at a time, so that its layers stay in the processor's caches.
-FORWARD = 512
+#: Tokens that are scored at a time: enough that calls take no time beside the work, few enough for the caches.
+FORWARD = 2048
 
 #: Tokens gathered to be scored.
 PIECE = 1 << 14
@@ -98,8 +99,9 @@ class Words:
         at = found.fill_null(-1).to_numpy().astype(np.int64)
         away = at < 0
         others = words.filter(pa.array(away)).dictionary_encode()
-        hashes = np.array([xxhash.xxh64_intdigest(word) % OTHER for word in others.dictionary.to_pylist()], dtype=np.int64)
-        at[away] = len(self.held) + hashes[others.indices.to_numpy()]
+        hashes = map(xxhash.xxh64_intdigest, others.dictionary.to_numpy(zero_copy_only=False))
+        shared = np.fromiter(hashes, dtype=np.uint64, count=len(others.dictionary)) % np.uint64(OTHER)
+        at[away] = len(self.held) + shared.astype(np.int64)[others.indices.to_numpy()]
         return at, away
 
 
@@ -129,6 +131,8 @@ class Network:
         self.slopes = np.empty_like(values)
         self.slopes_of = _layers(self.slopes)
         self.embedding, self.inward, self.first, self.digit, self.second = _layers(values)
+        ones = np.eye(DIGIT, dtype=np.float32)
+        self.digits = np.hstack((np.repeat(ones, DIGIT, axis=0), np.tile(ones, (DIGIT, 1))))  # a one at both of a code's
 
     @classmethod
     def fresh(cls, counts: np.ndarray | None = None, seed: int = 0) -> Network:
@@ -157,65 +161,56 @@ class Network:
         return cls(np.array(values, dtype=np.float32))
 
     def _forward(self, context: np.ndarray, first: np.ndarray):
-        """Layers of many tokens: a row per token where products follow, a column where shares of a token are taken.
-
-        The last column of ``inputs`` is ones, for the bias; ``digits`` are both digits' shares, not yet
-        divided by their sums, which come last.
-        """
+        """Layers of many tokens, a row per token; the last column of ``inputs`` is ones, for the bias."""
         n = len(first)
         inputs = np.empty((n, len(self.inward)), dtype=np.float32)
         inputs[:, -1] = 1
-        inputs[:, :-1] = self.embedding.take(context, axis=0).reshape(n, -1)
+        inputs[:, :-1] = self.embedding.take(context.ravel(), axis=0).reshape(n, -1)
         hidden = inputs @ self.inward
-        np.tanh(hidden, out=hidden)
-        given = self.digit[:, :HIDDEN].take(first, axis=0)
-        given += hidden
-        np.tanh(given, out=given)
-        digits = np.empty((2, DIGIT, n), dtype=np.float32)
-        one, two = digits[0], digits[1]
-        np.matmul(self.first[:-1].T, hidden.T, out=one)
-        one += self.first[-1][:, None]
-        np.matmul(self.second.T, given.T, out=two)
-        two += self.digit[:, HIDDEN:].take(first, axis=0).T
-        return inputs, hidden, given, *_exponentials(digits)
+        hidden += hidden
+        _tanh_of_exponential(np.exp(hidden, out=hidden))
+        return inputs, hidden, *_outward(self, self.biases(), hidden, first)
+
+    def biases(self) -> np.ndarray:
+        """Biases of both digits, for each first digit."""
+        found = np.empty((DIGIT, 2 * DIGIT), dtype=np.float32)
+        found[:, :DIGIT] = self.first[-1]
+        found[:, DIGIT:] = self.digit[:, HIDDEN:]
+        return found
 
     def log_probabilities(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
-        found = np.empty(len(code), dtype=np.float32)
-        for start in range(0, len(code), FORWARD):
-            part = slice(start, start + FORWARD)
-            first = code[part] // DIGIT
-            *_, digits, sums = self._forward(context[part], first)
-            shares = digits.ravel().take(_digit_places(code[part], first)) / sums
-            np.log(shares + 1e-12).sum(axis=0, out=found[part])
-        return found
+        return Scorer(self).log_probabilities(context, code)
 
     def step(self, context: np.ndarray, code: np.ndarray, rate: float, sums: list[np.ndarray]) -> None:
         """One descent step with rates scaled by the squared slopes so far (``sums``)."""
         n = len(code)
         first = code // DIGIT
         inputs, hidden, given, digits, totals = self._forward(context, first)
-        each = np.float32(1 / n)  # all slopes are means over the tokens
-        digits *= (each / totals)[:, None]
-        digits.ravel()[_digit_places(code, first)] -= each
-        one, two = digits[0], digits[1]
-        back_given = two.T @ self.second.T
+        digits *= np.reciprocal(totals, out=totals)[:, None]
+        digits = digits.reshape(n, -1)
+        met = self.digits.take(code, axis=0)
+        digits -= met
+        one, two = digits[:, :DIGIT], digits[:, DIGIT:]
+        back_given = two @ self.second.T
         back_given *= _tanh_slope(given)
-        back = one.T @ self.first[:-1].T
+        back = one @ self.first[:-1].T
         back += back_given
         back *= _tanh_slope(hidden)
         to_embedding, to_inward, to_first, to_digit, to_second = self.slopes_of
         # input i of a token belongs to number i % EMBEDDING of one of its neighbours
-        places = _PLACES.take(context, axis=0)
-        found = np.bincount(places.ravel(), (back @ self.inward[:-1].T).ravel(), to_embedding.size)
-        to_embedding[...] = found.reshape(to_embedding.shape)
+        places = _PLACES.take(context.ravel(), axis=0)
+        to_embedding[...] = 0
+        np.add.at(to_embedding.ravel(), places.ravel(), (back @ self.inward[:-1].T).ravel())
         np.matmul(inputs.T, back, out=to_inward)
-        np.matmul(hidden.T, one.T, out=to_first[:-1])
-        np.matmul(one, np.ones(n, dtype=np.float32), out=to_first[-1])
-        of_first = _ONES.take(first, axis=0).T
+        np.matmul(hidden.T, one, out=to_first[:-1])
+        of_first = met[:, :DIGIT].T
+        to_biases = of_first @ digits
+        to_first[-1] = _DIGIT_ONES @ to_biases[:, :DIGIT]
+        to_digit[:, HIDDEN:] = to_biases[:, DIGIT:]
         np.matmul(of_first, back_given, out=to_digit[:, :HIDDEN])
-        np.matmul(of_first, two.T, out=to_digit[:, HIDDEN:])
-        np.matmul(given.T, two.T, out=to_second)
+        np.matmul(given.T, two, out=to_second)
         slopes = self.slopes
+        slopes *= np.float32(1 / n)  # means over the tokens
         (total,) = sums
         scale = slopes * slopes
         total += scale
@@ -226,9 +221,66 @@ class Network:
         self.values -= slopes
 
 
-#: Where each code's embedding lies in its flat layer, and a one at each digit.
+class Scorer:
+    """A network that is trained no more: what each neighbour adds to the hidden layer is looked up by its code.
+
+    Where no sum of them can leave the range of 32-bit exponentials, these are multiplied instead.
+    """
+
+    def __init__(self, network: Network) -> None:
+        self.network = network
+        self.added = [2 * (network.embedding @ part) for part in np.split(network.inward[:-1], 2 * WINDOW)]
+        self.added[0] += 2 * network.inward[-1]
+        self.multiplied = sum(np.abs(added).max() for added in self.added) < 80
+        if self.multiplied:
+            self.added = [np.exp(added) for added in self.added]
+        self.biases = network.biases()
+
+    def log_probabilities(self, context: np.ndarray, code: np.ndarray) -> np.ndarray:
+        found = np.empty(len(code), dtype=np.float32)
+        with np.errstate(over="ignore"):
+            for start in range(0, len(code), FORWARD):
+                part = slice(start, start + FORWARD)
+                self._into(found[part], context[part], code[part])
+        return found
+
+    def _into(self, found: np.ndarray, context: np.ndarray, code: np.ndarray) -> None:
+        first = code // DIGIT
+        hidden = self.added[0].take(context[:, 0], axis=0)
+        for i, added in enumerate(self.added[1:], 1):
+            join = np.multiply if self.multiplied else np.add
+            join(hidden, added.take(context[:, i], axis=0), out=hidden)
+        _tanh_of_exponential(hidden if self.multiplied else np.exp(hidden, out=hidden))
+        _, digits, sums = _outward(self.network, self.biases, hidden, first)
+        shares = digits.ravel().take(_digit_places(code, first)) / sums.reshape(-1, 2).T
+        np.log(shares + 1e-12).sum(axis=0, out=found)
+
+
+#: Where each code's embedding lies in its flat layer, and ones to sum digits with.
 _PLACES = np.arange((CODES + 1) * EMBEDDING).reshape(CODES + 1, EMBEDDING)
-_ONES = np.eye(DIGIT, dtype=np.float32)
+_DIGIT_ONES = np.ones(DIGIT, dtype=np.float32)
+
+
+def _outward(network: Network, biases: np.ndarray, hidden: np.ndarray, first: np.ndarray):
+    """The layers behind the hidden one: that of the second digit; both digits' shares, two rows a token, not yet
+    divided by their sums; and these."""
+    n = len(first)
+    given = network.digit[:, :HIDDEN].take(first, axis=0)
+    given += hidden
+    given += given
+    _tanh_of_exponential(np.exp(given, out=given))
+    digits = np.empty((n, 2 * DIGIT), dtype=np.float32)
+    np.matmul(hidden, network.first[:-1], out=digits[:, :DIGIT])
+    np.matmul(given, network.second, out=digits[:, DIGIT:])
+    digits += biases.take(first, axis=0)
+    return given, *_exponentials(digits.reshape(2 * n, DIGIT))
+
+
+def _tanh_of_exponential(layer: np.ndarray) -> None:
+    """Hyperbolic tangents of x in place of exponentials of 2 x: so they take less time than numpy's own."""
+    layer += 1
+    np.divide(2, layer, out=layer)
+    np.subtract(1, layer, out=layer)
 
 
 def _tanh_slope(layer: np.ndarray) -> np.ndarray:
@@ -238,10 +290,9 @@ def _tanh_slope(layer: np.ndarray) -> np.ndarray:
 
 def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exponentials, up to a common factor of those that are summed, and their sums over the second axis."""
-    with np.errstate(over="ignore"):
-        found = np.exp(x)
-    sums = found.sum(axis=1)
-    if not (sums.min(initial=1) > 1e-20 and sums.max(initial=1) < 1e30):
+    found = np.exp(x)
+    sums = found @ _DIGIT_ONES if found.ndim == 2 else found.sum(axis=1)
+    if not (np.minimum.reduce(sums, axis=None) > 1e-20 and np.maximum.reduce(sums, axis=None) < 1e30):
         found = np.exp(x - x.max(axis=1, keepdims=True))
         sums = found.sum(axis=1)
     return found, sums
@@ -250,15 +301,13 @@ def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _digit_places(code: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where the first and the second digits of codes lie in the flat shares of both."""
     n = len(code)
-    rows = np.arange(n)
     places = np.empty((2, n), dtype=np.int64)
     one, two = places[0], places[1]
-    np.multiply(first, n, out=one)
-    one += rows
-    # code + DIGIT - DIGIT * first rows further down
-    np.multiply(code, n, out=two)
-    two += DIGIT * n + rows
-    two -= DIGIT * n * first
+    np.add(np.arange(0, 2 * DIGIT * n, 2 * DIGIT), first, out=one)
+    # code - DIGIT * first is the second digit, DIGIT further on than the first digits
+    np.subtract(code, (DIGIT + 1) * first, out=two)
+    two += one
+    two += DIGIT
     return places
 
 
@@ -348,15 +397,21 @@ WEIGHTS = "part int, tokens long, weights binary"
 WEIGHT_SCHEMA = pa.schema([("part", pa.int32()), ("tokens", pa.int64()), ("weights", pa.binary())])
 
 
-def targets(blob: bytes, size: int, round_: int, rounds: int) -> np.ndarray:
+def targets(blob: bytes, size: int, round_: int, rounds: int, known: dict[int, np.ndarray] | None = None) -> np.ndarray:
     """Positions of a document masked in a round; each position in one round of them all.
 
-    The first shift follows from the document's codes, so no batch or partition has a say.
+    The first shift follows from the document's codes, so no batch or partition has a say. ``known``
+    keeps the positions below ``PIECE`` of each shift for the other documents of the round.
     """
     shift = xxhash.xxh64_intdigest(blob) % MASKED
-    wanted = np.flatnonzero((np.arange(MASKED) + shift) % MASKED % rounds == round_)
-    at = (np.arange(0, size, MASKED)[:, None] + wanted).ravel()
-    return at[: np.searchsorted(at, size)]
+    at = known.get(shift) if known and size <= PIECE else None
+    if at is None:
+        wanted = np.flatnonzero((np.arange(MASKED) + shift) % MASKED % rounds == round_)
+        keep = known is not None and size <= PIECE
+        at = (np.arange(0, PIECE if keep else size, MASKED)[:, None] + wanted).ravel()
+        if keep:
+            known[shift] = at
+    return at[: at.searchsorted(size)]
 
 
 def _train_batches(
@@ -372,15 +427,17 @@ def _train_batches(
     seen = 0
     held: list[tuple[np.ndarray, np.ndarray]] = []
     waiting = 0
+    known: dict[int, np.ndarray] = {}
 
     def learn():
         nonlocal seen, waiting
         around, codes = contexts_of(*zip(*held, strict=True))
         order = np.random.default_rng(seen).permutation(len(codes))
         around, codes = around.take(order, axis=0), codes.take(order)
-        for at in range(0, len(codes), MINIBATCH):
-            rows = slice(at, at + MINIBATCH)
-            network.step(around[rows], codes[rows], RATE, sums)
+        with np.errstate(over="ignore"):
+            for at in range(0, len(codes), MINIBATCH):
+                rows = slice(at, at + MINIBATCH)
+                network.step(around[rows], codes[rows], RATE, sums)
         seen += len(codes)
         held.clear()
         waiting = 0
@@ -388,7 +445,7 @@ def _train_batches(
     for batch in batches:
         for blob in batch.column("codes").to_pylist():
             codes = np.frombuffer(blob, dtype="<u2")
-            for piece in pieces_of(codes, targets(blob, len(codes), round_, rounds)):
+            for piece in pieces_of(codes, targets(blob, len(codes), round_, rounds, known)):
                 held.append(piece)
                 waiting += len(piece[1])
                 if waiting >= PIECE:
@@ -418,7 +475,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def vocabulary(counts: DataFrame) -> Words:
     """The words that tasks hold: the most frequent, ties by the word, have codes of their own."""
-    top = counts.orderBy(F.desc("n"), "word").limit(CODES - OTHER).collect()
     ranked = counts.withColumn("rank", F.floor(8 * F.log2("n")).cast("int"))
     sizes = ranked.groupBy("rank").agg(F.sum(F.length("word") + 64).alias("bytes")).collect()  # ranks, not words
     taken = 0
@@ -428,13 +484,18 @@ def vocabulary(counts: DataFrame) -> Words:
         if taken > HELD_BYTES:
             break
         least = rank
-    own = [bytes(row.word) for row in top]
-    known = set(own)
-    others: list[tuple[bytes, int]] = []
+    held: list[tuple[bytes, int]] = []
     if least is not None:
         found = ranked.where(F.col("rank") >= least).select("word", "n").toArrow()
-        held = zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True)
-        others = [(word, n) for word, n in held if word not in known]
+        held = [*zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True)]
+    if len(held) < CODES - OTHER:  # the most frequent may lie behind them
+        top = counts.orderBy(F.desc("n"), "word").limit(CODES - OTHER).collect()
+        most = [(bytes(row.word), row.n) for row in top]
+    else:
+        most = heapq.nsmallest(CODES - OTHER, held, key=lambda entry: (-entry[1], entry[0]))
+    own = [word for word, _ in most]
+    known = set(own)
+    others = [(word, n) for word, n in held if word not in known]
     hashes = np.array([xxhash.xxh64_intdigest(word) % OTHER for word, _ in others], dtype=np.int64)
     shared = CODES - OTHER + np.concatenate((hashes, np.arange(OTHER)))
     logs = np.log(np.array([n for _, n in others], dtype=np.float64))
@@ -466,7 +527,7 @@ def trained(coded: DataFrame, rounds: int = ROUNDS, counts: np.ndarray | None =
     return network
 
 
-def document_score(network: Network, codes: np.ndarray) -> float:
+def document_score(network: Network | Scorer, codes: np.ndarray) -> float:
     """The summed conditional log-probabilities of a document's tokens."""
     return float(
         sum(
@@ -483,7 +544,7 @@ def _score_batches(
     schema = pa.schema(
         [("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_likelihood", pa.float64())]
     )
-    model = Network.unflat(np.frombuffer(network, dtype=np.float32))
+    model = Scorer(Network.unflat(np.frombuffer(network, dtype=np.float32)))
     for batch in batches:
         for start in range(0, batch.num_rows, 64):  # small documents share a pass through the network
             part = batch.slice(start, 64)
